@@ -15,6 +15,9 @@ import duckdb
 import pandas as pd
 
 
+spent: list[float] = []
+
+
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     con.execute("SET threads TO 4")
@@ -42,13 +45,12 @@ def kinds(schema) -> dict[str, str]:
 
 def compare(spark, con, sf_dir: str, fn, sql: str | None) -> str | None:
     """None when equal, else what differs."""
+    start = time.time()
     result = fn(spark, sf_dir).toArrow()
+    spent.append(time.time() - start)
     if sql is None:
         return None if result.num_rows else "no rows"
-    reader = con.execute(sql)
-    wanted = reader.to_arrow_table() if hasattr(reader, "to_arrow_table") else reader.arrow()
-    if hasattr(wanted, "read_all"):
-        wanted = wanted.read_all()
+    wanted = con.sql(sql).to_arrow_table()
     mine, theirs = kinds(result.schema), kinds(wanted.schema)
     if mine != theirs:
         return f"types {mine} != {theirs}"
@@ -69,7 +71,7 @@ def main() -> int:
     sf_dir = args.pop(0) if args and os.path.isdir(args[0]) else "/root/testdata/sf0.01"
     spark = build_session(
         master="local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="16g",
-        spark__sql__warehouse__dir="/tmp/textloom-warehouse",
+        spark__sql__warehouse__dir="/tmp/textloom-warehouse", spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
@@ -82,7 +84,7 @@ def main() -> int:
         except Exception as e:  # report and go on with the next query
             problem = str(e)[:1500] if not os.environ.get("TRACE") else traceback.format_exc()
         kind = "sql" if name in sql else "rows"
-        print(f"{'ok  ' if not problem else 'FAIL'} {name:24s} {kind:4s} {time.time() - start:6.2f}s {problem or ''}", flush=True)
+        print(f"{'ok  ' if not problem else 'FAIL'} {name:24s} {kind:4s} {spent[-1] if spent else 0:6.2f}s of {time.time() - start:6.2f}s {problem or ''}", flush=True)
         failed += bool(problem)
     print(f"{failed} failed")
     spark.stop()

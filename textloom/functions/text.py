@@ -13,7 +13,7 @@ PAD_TOKEN = "<pad>"
 
 
 def _non_empty(tokens: Column) -> Column:
-    return F.filter(tokens, lambda t: t != "")
+    return F.array_remove(tokens, "")
 
 
 def sequence_tokens(text: Column | str, filters: str = KERAS_FILTERS) -> Column:
@@ -42,14 +42,15 @@ def space_word_count(text: Column | str) -> Column:
     return F.size(F.split(text, " "))
 
 
-def with_bigrams(tokens: Column) -> Column:
-    """Unigrams followed by space-joined bigrams."""
-    pairs = F.zip_with(
-        F.slice(tokens, F.lit(1), F.greatest(F.size(tokens) - 1, F.lit(0))),
-        F.slice(tokens, F.lit(2), F.greatest(F.size(tokens) - 1, F.lit(0))),
-        lambda a, b: F.concat_ws(" ", a, b),
-    )
-    return F.concat(tokens, pairs)
+def with_bigrams(tokens: Column | str) -> Column:
+    """Unigrams followed by space-joined bigrams.
+
+    Give it a column that already holds the token array: the array is read three times.
+    """
+    tokens = F.col(tokens) if isinstance(tokens, str) else tokens
+    rest = F.slice(tokens, F.lit(2), F.greatest(F.size(tokens) - 1, F.lit(0)))
+    pairs = F.zip_with(tokens, rest, lambda a, b: F.when(b.isNotNull(), F.concat(a, F.lit(" "), b)))
+    return F.concat(tokens, F.array_compact(pairs))
 
 
 def wrap(text: Column | str, start: str | None = "<start>", end: str | None = "<end>") -> Column:

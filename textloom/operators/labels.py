@@ -53,9 +53,10 @@ def hot_rows(df: DataFrame, encoded: DataFrame, id_col: str, vocab: DataFrame) -
     """Dense 0/1 row per id, one cell per label of the vocabulary."""
     width = vocab.agg(F.max("label_id") + 1).scalar()
     ids = encoded.groupBy(id_col).agg(F.collect_set("label_id").alias("_ids"))
-    return df.select(id_col).join(ids, id_col, "left").select(
+    joined = df.select(id_col).join(ids, id_col, "left").withColumn("_width", width)
+    return joined.select(
         id_col,
-        multi_hot(F.coalesce("_ids", F.array().cast("array<bigint>")), width).alias("hot"),
+        multi_hot(F.coalesce("_ids", F.array().cast("array<bigint>")), F.col("_width")).alias("hot"),
     )
 
 

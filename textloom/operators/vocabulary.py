@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from textloom.functions.text import with_bigrams
 from textloom.operators.lookup import keyed_lookup
 from textloom.operators.ranking import global_rank
 from textloom.sources.scratch import materialize
@@ -11,17 +12,21 @@ from textloom.sources.scratch import materialize
 OOV = "<UNK>"
 
 
-def token_rows(df: DataFrame, id_col: str, tokens: Column, keep: tuple[str, ...] = ()) -> DataFrame:
+def token_rows(
+    df: DataFrame, id_col: str, tokens: Column, keep: tuple[str, ...] = (), bigrams: bool = False
+) -> DataFrame:
     """One row per token occurrence: ``(id, pos, token)``, pos from 0.
 
     The texts are spread by id first. That moves each text once, and every later step that groups
     by the id finds its rows in place and needs no shuffle of the much larger token table.
     """
-    return (
-        df.select(id_col, *keep, tokens.alias("_tokens"))
-        .repartition(F.col(id_col))
-        .select(id_col, *keep, F.posexplode("_tokens").alias("pos", "token"))
-    )
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    split = df.repartition(parts, F.col(id_col)).select(id_col, *keep, tokens.alias("_tokens"))
+    if bigrams:
+        split = split.select(id_col, *keep, with_bigrams("_tokens").alias("_tokens"))
+    # A plain posexplode would add a non-empty check that tokenizes a second time before the shuffle.
+    rows = split.select(id_col, *keep, F.posexplode_outer("_tokens").alias("pos", "token"))
+    return rows.filter(F.col("pos").isNotNull())
 
 
 def token_counts(tokens: DataFrame) -> DataFrame:

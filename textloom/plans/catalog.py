@@ -6,7 +6,7 @@ import importlib
 
 from textloom.plans.registry import QUERIES, SQL
 
-MODULES = ["cleaning"]
+MODULES = ["cleaning", "text", "labels"]
 
 for _name in MODULES:
     importlib.import_module(f"textloom.plans.{_name}")
