@@ -6,7 +6,7 @@ import importlib
 
 from textloom.plans.registry import QUERIES, SQL
 
-MODULES = ["cleaning", "text", "labels"]
+MODULES = ["cleaning", "text", "labels", "balance", "retrieval", "scoring", "chat"]
 
 for _name in MODULES:
     importlib.import_module(f"textloom.plans.{_name}")
