@@ -41,26 +41,29 @@ def class_balance(df: DataFrame, column: str) -> DataFrame:
 def numeric_profile(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """count, mean, sample std, min, quartiles and max per named integer expression.
 
-    Quartiles are exact: equal values are counted first, so one task sees each distinct value once.
+    The data is read once: equal values are counted first, and everything else, exact quartiles
+    included, follows from one row per distinct value.
     """
     pairs = F.array(
         *[F.struct(F.lit(n).alias("measure"), c.cast("bigint").alias("value")) for n, c in columns.items()]
     )
-    stacked = df.select(F.explode(pairs).alias("p")).select("p.measure", "p.value")
-    moments = stacked.groupBy("measure").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
+    stacked = df.select(F.explode(pairs).alias("p")).select("p.measure", "p.value").filter("value is not null")
+    histogram = stacked.groupBy("measure", "value").agg(F.count(F.lit(1)).alias("n"))
+    value, n = F.col("value").cast("double"), F.col("n")
+    sums = histogram.groupBy("measure").agg(
+        F.sum("n").alias("count"),
+        F.sum(value * n).alias("_s"),
+        F.sum(value * value * n).alias("_ss"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
+        F.percentile("value", [0.25, 0.5, 0.75], n).alias("q"),
     )
-    histogram = stacked.groupBy("measure", "value").agg(F.count(F.lit(1)).alias("n"))
-    quartiles = histogram.groupBy("measure").agg(
-        F.percentile("value", [0.25, 0.5, 0.75], F.col("n")).alias("q")
-    )
-    return moments.join(quartiles, "measure").select(
-        "measure", "count", "mean", "std", "min",
-        F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max",
+    mean = F.col("_s") / F.col("count")
+    variance = (F.col("_ss") - mean * F.col("_s")) / (F.col("count") - 1)
+    return sums.select(
+        "measure", "count", mean.alias("mean"),
+        F.when(F.col("count") > 1, F.sqrt(F.greatest(variance, F.lit(0.0)))).alias("std"),
+        "min", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max",
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-MAX_ROWS = 200_000
+MAX_ROWS = 1_000_000
 MAX_BYTES = 64 * 1024 * 1024
 HEAD_ROWS = 20_000
 HEAD_KEY_BYTES = 1024
@@ -45,5 +45,6 @@ def keyed_lookup(
     heavy = candidates.orderBy(F.desc(weight), key).limit(head)
     hot_keys = F.broadcast(heavy.select(key))
     hot = rows.join(F.broadcast(heavy), key, "left_semi" if how == "left_semi" else "inner")
-    cold = rows.join(hot_keys, key, "left_anti").join(table, key, how)
+    # The merge hint keeps this join a shuffled one: the table is known to be past the bound.
+    cold = rows.join(hot_keys, key, "left_anti").join(table.hint("merge"), key, how)
     return hot.unionByName(cold.select(*hot.columns))

@@ -118,9 +118,14 @@ def save_and_reload(model: PipelineModel, spark) -> PipelineModel:
 
 
 def word_vectors(df: DataFrame, tokens_col: str, size: int = 16, min_count: int = 5, seed: int = 42):
-    """Word2Vec; its transform averages the vectors of a text."""
+    """Word2Vec; its transform averages the vectors of a text.
+
+    Training is spread over as many tasks as a shuffle has; the default would use one.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     return Word2Vec(
-        vectorSize=size, minCount=min_count, seed=seed, inputCol=tokens_col, outputCol="embedding", maxIter=1
+        vectorSize=size, minCount=min_count, seed=seed, inputCol=tokens_col, outputCol="embedding",
+        maxIter=1, numPartitions=parts,
     ).fit(df)
 
 

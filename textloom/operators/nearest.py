@@ -56,15 +56,22 @@ class _Best:
     def add(self, ids: np.ndarray, vectors: np.ndarray, scopes: np.ndarray) -> None:
         if len(ids) == 0:
             return
+        # In id order, so that the first of equal scores is the lowest id.
+        by_id = np.argsort(ids, kind="stable")
+        ids, vectors, scopes = ids[by_id], vectors[by_id], scopes[by_id]
         score = _scores(self.vectors, vectors, self.metric)
         score[self.scopes[:, None] != scopes[None, :]] = -np.inf
         if not self.self_ok:
             score[self.ids[:, None] == ids[None, :]] = -np.inf
-        score = np.hstack([self.score, score])
-        match = np.hstack([self.match, np.broadcast_to(ids, (len(self.ids), len(ids)))])
-        order = np.lexsort((match, -score), axis=1)[:, : self.k]
-        self.score = np.take_along_axis(score, order, axis=1)
-        self.match = np.take_along_axis(match, order, axis=1)
+        row = np.arange(len(self.ids))
+        for _ in range(min(self.k, len(ids))):
+            top = score.argmax(axis=1)
+            self.score = np.column_stack([self.score, score[row, top]])
+            self.match = np.column_stack([self.match, ids[top]])
+            score[row, top] = -np.inf
+        order = np.lexsort((self.match, -self.score), axis=1)[:, : self.k]
+        self.score = np.take_along_axis(self.score, order, axis=1)
+        self.match = np.take_along_axis(self.match, order, axis=1)
 
     def rows(self) -> pd.DataFrame:
         found = pd.DataFrame(

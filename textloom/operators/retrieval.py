@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from textloom.functions.text import word_tokens
-from textloom.operators.lookup import MAX_ROWS, fits_broadcast, keyed_lookup
+from textloom.operators.lookup import fits_broadcast, keyed_lookup
 from textloom.operators.nearest import nearest_k
 from textloom.operators.vectorize import smooth_idf, unit_tfidf
 from textloom.operators.vocabulary import token_rows
@@ -18,6 +18,7 @@ BM25_K1 = 1.5
 BM25_B = 0.75
 BM25_EPSILON = 0.25
 RANK_DIGITS = 6
+QUERY_TERM_ROWS = 100_000
 
 
 def term_counts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -34,9 +35,9 @@ def best_match(postings: DataFrame, query_terms: DataFrame) -> DataFrame:
     summed where the document lies; only the best of each task is shuffled. A larger query side is
     cut into blocks of queries, one pass over the postings each.
     """
-    if fits_broadcast(query_terms):
+    if fits_broadcast(query_terms, QUERY_TERM_ROWS):
         return _best_of_block(postings, query_terms)
-    blocks = -(-query_terms.count() // (MAX_ROWS // 2))
+    blocks = -(-query_terms.count() // QUERY_TERM_ROWS)
     keyed = materialize(
         query_terms.withColumn("_block", F.pmod(F.xxhash64("query_id"), F.lit(blocks))), "query-terms"
     )

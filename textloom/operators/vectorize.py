@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from textloom.operators.lookup import keyed_lookup
 from textloom.sources.scratch import materialize
@@ -32,24 +32,17 @@ def tfidf_vectors(
 ) -> DataFrame:
     """tf * ln(1 + N / (1 + df)); the unknown id weighs the mean idf of the vocabulary.
 
-    ``n_docs`` is a one-row, one-column table with the number of texts.
+    ``vocab`` carries ``df`` from the fit, ``n_docs`` is a one-row, one-column table with the number
+    of texts. Fitting read the texts once; this reads them once more.
     """
-    counts = count_vectors(tokens, vocab, id_col)
-    df = (
-        counts.filter(F.col("token_id") != UNKNOWN_ID)
-        .groupBy("token_id")
-        .agg(F.count(F.lit(1)).alias("df"))
+    idf = vocab.select(
+        "token_id", "n", F.log1p(n_docs.scalar() / (F.lit(1.0) + F.col("df"))).alias("idf")
     )
-    idf = df.select(
-        "token_id", "df", F.log1p(n_docs.scalar() / (F.lit(1.0) + F.col("df"))).alias("idf")
-    )
-    idf = materialize(idf, "idf")
     unknown = idf.agg(
-        F.lit(UNKNOWN_ID).cast("bigint").alias("token_id"),
-        F.max("df").alias("df"),
-        F.avg("idf").alias("idf"),
+        F.lit(UNKNOWN_ID).cast("bigint").alias("token_id"), F.max("n").alias("n"), F.avg("idf").alias("idf")
     )
-    weighted = keyed_lookup(counts, idf.unionByName(unknown), "token_id", "df")
+    table = materialize(idf.unionByName(unknown), "idf").withColumnRenamed("n", "_total")
+    weighted = keyed_lookup(count_vectors(tokens, vocab, id_col), table, "token_id", "_total")
     return weighted.select(id_col, "token_id", (F.col("n") * F.col("idf")).alias("weight"))
 
 
@@ -63,14 +56,28 @@ def smooth_idf(term_counts: DataFrame, n_docs: DataFrame) -> DataFrame:
 def unit_tfidf(term_counts: DataFrame, idf: DataFrame, id_col: str) -> DataFrame:
     """tf * idf, each text scaled to length one: ``(id, token, weight)``."""
     raw = keyed_lookup(term_counts, idf, "token", "df").withColumn("w", F.col("tf") * F.col("idf"))
-    lengths = raw.groupBy(id_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_len"))
-    return raw.join(lengths, id_col).select(id_col, "token", (F.col("w") / F.col("_len")).alias("weight"))
+    # A text's terms lie together already; its length is one pass over them.
+    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
+    return raw.select(id_col, "token", (F.col("w") / length).alias("weight"))
+
+
+def frequent_terms(idf: DataFrame, n: int) -> DataFrame:
+    """``(token, place)`` of the n tokens found in most texts, ties by token."""
+    order = [F.desc("df"), F.col("token")]
+    # The window sees n rows.
+    return idf.orderBy(*order).limit(n).select(
+        "token", F.row_number().over(Window.orderBy(*order)).alias("place")
+    )
+
 
+def wide_table(vectors: DataFrame, terms: DataFrame, width: int, id_col: str, value: str = "weight") -> DataFrame:
+    """One column per listed term, ``term_1`` ... ``term_<width>``, for every text with a token.
 
-def wide_table(vectors: DataFrame, id_col: str, terms: list[str], value: str = "weight") -> DataFrame:
-    """One column per listed term. The list is given by the caller, so the width is bounded."""
+    ``terms`` is the bounded list ``(token, place)``; the width of the table is fixed by the caller.
+    """
+    placed = vectors.join(F.broadcast(terms), "token", "left")
     columns = [
-        F.coalesce(F.sum(F.when(F.col("token") == term, F.col(value))), F.lit(0.0)).alias(f"term_{i}")
-        for i, term in enumerate(terms, start=1)
+        F.coalesce(F.sum(F.when(F.col("place") == i, F.col(value))), F.lit(0.0)).alias(f"term_{i}")
+        for i in range(1, width + 1)
     ]
-    return vectors.groupBy(id_col).agg(*columns)
+    return placed.groupBy(id_col).agg(*columns)

@@ -13,15 +13,26 @@ OOV = "<UNK>"
 
 
 def token_rows(
-    df: DataFrame, id_col: str, tokens: Column, keep: tuple[str, ...] = (), bigrams: bool = False
+    df: DataFrame,
+    id_col: str,
+    tokens: Column,
+    keep: tuple[str, ...] = (),
+    bigrams: bool = False,
+    spread: bool | None = True,
 ) -> DataFrame:
     """One row per token occurrence: ``(id, pos, token)``, pos from 0.
 
-    The texts are spread by id first. That moves each text once, and every later step that groups
-    by the id finds its rows in place and needs no shuffle of the much larger token table.
+    With ``spread`` the texts are partitioned by id first. That moves each text once, and every
+    later step that groups by the id finds its rows in place and needs no shuffle of the much larger
+    token table. Steps that only group by token need no spreading: they pass None, which spreads
+    only a table of fewer files than there are cores.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    split = df.repartition(parts, F.col(id_col)).select(id_col, *keep, tokens.alias("_tokens"))
+    if spread is None:
+        spread = len(df.inputFiles()) < df.sparkSession.sparkContext.defaultParallelism
+    if spread:
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        df = df.repartition(parts, F.col(id_col))
+    split = df.select(id_col, *keep, tokens.alias("_tokens"))
     if bigrams:
         split = split.select(id_col, *keep, with_bigrams("_tokens").alias("_tokens"))
     # A plain posexplode would add a non-empty check that tokenizes a second time before the shuffle.
@@ -30,16 +41,23 @@ def token_rows(
 
 
 def token_counts(tokens: DataFrame) -> DataFrame:
+    """``(token, n)``; counted map-side first."""
     return tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
+def token_statistics(tokens: DataFrame, id_col: str) -> DataFrame:
+    """``(token, n, df)``: occurrences and number of texts, from one reading of spread tokens."""
+    per_text = tokens.groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("tf"))
+    return per_text.groupBy("token").agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("df"))
+
+
 def build_vocabulary(
     counts: DataFrame,
     first_id: int = 1,
     max_tokens: int | None = None,
     oov_token: str | None = None,
 ) -> DataFrame:
-    """``(token, n, token_id)``: most frequent first, ties by token.
+    """``(token, n, token_id)``: most frequent first, ties by token; ``df`` is kept when given.
 
     ``max_tokens`` bounds the ids, reserved ones included, as ``id < max_tokens``. With
     ``oov_token`` that token takes ``first_id`` and the others follow it.
@@ -52,21 +70,22 @@ def build_vocabulary(
         vocab = capped.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
     else:
         vocab = global_rank(counts, order)
-    vocab = vocab.select("token", "n", (F.col("rank") + start - 1).alias("token_id"))
+    extra = [c for c in counts.columns if c not in ("token", "n")]
+    vocab = vocab.select("token", "n", *extra, (F.col("rank") + start - 1).alias("token_id"))
     if oov_token:
         oov = counts.sparkSession.range(1).select(
             F.lit(oov_token).alias("token"),
             F.lit(0).cast("bigint").alias("n"),
             F.lit(first_id).cast("bigint").alias("token_id"),
         )
-        vocab = oov.unionByName(vocab)
+        vocab = oov.unionByName(vocab, allowMissingColumns=True)
     return materialize(vocab, "vocab")
 
 
 def joint_tokens(df: DataFrame, id_col: str, columns: list[str], tokenizer) -> DataFrame:
-    """Token rows of several text columns together, for one shared vocabulary."""
+    """Token rows of several text columns together, to count one shared vocabulary."""
     stacked = df.select(id_col, F.explode(F.array(*columns)).alias("_text"))
-    return token_rows(stacked, id_col, tokenizer("_text"))
+    return token_rows(stacked, id_col, tokenizer("_text"), spread=None)
 
 
 def tokens_to_ids(

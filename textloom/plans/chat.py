@@ -135,7 +135,7 @@ def ticket_attempts(spark, sf):
 
 
 def _choice_sql(seed: int) -> str:
-    key = "':' || conv_id || ':' || turn"
+    key = "':' || source || ':' || doc_id"
     picked = HASH.format(f"'{seed}-pick' || {key}")
     return (
         f"CASE WHEN {HASH.format(f'{sql_text(str(seed))} || {key}')} / {HASH_RANGE}::DOUBLE < 0.1 "
@@ -143,31 +143,29 @@ def _choice_sql(seed: int) -> str:
     )
 
 
-
 @query(
     "ticket_triage",
-    f"""WITH {ATTEMPTS}, words AS (SELECT conv_id, turn, string_split(text, ' ')[1] AS text, attempt_level,
-          {_choice_sql(42)} AS c1, {_choice_sql(43)} AS c2 FROM levels)
-        SELECT conv_id, turn, CASE WHEN length(text) < 5 THEN 'more_details_needed' ELSE 'hardware_failure' END AS issue_type,
+    f"""WITH tickets AS (SELECT source, doc_id, text, {_choice_sql(42)} AS c1, {_choice_sql(43)} AS c2,
+          (1 + sum({VOICED_SQL}::INT) OVER (PARTITION BY source ORDER BY doc_id))::BIGINT AS attempt_level FROM documents)
+        SELECT source, doc_id, CASE WHEN length(text) < 5 THEN 'more_details_needed' ELSE 'hardware_failure' END AS issue_type,
           CASE WHEN length(text) >= 5 THEN 'support_staff_needed' END AS disposition,
           CASE WHEN length(text) >= 5 THEN 'Escalate to Team X' || CASE WHEN attempt_level > 1 THEN ' (FAQ: example.com/faq)' ELSE '' END END AS resolution,
           CASE WHEN length(text) >= 5 THEN CASE WHEN c1 = 'full' THEN 'device_info=printer_model_X,' ELSE '' END || 'level=' || attempt_level
                || ',priority=high' || CASE WHEN c2 = 'full' THEN ',team_status=available' ELSE '' END || ',user_id=123' ELSE '' END AS collected,
           CASE WHEN length(text) >= 5 THEN 'disposition=' || c1 || ',resolution=' || c2 ELSE '' END AS decisions,
-          CASE WHEN length(text) < 5 THEN 'utter_ask_more_details' ELSE 'utter_present_resolution' END AS reply FROM words""",
+          CASE WHEN length(text) < 5 THEN 'utter_ask_more_details' ELSE 'utter_present_resolution' END AS reply FROM tickets""",
 )
 def ticket_triage(spark, sf):
-    """Triage of the first word of every message, so that both short and clear inputs occur."""
-    messages = load(spark, sf, "conversations").select("conv_id", "turn", "text")
-    levels = chat.attempt_levels(messages, phrases=VOICED)
-    words = levels.withColumn("text", F.split("text", " ")[0])
-    done = chat.triage(words)
+    """Documents as tickets, one thread per source: some texts are too short to act on."""
+    tickets = load(spark, sf, "documents").select("source", "doc_id", "text")
+    levels = chat.attempt_levels(tickets, "source", "doc_id", phrases=VOICED)
+    done = chat.triage(levels, keys=("source", "doc_id"))
 
     def show(entries, key, value):
         return F.array_join(F.transform(entries, lambda e: F.concat(e[key], F.lit("="), e[value])), ",")
 
     return done.select(
-        "conv_id", "turn", "issue_type", "disposition", "resolution",
+        "source", "doc_id", "issue_type", "disposition", "resolution",
         F.coalesce(show(F.array_sort(F.map_entries("collected_data")), "key", "value"), F.lit("")).alias("collected"),
         F.coalesce(show(F.col("decision_log"), "step", "choice"), F.lit("")).alias("decisions"),
         "reply",

@@ -10,21 +10,22 @@ from textloom.operators.ml import mean_vectors, retrieve_lsh
 from textloom.plans.cleaning import pairs
 from textloom.plans.registry import PAIRS, query
 from textloom.plans.text import word_sql
+from textloom.sources.scratch import materialize
 from textloom.sources.tables import load
 
 
-def _bank(spark, sf):
-    return pairs(spark, sf).select(F.col("pair_id").alias("doc_id"), F.col("question").alias("text"))
-
-
 def _asked(spark, sf):
     return load(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
 
 
-def _answered(spark, sf, best):
-    answers = pairs(spark, sf).select(F.col("pair_id").alias("doc_id"), "answer")
-    return best.join(answers, "doc_id").select(
-        "query_id", F.col("doc_id").alias("pair_id"), "score", "answer"
+def _answer_all(spark, sf, retrieve):
+    """Write the FAQ bank once, find the best question for every query, and attach its answer."""
+    bank = materialize(pairs(spark, sf).select("pair_id", "question", "answer"), "faq-bank")
+    best = retrieve(
+        bank.select(F.col("pair_id").alias("doc_id"), F.col("question").alias("text")), _asked(spark, sf)
+    )
+    return best.withColumnRenamed("doc_id", "pair_id").join(bank.select("pair_id", "answer"), "pair_id").select(
+        "query_id", "pair_id", "score", "answer"
     )
 
 
@@ -52,7 +53,7 @@ PICK = """best AS (SELECT item_id, pair_id, score, row_number() OVER (PARTITION
  {PICK}""",
 )
 def retrieve_bm25(spark, sf):
-    return _answered(spark, sf, retrieval.retrieve_bm25(_bank(spark, sf), _asked(spark, sf)))
+    return _answer_all(spark, sf, retrieval.retrieve_bm25)
 
 
 @query(
@@ -65,7 +66,7 @@ def retrieve_bm25(spark, sf):
  {PICK}""",
 )
 def retrieve_tfidf(spark, sf):
-    return _answered(spark, sf, retrieval.retrieve_tfidf(_bank(spark, sf), _asked(spark, sf)))
+    return _answer_all(spark, sf, retrieval.retrieve_tfidf)
 
 
 CENTROIDS = """cells AS (SELECT vec_id, label, generate_subscripts(embedding, 1) AS pos, unnest(embedding)::DOUBLE AS x FROM embeddings),

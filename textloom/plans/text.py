@@ -87,7 +87,7 @@ def question_ids(spark, sf):
 )
 def vocab_keras(spark, sf):
     """Uncapped vocabulary of the documents, saved and loaded back."""
-    tokens = voc.token_rows(load(spark, sf, "documents"), "doc_id", sequence_tokens("text"))
+    tokens = voc.token_rows(load(spark, sf, "documents"), "doc_id", sequence_tokens("text"), spread=None)
     path = new_path(spark, "saved-vocab")
     save_vocabulary(voc.build_vocabulary(voc.token_counts(tokens)), path)
     return load_vocabulary(spark, path)
@@ -120,8 +120,9 @@ dids AS (SELECT doc_id, list(coalesce(CASE WHEN token_id < {NUM_WORDS} THEN toke
 def seq_oov(spark, sf):
     """Whole documents as ids, unknown words and words past the cap on id 1."""
     docs = load(spark, sf, "documents")
+    counted = voc.token_rows(docs, "doc_id", sequence_tokens("text"), spread=None)
+    vocab = voc.build_vocabulary(voc.token_counts(counted), max_tokens=NUM_WORDS, oov_token=voc.OOV)
     tokens = voc.token_rows(docs, "doc_id", sequence_tokens("text"))
-    vocab = voc.build_vocabulary(voc.token_counts(tokens), max_tokens=NUM_WORDS, oov_token=voc.OOV)
     ids = voc.tokens_to_ids(tokens, vocab, oov_id=1, num_words=NUM_WORDS)
     return voc.sequences(ids, docs, "doc_id").select(
         "doc_id", F.size("ids").cast("bigint").alias("n"), seq.render("ids").alias("ids")
@@ -222,18 +223,19 @@ BIGRAMS_SQL = (
 )
 
 
-def document_tokens(spark, sf, bigrams: bool = False):
+def document_tokens(spark, sf, bigrams: bool = False, spread: bool | None = True):
     docs = load(spark, sf, "documents").select("doc_id", "text")
-    return voc.token_rows(docs, "doc_id", stripped_tokens("text"), bigrams=bigrams)
+    return voc.token_rows(docs, "doc_id", stripped_tokens("text"), bigrams=bigrams, spread=spread)
 
 
-def document_vocabulary(tokens, first_id: int = 1):
-    return voc.build_vocabulary(voc.token_counts(tokens), first_id=first_id, max_tokens=MAX_TOKENS)
+def document_vocabulary(spark, sf, first_id: int = 1, bigrams: bool = False):
+    counts = voc.token_counts(document_tokens(spark, sf, bigrams, spread=None))
+    return voc.build_vocabulary(counts, first_id=first_id, max_tokens=MAX_TOKENS)
 
 
 @query("vocab_tv", f"WITH {vectorizer_sql(1)} SELECT token, n, token_id FROM vocab")
 def vocab_tv(spark, sf):
-    return document_vocabulary(document_tokens(spark, sf)).select("token", "n", "token_id")
+    return document_vocabulary(spark, sf).select("token", "n", "token_id")
 
 
 @query(
@@ -247,7 +249,7 @@ def vec_int(spark, sf):
     """Ids with 0 = padding and 1 = unknown at the fixed output length of the vectorizer."""
     docs = load(spark, sf, "documents")
     tokens = document_tokens(spark, sf)
-    vocab = document_vocabulary(tokens, first_id=2)
+    vocab = document_vocabulary(spark, sf, first_id=2)
     # Only cells inside the output length are looked up; the vocabulary counts all of them.
     ids = voc.tokens_to_ids(tokens.filter(F.col("pos") < VECTOR_LENGTH), vocab, oov_id=1)
     return voc.sequences(ids, docs, "doc_id").select(
@@ -258,20 +260,18 @@ def vec_int(spark, sf):
 
 @query("vec_multihot", f"WITH {vectorizer_sql(1)} SELECT doc_id, token_id, 1::INT AS hot FROM vec")
 def vec_multihot(spark, sf):
-    tokens = document_tokens(spark, sf)
-    return vectorize.multi_hot_vectors(tokens, document_vocabulary(tokens), "doc_id")
+    return vectorize.multi_hot_vectors(document_tokens(spark, sf), document_vocabulary(spark, sf), "doc_id")
 
 
 @query("vec_count", f"WITH {vectorizer_sql(1)} SELECT doc_id, token_id, n::BIGINT AS n FROM vec")
 def vec_count(spark, sf):
-    tokens = document_tokens(spark, sf)
-    return vectorize.count_vectors(tokens, document_vocabulary(tokens), "doc_id")
+    return vectorize.count_vectors(document_tokens(spark, sf), document_vocabulary(spark, sf), "doc_id")
 
 
 @query("vec_bigram", f"WITH {vectorizer_sql(1, BIGRAMS_SQL)} SELECT doc_id, token_id, n::BIGINT AS n FROM vec")
 def vec_bigram(spark, sf):
-    tokens = document_tokens(spark, sf, bigrams=True)
-    return vectorize.count_vectors(tokens, document_vocabulary(tokens), "doc_id")
+    vocab = document_vocabulary(spark, sf, bigrams=True)
+    return vectorize.count_vectors(document_tokens(spark, sf, bigrams=True), vocab, "doc_id")
 
 
 @query(
@@ -285,7 +285,8 @@ def vec_bigram(spark, sf):
 def vec_tfidf_keras(spark, sf):
     tokens = document_tokens(spark, sf, bigrams=True)
     n_docs = load(spark, sf, "documents").agg(F.count(F.lit(1)))
-    vectors = vectorize.tfidf_vectors(tokens, document_vocabulary(tokens), n_docs, "doc_id")
+    vocab = voc.build_vocabulary(voc.token_statistics(tokens, "doc_id"), max_tokens=MAX_TOKENS)
+    vectors = vectorize.tfidf_vectors(tokens, vocab, n_docs, "doc_id")
     return vectors.withColumn("weight", F.round("weight", 6))
 
 
@@ -303,30 +304,37 @@ def unit_sql(source: str, key: str, text: str) -> str:
     f"WITH {unit_sql('documents', 'doc_id', 'text')} SELECT doc_id, token, round(weight, 6) AS weight FROM unit",
 )
 def vec_tfidf_l2(spark, sf):
+    vectors, _ = _unit_vectors(spark, sf)
+    return vectors.withColumn("weight", F.round("weight", 6))
+
+
+def _unit_vectors(spark, sf):
     docs = load(spark, sf, "documents")
     tokens = voc.token_rows(docs, "doc_id", word_tokens("text"))
     counts = tokens.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("tf"))
     idf = vectorize.smooth_idf(counts, docs.agg(F.count(F.lit(1))))
-    return vectorize.unit_tfidf(counts, idf, "doc_id").withColumn("weight", F.round("weight", 6))
+    return vectorize.unit_tfidf(counts, idf, "doc_id"), idf
 
 
-WIDE_TERMS = ["und", "the", "la", "que", "in"]
+WIDE = 20
 
 
 @query(
     "vec_wide",
     f"""WITH {unit_sql('documents', 'doc_id', 'text')},
+        terms AS (SELECT token, row_number() OVER (ORDER BY count(*) DESC, token) AS place FROM tf GROUP BY token),
         wide AS (SELECT doc_id, """
-    + ", ".join(
-        f"round(coalesce(sum(weight) FILTER (token = '{t}'), 0), 6) AS term_{i}" for i, t in enumerate(WIDE_TERMS, 1)
-    )
-    + " FROM unit GROUP BY doc_id) SELECT wide.*, lang FROM wide JOIN documents USING (doc_id)",
+    + ", ".join(f"round(coalesce(sum(weight) FILTER (place = {i}), 0), 6) AS term_{i}" for i in range(1, WIDE + 1))
+    + """ FROM unit JOIN terms USING (token) GROUP BY doc_id)
+        SELECT wide.*, lang FROM wide JOIN documents USING (doc_id)""",
 )
 def vec_wide(spark, sf):
-    docs = load(spark, sf, "documents")
-    wide = vectorize.wide_table(vec_tfidf_l2(spark, sf), "doc_id", WIDE_TERMS)
-    rounded = [F.round(f"term_{i}", 6).alias(f"term_{i}") for i in range(1, len(WIDE_TERMS) + 1)]
-    return wide.select("doc_id", *rounded).join(docs.select("doc_id", "lang"), "doc_id")
+    """The most frequent terms as columns, with the class of the document."""
+    vectors, idf = _unit_vectors(spark, sf)
+    wide = vectorize.wide_table(vectors, vectorize.frequent_terms(idf, WIDE), WIDE, "doc_id")
+    rounded = [F.round(f"term_{i}", 6).alias(f"term_{i}") for i in range(1, WIDE + 1)]
+    classes = load(spark, sf, "documents").select("doc_id", "lang")
+    return wide.select("doc_id", *rounded).join(classes, "doc_id")
 
 
 @query("embed_w2v")
