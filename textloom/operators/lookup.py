@@ -48,3 +48,11 @@ def keyed_lookup(
     # The merge hint keeps this join a shuffled one: the table is known to be past the bound.
     cold = rows.join(hot_keys, key, "left_anti").join(table.hint("merge"), key, how)
     return hot.unionByName(cold.select(*hot.columns))
+
+
+def spread_few_files(df: DataFrame, *keys: str) -> DataFrame:
+    """Repartition a table that has fewer files than there are cores; leave any other alone."""
+    spark = df.sparkSession
+    if len(df.inputFiles()) >= spark.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), *keys)

@@ -16,13 +16,16 @@ from pyspark.ml.feature import (
     Word2Vec,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from textloom.functions.text import STRIP_PUNCTUATION
+from textloom.operators.lookup import spread_few_files
 from textloom.operators.nearest import nearest_k
+from textloom.operators.vocabulary import min_count_within
 from textloom.sources.scratch import materialize, new_path
 
 MAX_LABELS = 100
+MAX_WORDS = 50_000
 
 
 def _quoted(text: str) -> str:
@@ -56,6 +59,7 @@ def fit_multilabel(
     """
     if len(labels) > MAX_LABELS:
         raise ValueError(f"binary relevance is meant for at most {MAX_LABELS} labels")
+    train = spread_few_files(train)
     features = fit_features(train, text_col, vocab_size)
     table = materialize(features.transform(train).select("features", labels_col), "features")
     models = {}
@@ -103,6 +107,12 @@ def classifier(
     return Pipeline(stages=stages)
 
 
+def fit_classifier(
+    train: DataFrame, text_cols: list[str], label_col: str, vocab_size: int = 1000, max_iter: int = 10
+) -> PipelineModel:
+    return classifier(text_cols, label_col, vocab_size, max_iter).fit(spread_few_files(train))
+
+
 def predict(model: PipelineModel, df: DataFrame, id_col: str) -> DataFrame:
     """``(id, predicted, p)``: most probable class name and its probability."""
     labels = model.stages[0].labels
@@ -117,15 +127,17 @@ def save_and_reload(model: PipelineModel, spark) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def word_vectors(df: DataFrame, tokens_col: str, size: int = 16, min_count: int = 5, seed: int = 42):
+def word_vectors(df: DataFrame, tokens_col: str, size: int = 16, max_words: int = MAX_WORDS, seed: int = 42):
     """Word2Vec; its transform averages the vectors of a text.
 
-    Training is spread over as many tasks as a shuffle has; the default would use one.
+    The vocabulary is bounded by raising the lowest frequency it takes, and training is spread
+    over as many tasks as a shuffle has; the default would use one.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    df = spread_few_files(df)
+    counts = df.select(F.explode(tokens_col).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     return Word2Vec(
-        vectorSize=size, minCount=min_count, seed=seed, inputCol=tokens_col, outputCol="embedding",
-        maxIter=1, numPartitions=parts,
+        vectorSize=size, minCount=max(min_count_within(counts, max_words), 1), seed=seed, inputCol=tokens_col,
+        outputCol="embedding", maxIter=1, numPartitions=int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")),
     ).fit(df)
 
 

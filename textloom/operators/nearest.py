@@ -10,7 +10,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from textloom.operators.lookup import fits_broadcast
+from textloom.operators.lookup import fits_broadcast, keyed_lookup
+from textloom.sources.scratch import materialize
 
 QUERY_ROWS = 4096
 QUERY_BYTES = 64 * 1024 * 1024
@@ -158,10 +159,10 @@ def _grid(
         size = F.ceil(F.count(F.lit(1)) / block_rows).cast("int")
         return df.groupBy("s").agg(size.alias(out))
 
-    plan = blocks(queries, "_nq").join(blocks(bank, "_nb"), "s")
+    plan = materialize(blocks(queries, "_nq").join(blocks(bank, "_nb"), "s"), "grid")
 
     def place(df: DataFrame, own: str, other: str, own_out: str, other_out: str) -> DataFrame:
-        joined = df.join(plan, "s")
+        joined = keyed_lookup(df, plan, "s", "_nb")
         own_block = F.pmod(F.xxhash64("id"), F.col(own)).cast("int")
         every = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
         return joined.select("id", "v", "s", own_block.alias(own_out), every.alias(other_out))

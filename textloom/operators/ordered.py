@@ -4,6 +4,9 @@ A plain window would sort all rows of a key in one task. Here each key is cut in
 ``span`` order values: the window runs inside a block, one summary row per block carries values
 over block borders, and the two are joined on (key, block). The order column must be unique
 within its key, so that a block never holds more than ``span`` rows.
+
+When the order values of the whole table are measured to lie in one block, as with short
+conversations, no key can hold more than ``span`` rows and a plain window does.
 """
 
 from __future__ import annotations
@@ -19,6 +22,30 @@ def _as_column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def _one_block(df: DataFrame, order: str, span: int) -> bool:
+    """True when every order value of the table falls into the same ``span`` values."""
+    low, high = df.agg(F.min(order), F.max(order)).first()
+    return low is None or high - low < span
+
+
+def _plain_window(
+    df: DataFrame,
+    keys: list[str],
+    order: str,
+    sums: dict[str, Column | str],
+    lasts: dict[str, Column | str],
+    nexts: dict[str, Column | str],
+    prevs: dict[str, Column | str],
+) -> DataFrame:
+    rows = Window.partitionBy(*keys).orderBy(order)
+    upto = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = [F.coalesce(F.sum(_as_column(v)).over(upto), F.lit(0)).alias(n) for n, v in sums.items()]
+    out += [F.last(_as_column(v), ignorenulls=True).over(upto).alias(n) for n, v in lasts.items()]
+    out += [F.lead(_as_column(v)).over(rows).alias(n) for n, v in nexts.items()]
+    out += [F.lag(_as_column(v)).over(rows).alias(n) for n, v in prevs.items()]
+    return df.select("*", *out)
+
+
 def blocked_window(
     df: DataFrame,
     keys: Sequence[str],
@@ -29,10 +56,16 @@ def blocked_window(
     nexts: dict[str, Column | str] | None = None,
     prevs: dict[str, Column | str] | None = None,
     span: int = SPAN,
+    measure: bool = True,
 ) -> DataFrame:
-    """Add running sums, last non-null values so far, and values of the next / previous row."""
+    """Add running sums, last non-null values so far, and values of the next / previous row.
+
+    ``measure=False`` skips the look at the order range where it is known to be wide.
+    """
     sums, lasts, nexts, prevs = sums or {}, lasts or {}, nexts or {}, prevs or {}
     keys = list(keys)
+    if measure and _one_block(df, order, span):
+        return _plain_window(df, keys, order, sums, lasts, nexts, prevs)
     block_keys = [*keys, "_block"]
     blocked = df.withColumn("_block", F.floor(F.col(order) / F.lit(span)))
 

@@ -29,10 +29,10 @@ def sessions(
     """
     gap = gap_minutes * 60 * MICROS
     instants = events.groupBy(F.col(user), micros(ts).alias("_t")).agg(F.count(F.lit(1)).alias("_n"))
-    linked = blocked_window(instants, [user], "_t", prevs={"_prev_t": "_t"}, span=DAY_MICROS)
+    linked = blocked_window(instants, [user], "_t", prevs={"_prev_t": "_t"}, span=DAY_MICROS, measure=False)
     opens = F.col("_prev_t").isNull() | (F.col("_t") - F.col("_prev_t") > gap)
     numbered = blocked_window(
-        linked, [user], "_t", lasts={"_start": F.when(opens, F.col("_t"))}, span=DAY_MICROS
+        linked, [user], "_t", lasts={"_start": F.when(opens, F.col("_t"))}, span=DAY_MICROS, measure=False
     )
     return numbered.groupBy(user, F.col("_start").alias("session_start")).agg(
         (F.max("_t") + gap).alias("session_end"), F.sum("_n").alias("n_events")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from textloom.functions.text import with_bigrams
-from textloom.operators.lookup import keyed_lookup
+from textloom.operators.lookup import keyed_lookup, spread_few_files
 from textloom.operators.ranking import global_rank
 from textloom.sources.scratch import materialize
 
@@ -28,8 +28,8 @@ def token_rows(
     only a table of fewer files than there are cores.
     """
     if spread is None:
-        spread = len(df.inputFiles()) < df.sparkSession.sparkContext.defaultParallelism
-    if spread:
+        df = spread_few_files(df, id_col)
+    elif spread:
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
         df = df.repartition(parts, F.col(id_col))
     split = df.select(id_col, *keep, tokens.alias("_tokens"))
@@ -51,6 +51,16 @@ def token_statistics(tokens: DataFrame, id_col: str) -> DataFrame:
     return per_text.groupBy("token").agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("df"))
 
 
+def min_count_within(counts: DataFrame, max_tokens: int) -> int:
+    """The lowest frequency that at most ``max_tokens`` tokens reach."""
+    by_count = counts.groupBy("n").agg(F.count(F.lit(1)).alias("_tokens"))
+    # One row per distinct frequency.
+    reached = F.sum("_tokens").over(Window.orderBy(F.desc("n")))
+    allowed = by_count.withColumn("_reached", reached).filter(F.col("_reached") <= max_tokens)
+    lowest, highest = allowed.agg(F.min("n")).first()[0], by_count.agg(F.max("n")).first()[0]
+    return lowest if lowest is not None else (highest or 0) + 1
+
+
 def build_vocabulary(
     counts: DataFrame,
     first_id: int = 1,

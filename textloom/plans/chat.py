@@ -298,7 +298,7 @@ def stream_sessions(spark, sf):
 def stream_attempts(spark, sf):
     arriving = streams.table_stream(spark, sf, "conversations")
     state = streams.thread_state(arriving, phrases=VOICED, describing=DESCRIBING)
-    return streams.drain_complete(state, "stream-attempts")
+    return streams.drain_update(state, ["conv_id"], "stream-attempts")
 
 
 @query("stream_dedup", "SELECT event_id, user_id, event_type FROM events")

@@ -16,9 +16,11 @@ from textloom.operators.splits import three_way
 from textloom.plans.cleaning import labelled, pairs
 from textloom.plans.registry import query
 from textloom.plans.retrieval import CENTROIDS, centroids
+from textloom.sources.scratch import materialize
 from textloom.sources.tables import load
 
 SCALE, SHIFT = 10.0, 0.3
+SALTS = 256
 
 SCORES = f"""{CENTROIDS},
  scores AS (SELECT c.vec_id, c.label::BIGINT AS label_id, 'label_' || c.label AS label, (e.label = c.label)::INT AS y,
@@ -31,11 +33,16 @@ def scores(spark, sf):
     """``(vec_id, label_id, label, y, logit, p)`` for every vector and label."""
     vectors = load(spark, sf, "embeddings")
     own = vectors.select("vec_id", F.col("label").alias("own"), F.posexplode("embedding").alias("pos", "x"))
-    means = centroids(spark, sf).select("label", F.posexplode("embedding").alias("pos", "c"))
-    # Labels x cells rows; joined on the cell, so nothing is crossed.
-    side = F.broadcast(means) if fits_broadcast(means) else means
+    means = materialize(centroids(spark, sf).select("label", F.posexplode("embedding").alias("pos", "c")), "means")
+    # Labels x cells rows, joined on the cell. Past the broadcast bound the few cells are salted.
+    if fits_broadcast(means):
+        joined = own.join(F.broadcast(means), "pos")
+    else:
+        salt = F.pmod(F.xxhash64("vec_id"), F.lit(SALTS)).cast("int").alias("salt")
+        copies = means.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        joined = own.select("*", salt).join(copies, ["pos", "salt"])
     x, c = F.col("x").cast("double"), F.col("c")
-    products = own.join(side, "pos").groupBy("vec_id", "own", "label").agg(
+    products = joined.groupBy("vec_id", "own", "label").agg(
         F.sum(x * c).alias("xc"), F.sum(x * x).alias("xx"), F.sum(c * c).alias("cc")
     )
     cos = F.round(F.col("xc") / F.sqrt(F.col("xx")) / F.sqrt(F.col("cc")), 9)
@@ -185,13 +192,13 @@ def clf_multilabel(spark, sf):
 def clf_multiclass(spark, sf):
     """Language of a document from its text."""
     rows = three_way(load(spark, sf, "documents").select("doc_id", "text", "lang"), "doc_id")
-    model = ml.classifier(["text"], "lang").fit(rows.filter("split = 'train'"))
+    model = ml.fit_classifier(rows.filter("split = 'train'"), ["text"], "lang")
     return ml.predict(model, rows.filter("split <> 'train'"), "doc_id")
 
 
 def _pair_classes(spark, sf):
-    """FAQ pairs with their class: the length band of the conversation's first question word count."""
-    size = F.size(F.split("answer", " "))
+    """FAQ pairs with a class: the length band of the answer."""
+    size = F.size(F.split(F.col("answer"), " "))
     band = F.when(size < 20, "short").when(size < 60, "medium").otherwise("long")
     return three_way(pairs(spark, sf).withColumn("band", band), "pair_id")
 
@@ -201,8 +208,8 @@ def clf_dual(spark, sf):
     """Two text inputs in training; a question-only model scores beside it, without the answer."""
     rows = _pair_classes(spark, sf)
     train, rest = rows.filter("split = 'train'"), rows.filter("split <> 'train'")
-    dual = ml.predict(ml.classifier(["question", "answer"], "band").fit(train), rest, "pair_id")
-    alone = ml.classifier(["question"], "band").fit(train)
+    dual = ml.predict(ml.fit_classifier(train, ["question", "answer"], "band"), rest, "pair_id")
+    alone = ml.fit_classifier(train, ["question"], "band")
     single = ml.predict(alone, rest.select("pair_id", "question"), "pair_id")
     return dual.join(
         single.select("pair_id", F.col("predicted").alias("predicted_alone"), F.col("p").alias("p_alone")), "pair_id"
@@ -216,6 +223,6 @@ def clf_dual(spark, sf):
 def clf_reload_match(spark, sf):
     """Predictions of a fitted pipeline and of the same pipeline saved and loaded again."""
     rows = load(spark, sf, "documents").select("doc_id", "text", "lang")
-    model = ml.classifier(["text"], "lang", max_iter=3).fit(rows)
+    model = ml.fit_classifier(rows, ["text"], "lang", max_iter=3)
     again = ml.save_and_reload(model, spark)
     return metrics.all_close(ml.predict(model, rows, "doc_id"), ml.predict(again, rows, "doc_id"), ["doc_id"], "p")

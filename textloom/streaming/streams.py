@@ -83,25 +83,37 @@ def drain_append(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def drain_complete(stream: DataFrame, name: str) -> DataFrame:
-    """Run a complete-mode aggregate over all input present and return its last state.
-
-    Every micro-batch writes its own folder, so a retried batch overwrites only itself.
-    """
+def _drain_batches(stream: DataFrame, name: str, mode: str) -> str:
+    """Run a stream over all input present; every micro-batch writes its own folder, so a
+    retried batch overwrites only itself. Returns the folder of the batches."""
     spark = stream.sparkSession
     path = new_path(spark, name)
-    written: list[int] = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        written.append(batch_id)
 
     query = (
         stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", new_path(spark, f"{name}-state"))
-        .outputMode("complete")
+        .outputMode(mode)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{path}/batch={max(written)}")
+    return path
+
+
+def drain_complete(stream: DataFrame, name: str) -> DataFrame:
+    """Last state of a small complete-mode aggregate."""
+    path = _drain_batches(stream, name, "complete")
+    batches = stream.sparkSession.read.schema(stream.schema).parquet(path)
+    return batches.filter(F.col("batch") == batches.agg(F.max("batch")).scalar()).drop("batch")
+
+
+def drain_update(stream: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Last state per key of an update-mode aggregate: batches hold only the keys they changed."""
+    path = _drain_batches(stream, name, "update")
+    batches = stream.sparkSession.read.schema(stream.schema).parquet(path)
+    values = F.struct(*[c for c in stream.columns if c not in keys])
+    latest = batches.groupBy(*keys).agg(F.max_by(values, "batch").alias("_v"))
+    return latest.select(*keys, "_v.*").select(*stream.columns)
