@@ -5,7 +5,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import glob
+import io
 import os
 import sys
 import time
@@ -43,11 +45,22 @@ def kinds(schema) -> dict[str, str]:
     return {f.name: str(f.type).replace("large_", "") for f in schema}
 
 
+def crossings(frame) -> list[str]:
+    """Joins without an equality that the plan of a query holds."""
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        frame.explain()
+    return [j for j in ("CartesianProduct", "BroadcastNestedLoopJoin") if j in text.getvalue()]
+
+
 def compare(spark, con, sf_dir: str, fn, sql: str | None) -> str | None:
     """None when equal, else what differs."""
     start = time.time()
-    result = fn(spark, sf_dir).toArrow()
+    frame = fn(spark, sf_dir)
+    result = frame.toArrow()
     spent.append(time.time() - start)
+    if crossing := crossings(frame):
+        return f"plan has {crossing}"
     if sql is None:
         return None if result.num_rows else "no rows"
     wanted = con.sql(sql).to_arrow_table()

@@ -94,12 +94,11 @@ def embed_mean(spark, sf):
     "retrieve_dense",
     f"""WITH {CENTROIDS}, ranked AS (SELECT label::BIGINT AS query_id, vec_id AS match_id, cos,
           row_number() OVER (PARTITION BY label ORDER BY round(cos, 9) DESC, vec_id) AS place FROM cosines)
-        SELECT query_id, place, match_id, round(cos, 6) AS score FROM ranked WHERE place <= 3""",
+        SELECT query_id, place, match_id, round(cos, 9) AS score FROM ranked WHERE place <= 3""",
 )
 def retrieve_dense(spark, sf):
     """The three bank vectors closest to every label mean, over the whole bank."""
-    best = retrieval.retrieve_dense(load(spark, sf, "embeddings"), centroids(spark, sf), k=3)
-    return best.withColumn("score", F.round("score", 6))
+    return retrieval.retrieve_dense(load(spark, sf, "embeddings"), centroids(spark, sf), k=3)
 
 
 @query(
@@ -107,7 +106,7 @@ def retrieve_dense(spark, sf):
     f"""WITH {CENTROIDS}, ranked AS (SELECT c.label::BIGINT AS query_id, c.vec_id AS match_id, cos,
           row_number() OVER (PARTITION BY c.label ORDER BY round(cos, 9) DESC, c.vec_id) AS place
           FROM cosines c JOIN embeddings e ON e.vec_id = c.vec_id AND e.label = c.label)
-        SELECT query_id, match_id, round(cos, 6) AS score,
+        SELECT query_id, match_id, round(cos, 9) AS score,
                'user''s question: ' || query_id || ' description: ' || match_id AS prompt FROM ranked WHERE place = 1""",
 )
 def retrieve_category(spark, sf):
@@ -116,7 +115,7 @@ def retrieve_category(spark, sf):
     return best.select(
         "query_id",
         "match_id",
-        F.round("score", 6).alias("score"),
+        "score",
         F.format_string("user's question: %s description: %s", "query_id", "match_id").alias("prompt"),
     )
 

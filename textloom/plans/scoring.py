@@ -24,8 +24,8 @@ SALTS = 256
 
 SCORES = f"""{CENTROIDS},
  scores AS (SELECT c.vec_id, c.label::BIGINT AS label_id, 'label_' || c.label AS label, (e.label = c.label)::INT AS y,
-                   round({SCALE} * (round(cos, 9) - {SHIFT}), 6) AS logit,
-                   round(1 / (1 + exp(-{SCALE} * (round(cos, 9) - {SHIFT}))), 6) AS p
+                   round({SCALE} * (cos - {SHIFT}), 6) AS logit,
+                   round(1 / (1 + exp(-{SCALE} * (cos - {SHIFT}))), 6) AS p
             FROM cosines c JOIN embeddings e USING (vec_id))"""
 
 
@@ -45,7 +45,7 @@ def scores(spark, sf):
     products = joined.groupBy("vec_id", "own", "label").agg(
         F.sum(x * c).alias("xc"), F.sum(x * x).alias("xx"), F.sum(c * c).alias("cc")
     )
-    cos = F.round(F.col("xc") / F.sqrt(F.col("xx")) / F.sqrt(F.col("cc")), 9)
+    cos = F.col("xc") / F.sqrt(F.col("xx")) / F.sqrt(F.col("cc"))
     logit = F.lit(SCALE) * (cos - F.lit(SHIFT))
     return products.select(
         "vec_id",

@@ -19,12 +19,13 @@ CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
-    """CSV with a header and quoted multi-line texts; columns come from the schema, never inferred."""
+    """CSV with a header and quoted multi-line texts; an empty field is missing. Columns come from
+    the schema, never inferred."""
     return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.options(header="true", quote='"', escape='"', quoteAll="true", emptyValue="").csv(path)
+    df.write.options(header="true", quote='"', escape='"', quoteAll="true").csv(path)
 
 
 def read_json_array(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
