@@ -334,3 +334,16 @@ def test_saved_pipeline_predicts_the_same(spark):
     first, second = ml.predict(model, df, "id"), ml.predict(again, df, "id")
     assert tuple(metrics.all_close(first, second, ["id"], "p").first()) == (20, True)
     assert {(r.id % 2, r.predicted) for r in first.collect()} == {(1, "up"), (0, "down")}
+
+
+def test_text_encoder_slot(spark):
+    from textloom.functions.encoders import text_encoder
+
+    def load():
+        import numpy as np
+
+        return lambda texts: np.array([[len(t), t.count(" ")] for t in texts])
+
+    df = spark.createDataFrame([(1, "a bc"), (2, None)], "id bigint, t string")
+    got = df.select("id", text_encoder(load)("t").alias("v"))
+    assert rows_of(got) == [(1, [4.0, 1.0]), (2, [0.0, 0.0])]

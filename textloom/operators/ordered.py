@@ -57,14 +57,16 @@ def blocked_window(
     prevs: dict[str, Column | str] | None = None,
     span: int = SPAN,
     measure: bool = True,
+    measure_on: DataFrame | None = None,
 ) -> DataFrame:
     """Add running sums, last non-null values so far, and values of the next / previous row.
 
-    ``measure=False`` skips the look at the order range where it is known to be wide.
+    ``measure=False`` skips the look at the order range where it is known to be wide;
+    ``measure_on`` names a cheaper table that covers the range, such as the unfiltered input.
     """
     sums, lasts, nexts, prevs = sums or {}, lasts or {}, nexts or {}, prevs or {}
     keys = list(keys)
-    if measure and _one_block(df, order, span):
+    if measure and _one_block(df if measure_on is None else measure_on, order, span):
         return _plain_window(df, keys, order, sums, lasts, nexts, prevs)
     block_keys = [*keys, "_block"]
     blocked = df.withColumn("_block", F.floor(F.col(order) / F.lit(span)))

@@ -18,7 +18,7 @@ def extract_pairs(lines: DataFrame, doc: str, line_no: str, text: str, span: int
         doc, line_no, body.alias("_line"), F.lower(F.substring(body, 1, 2)).alias("_mark")
     ).filter(F.col("_mark").isin("q:", "a:"))
     grouped = blocked_window(
-        marked, [doc], line_no, lasts={"_q": F.when(F.col("_mark") == "q:", F.col(line_no))}, span=span
+        marked, [doc], line_no, lasts={"_q": F.when(F.col("_mark") == "q:", F.col(line_no))}, span=span, measure_on=lines
     ).filter(F.col("_q").isNotNull())
     answers = F.max_by("_line", F.when(F.col("_mark") == "a:", F.col(line_no)))
     questions = F.max_by("_line", F.when(F.col("_mark") == "q:", F.col(line_no)))

@@ -34,11 +34,13 @@ def csv_roundtrip(spark, sf):
     f"WITH {PAIRS} SELECT question, answer, length(question) < 60 AS found_duplicate FROM pairs",
 )
 def json_roundtrip(spark, sf):
+    """Arrays of at most 1000 question/answer objects, read back to rows."""
     path = new_path(spark, "faq-json")
     flagged = pairs(spark, sf).select(
-        "question", "answer", (F.length("question") < 60).alias("found_duplicate")
+        "conv_id", F.floor(F.col("turn") / 1000).alias("part"),
+        "question", "answer", (F.length("question") < 60).alias("found_duplicate"),
     )
-    files.write_json_lines(flagged, path)
+    files.write_json_arrays(flagged, path, "conv_id", "part")
     return files.read_json_lines(spark, path, files.FAQ_RAW)
 
 

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from textloom.functions import labels as lab
 from textloom.operators import labels as ops
+from textloom.operators.splits import three_way
 from textloom.plans.cleaning import labelled, pairs, printed_terms
-from textloom.plans.registry import LABELLED, PAIRS, query
+from textloom.plans.registry import HASH, LABELLED, PAIRS, query
 
 def _vocab_sql(order: str, offset: int) -> str:
     return f"""lcounts AS (SELECT label, count(*) AS n FROM (SELECT unnest(terms) AS label FROM labelled) GROUP BY label),
@@ -110,6 +111,20 @@ def label_index(spark, sf):
     return rows.select("pair_id", "label_id").join(inverse, "label_id").select("pair_id", "label_id", "label")
 
 
+@query(
+    "label_lookup",
+    f"""WITH {PAIRS}, train AS (SELECT answer, count(*) AS n FROM pairs
+          WHERE {HASH.format("'42:' || pair_id")} % 100 < 80 GROUP BY answer),
+        vocab AS (SELECT answer, row_number() OVER (ORDER BY n DESC, answer) AS id FROM train)
+        SELECT pair_id, coalesce(id, 0) AS label_id FROM pairs LEFT JOIN vocab USING (answer)""",
+)
+def label_lookup(spark, sf):
+    """Single labels to ids of a vocabulary fitted on the train part; unseen labels fall on id 0."""
+    rows = three_way(pairs(spark, sf).select("pair_id", F.array("answer").alias("labels")), "pair_id")
+    vocab = ops.frequent_label_ids(ops.label_counts(rows.filter("split = 'train'"), "labels"))
+    return ops.encode(rows, "pair_id", "labels", vocab, unknown_id=0)
+
+
 @query(
     "label_onehot",
     """WITH c AS (SELECT lang, row_number() OVER (ORDER BY lang) - 1 AS label_id FROM (SELECT DISTINCT lang FROM documents))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from textloom.functions.text import word_tokens
 from textloom.functions.vectors import cosine
 from textloom.operators import retrieval
-from textloom.operators.ml import mean_vectors, retrieve_lsh
+from textloom.operators.ml import mean_vectors, retrieve_lsh, word_vectors
 from textloom.plans.cleaning import pairs
 from textloom.plans.registry import PAIRS, query
 from textloom.plans.text import word_sql
@@ -131,6 +133,24 @@ def cosine_pairs(spark, sf):
     return rows.select("vec_id", "label", F.round(cosine("embedding", "mean"), 6).alias("cosine"))
 
 
+@query("retrieve_encoded")
+def retrieve_encoded(spark, sf):
+    """Dense retrieval over encoded texts: Word2Vec means of the FAQ questions and the queries."""
+    bank = materialize(
+        pairs(spark, sf).select(F.col("pair_id").alias("vec_id"), "answer", word_tokens("question").alias("tokens")),
+        "faq-tokens",
+    )
+    model = word_vectors(bank, "tokens")
+
+    def encode(df):
+        return model.transform(df).withColumn("embedding", vector_to_array("embedding"))
+
+    asked = load(spark, sf, "benchmark").select(F.col("item_id").alias("vec_id"), word_tokens("text").alias("tokens"))
+    best = retrieval.retrieve_dense(encode(bank), encode(asked))
+    answers = bank.select(F.col("vec_id").alias("match_id"), "answer")
+    return best.join(answers, "match_id").select("query_id", "match_id", "score", "answer")
+
+
 @query("retrieve_lsh")
 def retrieve_lsh_query(spark, sf):
     return retrieve_lsh(load(spark, sf, "embeddings"), centroids(spark, sf))

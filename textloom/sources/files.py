@@ -33,8 +33,18 @@ def read_json_array(spark: SparkSession, path: str, schema: str | StructType) ->
     return spark.read.schema(schema).option("multiLine", "true").json(path)
 
 
+def write_json_arrays(df: DataFrame, path: str, *chunk: str) -> None:
+    """One JSON array of objects per line, one line per value of the ``chunk`` columns.
+
+    The caller picks the chunk so that an array stays small; its columns are not written.
+    """
+    objects = F.collect_list(F.struct(*[c for c in df.columns if c not in chunk]))
+    arrays = df.groupBy(*chunk).agg(objects.alias("_objects"))
+    arrays.select(F.to_json("_objects", {"ignoreNullFields": "false"}).alias("value")).write.text(path)
+
+
 def read_json_lines(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
-    """One object per line: the splittable form for large inputs."""
+    """One object, or one array of objects, per line: the splittable form for large inputs."""
     return spark.read.schema(schema).json(path)
 
 
