@@ -50,9 +50,18 @@ def keyed_lookup(
     return hot.unionByName(cold.select(*hot.columns))
 
 
+def has_few_files(df: DataFrame) -> bool:
+    """True when a table has fewer files than the cluster has cores."""
+    return len(df.inputFiles()) < df.sparkSession.sparkContext.defaultParallelism
+
+
+def spread_count(df: DataFrame) -> int:
+    """Tasks to spread a table over: the shuffle setting, but no more than two per core for few files."""
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return min(parts, 2 * spark.sparkContext.defaultParallelism) if has_few_files(df) else parts
+
+
 def spread_few_files(df: DataFrame, *keys: str) -> DataFrame:
     """Repartition a table that has fewer files than there are cores; leave any other alone."""
-    spark = df.sparkSession
-    if len(df.inputFiles()) >= spark.sparkContext.defaultParallelism:
-        return df
-    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), *keys)
+    return df.repartition(spread_count(df), *keys) if has_few_files(df) else df

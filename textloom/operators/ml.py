@@ -19,13 +19,14 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from textloom.functions.text import STRIP_PUNCTUATION
-from textloom.operators.lookup import spread_few_files
+from textloom.operators.lookup import spread_count, spread_few_files
 from textloom.operators.nearest import nearest_k
 from textloom.operators.vocabulary import min_count_within
 from textloom.sources.scratch import materialize, new_path
 
 MAX_LABELS = 100
 MAX_WORDS = 50_000
+WORDS_PER_TASK = 200_000
 
 
 def _quoted(text: str) -> str:
@@ -131,13 +132,16 @@ def word_vectors(df: DataFrame, tokens_col: str, size: int = 16, max_words: int
     """Word2Vec; its transform averages the vectors of a text.
 
     The vocabulary is bounded by raising the lowest frequency it takes, and training is spread
-    over as many tasks as a shuffle has; the default would use one.
+    over tasks by the amount of text; the default would use one task.
     """
     df = spread_few_files(df)
     counts = df.select(F.explode(tokens_col).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(counts, "word-counts")
+    words = counts.agg(F.sum("n")).first()[0] or 0
+    parts = min(spread_count(df), max(1, words // WORDS_PER_TASK))
     return Word2Vec(
         vectorSize=size, minCount=max(min_count_within(counts, max_words), 1), seed=seed, inputCol=tokens_col,
-        outputCol="embedding", maxIter=1, numPartitions=int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")),
+        outputCol="embedding", maxIter=1, numPartitions=parts,
     ).fit(df)
 
 

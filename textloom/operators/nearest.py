@@ -3,16 +3,21 @@ a task hands on only the k best of each of its queries."""
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, Window, functions as F
 
 from textloom.operators.lookup import fits_broadcast, keyed_lookup
 from textloom.sources.scratch import materialize
 
+# The helpers travel with the tasks, so executors need no copy of this package.
+register_pickle_by_value(sys.modules[__name__])
+
 QUERY_ROWS = 4096
 QUERY_BYTES = 64 * 1024 * 1024
 BLOCK_ROWS = 4096

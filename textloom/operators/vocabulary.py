@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from textloom.functions.text import with_bigrams
-from textloom.operators.lookup import keyed_lookup, spread_few_files
+from textloom.operators.lookup import keyed_lookup, spread_count, spread_few_files
 from textloom.operators.ranking import global_rank
 from textloom.sources.scratch import materialize
 
@@ -30,8 +30,7 @@ def token_rows(
     if spread is None:
         df = spread_few_files(df, id_col)
     elif spread:
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-        df = df.repartition(parts, F.col(id_col))
+        df = df.repartition(spread_count(df), F.col(id_col))
     split = df.select(id_col, *keep, tokens.alias("_tokens"))
     if bigrams:
         split = split.select(id_col, *keep, with_bigrams("_tokens").alias("_tokens"))
@@ -128,7 +127,7 @@ def sequences(ids: DataFrame, texts: DataFrame, id_col: str) -> DataFrame:
 
 def decode(ids: DataFrame, vocab: DataFrame, id_col: str, stop_token: str | None = None) -> DataFrame:
     """Id arrays back to text; padding and unknown ids are skipped, decoding ends before ``stop_token``."""
-    cells = ids.select(id_col, "ids").repartition(F.col(id_col)).select(
+    cells = ids.select(id_col, "ids").repartition(spread_count(ids), F.col(id_col)).select(
         id_col, F.posexplode("ids").alias("pos", "token_id")
     )
     known = vocab.select("token_id", "token", "n")
