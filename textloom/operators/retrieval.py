@@ -10,7 +10,7 @@ from textloom.functions.text import word_tokens
 from textloom.operators.lookup import fits_broadcast, keyed_lookup
 from textloom.operators.nearest import nearest_k
 from textloom.operators.vectorize import smooth_idf, unit_tfidf
-from textloom.operators.vocabulary import token_rows
+from textloom.operators.vocabulary import token_rows, token_statistics
 from textloom.sources.scratch import materialize
 
 # Okapi parameters.
@@ -72,23 +72,24 @@ def _with_default(best: DataFrame, queries: DataFrame, docs: DataFrame) -> DataF
 
 
 def bm25_statistics(docs: DataFrame) -> DataFrame:
-    """``(token, df, idf)`` with negative idf replaced by a share of the mean idf."""
-    counts = term_counts(docs, "doc_id", "text")
+    """``(token, n, df, idf)`` with negative idf replaced by a share of the mean idf."""
+    tokens = token_rows(docs, "doc_id", word_tokens("text"))
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    df = counts.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    raw = materialize(
-        df.withColumn("raw", F.log(n_docs - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)), "idf"
-    )
+    raw_idf = F.log(n_docs - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
+    raw = materialize(token_statistics(tokens, "doc_id").withColumn("raw", raw_idf), "idf")
     floor = raw.agg(F.avg("raw") * BM25_EPSILON).scalar()
-    return raw.select("token", "df", F.when(F.col("raw") < 0, floor).otherwise(F.col("raw")).alias("idf"))
+    return raw.select("token", "n", "df", F.when(F.col("raw") < 0, floor).otherwise(F.col("raw")).alias("idf"))
 
 
 def retrieve_bm25(docs: DataFrame, queries: DataFrame) -> DataFrame:
-    """Best document per query by Okapi BM25. ``docs (doc_id, text)``, ``queries (query_id, text)``."""
+    """Best document per query by Okapi BM25. ``docs (doc_id, text)``, ``queries (query_id, text)``.
+
+    The texts are read once to fit the token statistics and once to score.
+    """
     idf = bm25_statistics(docs)
-    sized = docs.select("doc_id", "text", F.size(word_tokens("text")).alias("_dl"))
-    mean_length = sized.agg(F.avg("_dl")).scalar()
-    tokens = token_rows(sized, "doc_id", word_tokens("text"), keep=("_dl",))
+    n_docs = docs.agg(F.count(F.lit(1)).cast("double")).scalar()
+    mean_length = idf.agg(F.sum("n")).scalar() / n_docs
+    tokens = token_rows(docs, "doc_id", word_tokens("text"), length="_dl")
     counts = tokens.groupBy("doc_id", "token").agg(
         F.count(F.lit(1)).alias("tf"), F.first("_dl").alias("_dl")
     )
@@ -97,7 +98,7 @@ def retrieve_bm25(docs: DataFrame, queries: DataFrame) -> DataFrame:
         "doc_id", "token", (F.col("tf") * (BM25_K1 + 1) / (F.col("tf") + damp)).alias("weight")
     )
     asked = term_counts(queries, "query_id", "text")
-    query_terms = keyed_lookup(asked, idf, "token", "df").select(
+    query_terms = keyed_lookup(asked, idf.select("token", "df", "idf"), "token", "df").select(
         "query_id", "token", (F.col("tf") * F.col("idf")).alias("weight")
     )
     return _with_default(best_match(postings, materialize(query_terms, "query-terms")), queries, docs)
@@ -107,19 +108,9 @@ def retrieve_tfidf(docs: DataFrame, queries: DataFrame) -> DataFrame:
     """Best document per query by cosine of TF-IDF vectors fitted on the documents."""
     counts = term_counts(docs, "doc_id", "text")
     idf = smooth_idf(counts, docs.agg(F.count(F.lit(1))))
-    lengths = (
-        keyed_lookup(counts, idf, "token", "df")
-        .groupBy("doc_id")
-        .agg(F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2))).alias("_len"))
-    )
-    # The document side stays where its text was spread to; idf travels with the query terms.
-    postings = counts.join(lengths, "doc_id").select(
-        "doc_id", "token", (F.col("tf") / F.col("_len")).alias("weight")
-    )
-    asked = unit_tfidf(term_counts(queries, "query_id", "text"), idf, "query_id")
-    query_terms = keyed_lookup(asked, idf, "token", "df").select(
-        "query_id", "token", (F.col("weight") * F.col("idf")).alias("weight")
-    )
+    # Both sides have unit length, so the cosine is the dot product.
+    postings = unit_tfidf(counts, idf, "doc_id")
+    query_terms = unit_tfidf(term_counts(queries, "query_id", "text"), idf, "query_id")
     return _with_default(best_match(postings, materialize(query_terms, "query-terms")), queries, docs)
 
 

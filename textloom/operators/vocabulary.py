@@ -19,8 +19,10 @@ def token_rows(
     keep: tuple[str, ...] = (),
     bigrams: bool = False,
     spread: bool | None = True,
+    length: str | None = None,
 ) -> DataFrame:
-    """One row per token occurrence: ``(id, pos, token)``, pos from 0.
+    """One row per token occurrence: ``(id, pos, token)``, pos from 0; ``length`` names a column for
+    the number of tokens of the text.
 
     With ``spread`` the texts are partitioned by id first. That moves each text once, and every
     later step that groups by the id finds its rows in place and needs no shuffle of the much larger
@@ -35,7 +37,8 @@ def token_rows(
     if bigrams:
         split = split.select(id_col, *keep, with_bigrams("_tokens").alias("_tokens"))
     # A plain posexplode would add a non-empty check that tokenizes a second time before the shuffle.
-    rows = split.select(id_col, *keep, F.posexplode_outer("_tokens").alias("pos", "token"))
+    sized = [F.size("_tokens").alias(length)] if length else []
+    rows = split.select(id_col, *keep, *sized, F.posexplode_outer("_tokens").alias("pos", "token"))
     return rows.filter(F.col("pos").isNotNull())
 
 
