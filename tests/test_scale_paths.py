@@ -58,6 +58,14 @@ def test_hash_rank_is_dense_per_group(skewed, digits):
     ]
 
 
+def test_hash_rank_takes_null_as_a_group(spark):
+    rows = spark.createDataFrame([(1, None), (2, None), (3, "a")], "id bigint, c string")
+    got = ranking.hash_rank(rows, 1, "id", ["c"]).select("c", "rank", "group_size")
+    assert sorted(map(str, got.collect())) == sorted(
+        ["Row(c=None, rank=1, group_size=2)", "Row(c=None, rank=2, group_size=2)", "Row(c='a', rank=1, group_size=1)"]
+    )
+
+
 def test_global_rank(skewed):
     ranked = ranking.global_rank(skewed.select("k", "o"), [F.desc("k"), F.col("o")])
     got = [tuple(r) for r in ranked.orderBy("rank").select("k", "o", "rank").collect()]

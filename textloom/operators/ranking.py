@@ -25,28 +25,26 @@ def hash_rank(
     group holding a third of all rows is still ranked by thousands of tasks. Offsets of the
     buckets come from a small count table. Columns added: ``rank``, ``group_size``.
     """
-    within = list(within)
-    keyed = df.withColumn("_h", seeded_digest(seed, id_col))
-    keyed = keyed.withColumn("_bucket", F.substring("_h", 1, digits))
-    bucket_keys = [*within, "_bucket"]
-    group = Window.partitionBy(*within) if within else Window.partitionBy(F.lit(0))
-    offset_keys = [F.col(k).alias(f"_k_{k}") for k in bucket_keys]
+    keyed = df.withColumn("_h", seeded_digest(seed, id_col)).withColumn("_bucket", F.substring("_h", 1, digits))
+    # Null classes form a group of their own; plain equality keeps the rows where the window put them.
+    groups = [f"_g{i}" for i in range(len(within))]
+    for name, column in zip(groups, within):
+        keyed = keyed.withColumn(name, F.coalesce(F.concat(F.lit("="), F.col(column)), F.lit("null")))
+    bucket_keys = [*groups, "_bucket"]
+    group = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
+    before = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         keyed.groupBy(*bucket_keys)
         .agg(F.count(F.lit(1)).alias("_n"))
         .select(
-            *offset_keys,
-            F.coalesce(
-                F.sum("_n").over(group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)),
-                F.lit(0),
-            ).alias("_offset"),
+            *bucket_keys,
+            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
             F.sum("_n").over(group).alias("group_size"),
         )
     )
     local = Window.partitionBy(*bucket_keys).orderBy("_h", id_col)
-    ranked = keyed.withColumn("_local", F.row_number().over(local))
-    joined = ranked.join(offsets, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in bucket_keys])
-    return joined.select(
+    ranked = keyed.withColumn("_local", F.row_number().over(local)).join(offsets, bucket_keys)
+    return ranked.select(
         *df.columns,
         (F.col("_offset") + F.col("_local")).cast("bigint").alias("rank"),
         F.col("group_size").cast("bigint").alias("group_size"),
