@@ -3,15 +3,48 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textloom.llm import bpe, near_dup
+from textloom.llm import bpe, exact_dedup, lang_id, near_dup, toxicity
+from textloom.llm.sample import fold
 from textloom.llm.registry import QUERIES, SQL, query  # noqa: F401
 from textloom.sources.tables import load
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+OP1_SQL = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(length(text), 0) AS chars,
+         sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+  FROM documents)
+SELECT doc_id,
+       first_value(doc_id) OVER w AS keep_id,
+       count(*) OVER (PARTITION BY text_sha256) AS group_size,
+       row_number() OVER w = 1 AS kept,
+       text_sha256
+FROM t
+WINDOW w AS (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id NULLS LAST)
+"""
+
+
+@query("op1_exact_dedup", OP1_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.dedup(load(spark, sf_dir, "documents"))
+
+
+@query("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
+    held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
+    model = toxicity.train(documents, labels, ~held_out)
+    rows = documents.select("doc_id", held_out.alias("held_out"), "text")
+    scored = toxicity.score(rows, model, ["doc_id", "held_out"])
+    return scored.select(
+        "doc_id", "held_out", "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), "n_offending"
+    )
+
+
 @query("op5_byte_bpe")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.share_ranks(spark, public_tokenizers.path(BYTE_RANKS))
@@ -21,3 +54,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_hyperminhash")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(load(spark, sf_dir, "documents"), width=4, similarity=0.8)
+
+
+@query("op10_language_id")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = load(spark, sf_dir, "documents")
+    held_out = F.coalesce(fold("doc_id", 4) == 2, F.lit(False))
+    model = lang_id.train(documents, ~held_out)
+    rows = documents.select("doc_id", held_out.alias("held_out"), "text")
+    return lang_id.predict(rows, model, ["doc_id", "held_out"])
