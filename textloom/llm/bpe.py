@@ -210,8 +210,8 @@ def load_vocabulary(rank_file: bytes) -> Vocabulary:
     return Vocabulary(rank_file)
 
 
-def share_ranks(spark: SparkSession, path: str) -> Broadcast:
-    """Send a rank file, whose size is checked, to the executors; they need not hold the file."""
+def share_file(spark: SparkSession, path: str) -> Broadcast:
+    """Send a vocabulary file, whose size is checked, to the executors; they need not hold the file."""
     if os.path.getsize(path) > MAX_VOCABULARY_BYTES:
         raise ValueError(f"{path} is over {MAX_VOCABULARY_BYTES} bytes")
     with open(path, "rb") as file:

@@ -10,8 +10,10 @@ Candidates. Bands of ``BAND`` neighbouring registers are the keys of buckets of
  1. In every bucket each set is paired with the bucket's first one (by a hash, another one in each band). Pairs whose
     collision-corrected estimate is far below the similarity are dropped, the rest is confirmed on full sets, and
     components of the confirmed links are formed. Copies of one text never get here: equal sets are one row.
- 2. In every bucket that still holds several components, all pairs across components are estimated, by blocks of the
-    bucket, so that neither one task nor one row list holds a whole bucket; what passes is confirmed as well.
+ 2. All pairs of step 1 that passed the estimate, confirmed or not, join sets into clusters. In a cluster with several components every set outside
+    the largest is compared with all sets of the cluster, exactly, by blocks of a bounded number of shingles.
+ 3. In every bucket that holds several clusters, all pairs across clusters are estimated, by blocks of the bucket; what passes is
+    confirmed as well. So neither one task nor one row list ever holds a whole bucket or cluster.
 A pair within one component needs no check: the result is components. The chance that linked sets share no band is
 (1 - 0.8^4)^32 < 1e-7 at the very threshold and smaller above it; estimates are dropped ``SLACK_SIGMAS`` standard
 errors below the threshold. Shingle sets are compared by 64-bit hashes, sets by 128 bits.
@@ -30,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from textloom.llm.bpe import ragged
 from textloom.llm.components import components
 from textloom.llm.scan import Hashes, mix, row_blocks, text_bytes, text_column, windows, word_spans
 from textloom.llm.tables import build_filter, checked_join, filter_rows
@@ -41,6 +44,7 @@ MIN_OCCUPANCY = 4
 BAND = 4
 SLACK_SIGMAS = 4.5
 BLOCK_SETS = 256
+BLOCK_SHINGLES = 100_000
 
 _MAX_CLASS = REGISTERS.bit_length() - 1
 _U64 = np.uint64
@@ -327,6 +331,15 @@ def _across(similarity: float):
     return run
 
 
+def _likely(pairs: DataFrame, sketch_of: DataFrame, similarity: float) -> DataFrame:
+    """Distinct pairs ``(a, b)`` whose sizes and estimates do not rule out the similarity, written."""
+    def side(name: str) -> DataFrame:
+        return sketch_of.select(F.col("sid").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", "own", "next")])
+
+    distinct = pairs.select(F.least("sid", "first").alias("a"), F.greatest("sid", "first").alias("b")).distinct()
+    return materialize(distinct.join(side("a"), "a").join(side("b"), "b").mapInArrow(_estimated(similarity), "a long, b long"), "pairs")
+
+
 def set_components(docs: DataFrame, width: int, similarity: float) -> tuple[DataFrame, DataFrame]:
     """Documents with the digest of their set, ``(id, n, d1, d2)``, and the component of every distinct set of some
     shingles: ``(d1, d2, sid, comp)``, where ``comp`` is the smallest ``sid`` reached."""
@@ -348,15 +361,8 @@ def set_components(docs: DataFrame, width: int, similarity: float) -> tuple[Data
     ).filter("members > 1")
     members = materialize(bands.join(per_key.hint("merge"), "key"), "buckets")
 
-    pairs = members.filter("sid <> first").select(F.least("sid", "first").alias("a"), F.greatest("sid", "first").alias("b")).distinct()
     sketch_of = classes.select("sid", "n", "own", "next")
 
-    def side(name: str) -> DataFrame:
-        return sketch_of.select(F.col("sid").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", "own", "next")])
-
-    likely = pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_estimated(similarity), "a long, b long")
-    likely = materialize(likely, "pairs")
-
     # Full sets of the sets that share a bucket, taken from the text of one document of each.
     wanted = members.select("sid").distinct().join(classes.select("sid", "id", "d1", "d2"), "sid")
     wanted = materialize(wanted.withColumn("key", F.xxhash64("id")), "wanted")
@@ -366,16 +372,40 @@ def set_components(docs: DataFrame, width: int, similarity: float) -> tuple[Data
     sets = full.join(wanted.select("sid", "d1", "d2"), ["d1", "d2"]).groupBy("sid").agg(F.first("shingles").alias("shingles"))
     sets = materialize(sets, "full-sets")
 
+    likely = _likely(members.filter("sid <> first").select("sid", "first"), sketch_of, similarity)
     links = materialize(_confirm(likely, sets, similarity), "confirmed")
-    reached = materialize(components(links), "components")
-
-    known = reached.select(F.col("node").alias("sid"), F.col("component").alias("comp"))
-    placed = members.select("key", "sid").join(known.hint("merge"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
-    placed = materialize(placed, "placed")
-    open_keys = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-    tallies = placed.join(open_keys.select("key"), "key", "left_semi").groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
-    per_key = tallies.groupBy("key").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.sum("c").alias("members"))
-    per_key = materialize(per_key.withColumn("blocks", F.ceil(F.col("members") / BLOCK_SETS).cast("int")), "open-buckets")
+    named = [F.col("node").alias("sid"), F.col("component").alias("comp")]
+    linked = materialize(components(links), "components").select(*named)
+    clusters = materialize(components(likely), "clusters").select(*named).withColumnRenamed("comp", "cluster")
+
+    # Within clusters of likely pairs: every set outside the cluster's largest component against all sets, exactly.
+    inside = clusters.join(linked.hint("merge"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
+    inside = materialize(inside.join(classes.select("sid", "n").hint("merge"), "sid"), "cluster-rows")
+    tallies = inside.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n"))
+    per_cluster = tallies.groupBy("cluster").agg(
+        F.max_by("comp", F.struct("c", "comp")).alias("main"), F.count(F.lit(1)).alias("comps"), F.sum("n").alias("n")
+    ).filter("comps > 1")
+    per_cluster = per_cluster.select("cluster", "main", F.ceil(F.col("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    rows = inside.drop("n").join(materialize(per_cluster, "open-clusters").hint("merge"), "cluster")
+    own_block = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
+    residents = rows.select("cluster", own_block.alias("block"), F.lit(False).alias("visitor"), "sid", "comp")
+    visitors = rows.filter("comp <> main").select(
+        "cluster", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("visitor"), "sid", "comp"
+    )
+    order = ["cluster", "block", "visitor"]
+    dealt = residents.unionByName(visitors).join(sets.hint("merge"), "sid").select(*order, "sid", "comp", "shingles")
+    dealt = dealt.repartition("cluster", "block").sortWithinPartitions(*order)
+    links = links.unionByName(materialize(dealt.mapInArrow(_exact_across(similarity), "a long, b long"), "confirmed"))
+
+    # Across clusters: what shares a bucket.
+    placed = members.select("key", "sid").join(clusters.withColumnRenamed("cluster", "comp").hint("merge"), "sid", "left")
+    placed = materialize(placed.withColumn("comp", F.coalesce("comp", "sid")), "placed")
+    tallies = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
+    per_key = tallies.groupBy("key").agg(
+        F.max_by("comp", F.struct("c", "comp")).alias("main"), F.count(F.lit(1)).alias("comps"), F.sum("c").alias("members")
+    ).filter("comps > 1")
+    per_key = per_key.select("key", "main", F.ceil(F.col("members") / BLOCK_SETS).cast("int").alias("blocks"))
+    per_key = materialize(per_key, "open-buckets")
     rows = placed.join(per_key.hint("merge"), "key")
     own_block = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
     residents = rows.select("key", "sid", "comp", F.lit(False).alias("visitor"), own_block.alias("block"))
@@ -398,6 +428,55 @@ def set_components(docs: DataFrame, width: int, similarity: float) -> tuple[Data
     return sketched.select("id", "n", "d1", "d2"), comp.withColumn("comp", F.coalesce("comp", "sid"))
 
 
+def _exact_across(similarity: float):
+    """Links across components within groups ``(cluster, block)`` of rows sorted by it, residents before visitors.
+
+    Only the residents' shingles are held, sorted with their owners; visitors pass one by one. Of several residents of one
+    component that a visitor is linked with, one link is given.
+    """
+    hundredths = round(100 * similarity)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, index = None, None
+        sids: list[int] = []
+        comps: list[int] = []
+        held: list[np.ndarray] = []
+        for batch in batches:
+            out_a, out_b = [], []
+            columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
+            for cluster, block, visitor, sid, comp, cell in zip(*columns):
+                if (cluster, block) != group:
+                    group, index, sids, comps, held = (cluster, block), None, [], [], []
+                shingles = np.frombuffer(cell, np.uint64)
+                if not visitor:
+                    sids.append(sid)
+                    comps.append(comp)
+                    held.append(shingles)
+                    continue
+                if not held:
+                    continue
+                if index is None:
+                    flat = np.concatenate(held)
+                    owner = np.repeat(np.arange(len(held)), [len(h) for h in held])
+                    by_hash = np.argsort(flat, kind="stable")
+                    index = flat[by_hash], owner[by_hash], np.array([len(h) for h in held])
+                flat, owner, sizes = index
+                low = np.searchsorted(flat, shingles, "left")
+                common = np.bincount(
+                    owner[ragged(low, np.searchsorted(flat, shingles, "right") - low)], minlength=len(sizes)
+                )
+                found = 100 * common >= hundredths * (sizes + len(shingles) - common)
+                seen = {comp}
+                for i in np.flatnonzero(found).tolist():
+                    if comps[i] not in seen:
+                        seen.add(comps[i])
+                        out_a.append(min(sid, sids[i]))
+                        out_b.append(max(sid, sids[i]))
+            yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
+
+    return run
+
+
 def _class_registers(similarity: float):
     """Registers of the class to which the row's bucket belongs, found by recomputing the keys of its bands."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

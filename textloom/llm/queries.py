@@ -5,12 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textloom.llm import bpe, exact_dedup, lang_id, near_dup, toxicity
+from textloom.llm import bpe, exact_dedup, fertility, html_text, lang_id, near_dup, toxicity, url_filter
 from textloom.llm.sample import fold
 from textloom.llm.registry import QUERIES, SQL, query  # noqa: F401
 from textloom.sources.tables import load
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
+PIECE_MODEL = "piece_bpe_32k.model"
 
 
 OP1_SQL = r"""
@@ -45,12 +46,74 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_fertility")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces, ranks = (bpe.share_file(spark, public_tokenizers.path(name)) for name in (PIECE_MODEL, BYTE_RANKS))
+    return fertility.quality(load(spark, sf_dir, "documents").select("doc_id", "text"), pieces, ranks)
+
+
 @query("op5_byte_bpe")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranks = bpe.share_ranks(spark, public_tokenizers.path(BYTE_RANKS))
+    ranks = bpe.share_file(spark, public_tokenizers.path(BYTE_RANKS))
     return bpe.digests(load(spark, sf_dir, "documents"), ranks)
 
 
+RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+#: Labels of hosts whose pages, as far as they are known, make up the list.
+LISTED_LABELS = ["ads-track", "free-bets", "cheap-pills", "spam-farm", "casino-win", "adult-x"]
+
+OP6_SQL = r"""
+WITH r AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (
+  SELECT page_id,
+         translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+         regexp_extract(rest, '^[^?#]*[?]([^#]*)', 1) AS query
+  FROM r),
+c AS (
+  SELECT *, regexp_replace(regexp_replace(query, '(^|&)(utm_[a-z]+|ref)=[^&]*', '', 'g'), '^&', '') AS wanted,
+         list_has_any(string_split(host, '.'), ['ads-track', 'free-bets', 'cheap-pills', 'spam-farm', 'casino-win', 'adult-x']) AS bad
+  FROM p),
+u AS (
+  SELECT *, CASE WHEN host <> '' THEN regexp_replace(host, '^(www|m)[.]', '') || regexp_replace(path, '/+$', '')
+                 || CASE WHEN wanted <> '' THEN '?' || wanted ELSE '' END END AS canonical
+  FROM c),
+rules AS (
+  SELECT * FROM (VALUES ('allow', 'com', '/', 'com/'), ('block', 'example.com', '/en/', 'example.com/en/'),
+                        ('allow', 'www.example.com', '/en/', 'www.example.com/en/'),
+                        ('block', 'net', '/es/', 'net/es/'), ('block', 'net', '/fr/', 'net/fr/')) v(decision, h, p, rule)),
+fit AS (
+  SELECT u.page_id, rule, decision, row_number() OVER (PARTITION BY u.page_id ORDER BY length(rule) DESC) AS n
+  FROM u JOIN rules ON (u.host = h OR ends_with(u.host, '.' || h)) AND starts_with(u.path, rules.p))
+SELECT u.page_id, u.host, u.path, f.rule,
+       CASE WHEN f.rule IS NOT NULL THEN f.decision
+            WHEN u.canonical IN (SELECT canonical FROM u WHERE bad AND canonical IS NOT NULL) THEN 'block' ELSE 'allow' END AS verdict
+FROM u LEFT JOIN fit f ON f.page_id = u.page_id AND f.n = 1
+"""
+
+
+@query("op6_url_filter", OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = load(spark, sf_dir, "pages").select("page_id", "url")
+    host, _, _ = url_filter.url_parts(F.col("url"))
+    labels = F.array(*[F.lit(label) for label in LISTED_LABELS])
+    listed = pages.filter(F.arrays_overlap(F.split(host, r"\."), labels)).select("url")
+    return url_filter.judge(pages, RULES, listed).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op8_html_text")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html_text.extract(load(spark, sf_dir, "pages"), ["page_id", "url"])
+    return texts.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
 @query("op9_hyperminhash")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(load(spark, sf_dir, "documents"), width=4, similarity=0.8)

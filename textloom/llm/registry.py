@@ -15,11 +15,18 @@ from textloom.plans.registry import Query
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
+#: Bytes of texts handed to a Python worker at once, unless the session states its own.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+_SPARK_BATCH_BYTES = str(64 << 20)
+
 _shipped: set[str] = set()
 
 
 def ship_code(spark: SparkSession) -> None:
-    """Hand this package to the executors' Python workers, once per application."""
+    """Hand this package to the executors' Python workers, once per application, and bound what they are given at once."""
+    if spark.conf.get(_BATCH_SETTING, _SPARK_BATCH_BYTES).rstrip("b") == _SPARK_BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, f"{BATCH_BYTES}b")
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
