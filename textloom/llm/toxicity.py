@@ -104,27 +104,28 @@ def fit(texts: pa.Array, labels: np.ndarray, seed: int = 7) -> Model:
     column = text_column(texts)
     features, word_sentence, sentence_row = [], [], []
     n_sentences = 0
+    documents = np.zeros(BUCKETS, np.int64)  # that have each feature
     for start, stop in row_blocks(column):
         data, rows = text_bytes(column.slice(start, stop - start))
         found = sentences(data, rows)
         n = len(found.first_word)
         counts = np.diff(np.concatenate((found.first_word, [len(found.features)])))
-        features.append(found.features.astype(np.int32))
+        seen = np.unique(np.repeat(found.row, counts)[:, None] * BUCKETS + found.features) % BUCKETS
+        documents += np.bincount(seen, minlength=BUCKETS)
+        features.append(found.features.astype(np.int32).ravel())
         word_sentence.append(np.repeat(np.arange(n_sentences, n_sentences + n, dtype=np.int32), counts))
         sentence_row.append(found.row + start)
         n_sentences += n
     if not n_sentences:
         return Model(np.zeros(BUCKETS), START_BIAS)
-    feature = np.concatenate(features).ravel()
-    owner = np.repeat(np.concatenate(word_sentence), FEATURES)
     row_of = np.concatenate(sentence_row)
     # Features of too few documents say nothing about others.
-    seen = np.unique(row_of[owner] * BUCKETS + feature) % BUCKETS
-    documents = np.bincount(seen, minlength=BUCKETS)
     common = (documents >= MIN_DOCUMENTS) & (documents <= MAX_SHARE * len(labels))
     common[NO_FEATURE] = False
-    keep = common[feature]
-    feature, owner = feature[keep], owner[keep]
+    kept = [common[f] for f in features]
+    feature = np.concatenate([f[k] for f, k in zip(features, kept)])
+    owner = np.concatenate([np.repeat(w, FEATURES)[k] for w, k in zip(word_sentence, kept)])
+    del features, word_sentence, kept
 
     n_rows = len(labels)
     sentence_ends = np.searchsorted(row_of, np.arange(n_rows + 1))
@@ -164,10 +165,13 @@ def fit(texts: pa.Array, labels: np.ndarray, seed: int = 7) -> Model:
 
 
 def train(documents: DataFrame, labels: DataFrame, train_rows: Column, max_rows: int = MAX_TRAIN_ROWS) -> Model:
-    """Fit on the first ``max_rows`` labelled rows, by a hash, among those that ``train_rows`` admits."""
-    marked = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").alias("_y")).filter("_y IS NOT NULL")
-    rows = documents.filter(train_rows).select("doc_id", "text").join(marked, F.col("doc_id") == F.col("_id"))
-    sample = bounded_sample(rows.select("doc_id", "text", "_y"), max_rows, "doc_id", "text")
+    """Fit on the documents of at most ``max_rows`` labels, the first by a hash among those whose id ``train_rows`` admits."""
+    marked = labels.filter(train_rows).filter("toxic IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "toxic")
+    chosen = bounded_sample(marked.dropDuplicates(["doc_id"]), max_rows, "doc_id").select(
+        F.col("doc_id").alias("_id"), F.col("toxic").alias("_y")
+    )
+    # At most ``max_rows`` short rows are broadcast.
+    sample = documents.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "_y").limit(2 * max_rows).toArrow()
     return fit(sample["text"], np.array(sample["_y"].to_pylist(), np.int64))
 
 
