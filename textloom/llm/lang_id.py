@@ -149,7 +149,7 @@ def calibrate(logits: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def train(documents: DataFrame, train_rows: Column, max_rows: int = MAX_TRAIN_ROWS) -> Model:
     rows = documents.filter(train_rows).filter("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "lang")
-    sample = bounded_sample(rows, max_rows, "doc_id", "text")
+    sample = bounded_sample(rows, max_rows, "doc_id").select("text", "lang").toArrow()
     return fit(sample["text"], sample["lang"].to_pylist())
 
 
