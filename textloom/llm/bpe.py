@@ -259,8 +259,8 @@ def decode(encoded: DataFrame, ranks: Broadcast, keep: list[str], ids: str = "id
     return narrow.mapInArrow(run, T.StructType([*_kept_fields(encoded, keep), T.StructField(out, T.BinaryType())]))
 
 
-def digests(docs: DataFrame, ranks: Broadcast, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Encode every whole text, decode the ids again, and return both digests per document."""
+def digests(docs: DataFrame, ranks: Broadcast, doc_id: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
+    """Encode every whole text, decode the ids again, and return both digests (and the ids, if asked for) per document."""
     encoded = encode(docs, ranks, [doc_id], text)
     decoded = decode(encoded.withColumn("_ids", F.col("ids")), ranks, [doc_id, "ids"], "_ids")
     return decoded.select(
@@ -268,4 +268,5 @@ def digests(docs: DataFrame, ranks: Broadcast, doc_id: str = "doc_id", text: str
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *(["ids"] if keep_ids else []),
     )

@@ -30,7 +30,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from textloom.llm.bpe import ragged
 from textloom.llm.components import components
@@ -163,8 +163,8 @@ def _sketch_batches(width: int, similarity: float):
                             cells[row] = found[i].tobytes()
                     columns.append(pa.array(cells, pa.binary()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, 1024), pa.array(n), *map(pa.array, digests), *columns],
-                    names=["id", "n", "d1", "d2", "own", "next"],
+                    [batch.column(0).slice(at, 1024), batch.column(2).slice(at, 1024), pa.array(n), *map(pa.array, digests), *columns],
+                    names=["id", "k", "n", "d1", "d2", "own", "next"],
                 )
 
     return run
@@ -340,20 +340,27 @@ def _likely(pairs: DataFrame, sketch_of: DataFrame, similarity: float) -> DataFr
     return materialize(distinct.join(side("a"), "a").join(side("b"), "b").mapInArrow(_estimated(similarity), "a long, b long"), "pairs")
 
 
+def first_document():
+    """Ordering by which the first document of a set or a component stays: the smallest id, null last."""
+    return F.struct(F.col("id").isNull().alias("a"), F.col("id").alias("b"), F.col("k").alias("c"))
+
+
 def set_components(docs: DataFrame, width: int, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """Documents with the digest of their set, ``(id, n, d1, d2)``, and the component of every distinct set of some
-    shingles: ``(d1, d2, sid, comp)``, where ``comp`` is the smallest ``sid`` reached."""
-    narrow = docs.select("id", "text")
+    """Documents with the digest of their set, ``(id, k, n, d1, d2)``, and the component of every distinct set of some
+    shingles: ``(d1, d2, sid, id, k, comp)``, where ``comp`` is the smallest ``sid`` reached, and id and ``k``, a hash of the text, name
+    the set's first document."""
+    narrow = docs.select("id", "text", F.xxhash64("text").alias("k"))
     sketched = materialize(
         narrow.mapInArrow(
             _sketch_batches(width, similarity),
-            f"id {docs.schema['id'].dataType.simpleString()}, n long, d1 long, d2 long, own binary, next binary",
+            f"id {docs.schema['id'].dataType.simpleString()}, k long, n long, d1 long, d2 long, own binary, next binary",
         ),
         "sketches",
     )
     distinct = sketched.filter("n > 0").groupBy("d1", "d2").agg(
-        F.min("id").alias("id"), F.first("n").alias("n"), F.first("own").alias("own"), F.first("next").alias("next")
+        F.min_by(F.struct("id", "k"), first_document()).alias("w"), F.first("n").alias("n"), F.first("own").alias("own"), F.first("next").alias("next")
     )
+    distinct = distinct.select("d1", "d2", "w.id", "w.k", "n", "own", "next")
     classes = materialize(distinct.withColumn("sid", F.monotonically_increasing_id()), "sets")
     bands = classes.select("sid", "n", "own", "next").mapInArrow(_band_rows(similarity), "key long, sid long")
     per_key = bands.groupBy("key").agg(
@@ -367,7 +374,7 @@ def set_components(docs: DataFrame, width: int, similarity: float) -> tuple[Data
     wanted = members.select("sid").distinct().join(classes.select("sid", "id", "d1", "d2"), "sid")
     wanted = materialize(wanted.withColumn("key", F.xxhash64("id")), "wanted")
     near = build_filter(wanted, "key", wanted.count())
-    texts = filter_rows(narrow.withColumn("key", F.xxhash64("id")), "key", near).select("id", "text")
+    texts = filter_rows(narrow.select("id", "text").withColumn("key", F.xxhash64("id")), "key", near).select("id", "text")
     full = texts.mapInArrow(_set_batches(width), "d1 long, d2 long, shingles binary")
     sets = full.join(wanted.select("sid", "d1", "d2"), ["d1", "d2"]).groupBy("sid").agg(F.first("shingles").alias("shingles"))
     sets = materialize(sets, "full-sets")
@@ -422,10 +429,10 @@ def set_components(docs: DataFrame, width: int, similarity: float) -> tuple[Data
     more = materialize(more, "pairs")
     links = links.unionByName(materialize(_confirm(more, sets, similarity), "confirmed"))
     reached = materialize(components(links), "components")
-    comp = classes.select("sid", "id", "d1", "d2").join(
+    comp = classes.select("sid", "id", "k", "d1", "d2").join(
         reached.select(F.col("node").alias("sid"), F.col("component").alias("comp")).hint("merge"), "sid", "left"
     )
-    return sketched.select("id", "n", "d1", "d2"), comp.withColumn("comp", F.coalesce("comp", "sid"))
+    return sketched.select("id", "k", "n", "d1", "d2"), comp.withColumn("comp", F.coalesce("comp", "sid"))
 
 
 def _exact_across(similarity: float):
@@ -517,3 +524,27 @@ def near_duplicates(
         F.col("component").alias("component_id"),
         F.col("id").eqNullSafe(F.col("component")).alias("kept"),
     )
+
+
+def keep_first(docs: DataFrame, width: int = 5, similarity: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of every component, with all its columns: the smallest id. Texts without words all stay."""
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
+    documents, sets = set_components(rows, width, similarity)
+    winners = sets.groupBy("comp").agg(F.min_by(F.struct("id", "k"), first_document()).alias("w"))
+    known = materialize(sets.join(winners, "comp").select("d1", "d2", F.col("w.id").alias("w_id"), F.col("w.k").alias("w_k")), "set-winners")
+    judged = checked_join(documents.filter("n > 0"), known, ["d1", "d2"], "inner")
+    wins = F.col("id").eqNullSafe(F.col("w_id")) & (F.col("k") == F.col("w_k"))
+    counted = judged.groupBy("id", "k").agg(F.min(wins.cast("int")).alias("wins"), F.count(F.lit(1)).alias("rows"))
+    marks = materialize(
+        counted.filter("wins = 0 OR rows > 1").select(F.col("id").alias("_m_id"), F.col("k").alias("_m_k"), "wins"), "losers"
+    )
+    keyed = docs.select(
+        F.struct(F.col("*")).alias("_row"), F.col(doc_id).alias("_id"), F.xxhash64(F.col(text).cast("string")).alias("_k")
+    )
+    marked = checked_join(keyed, marks, F.col("_id").eqNullSafe(F.col("_m_id")) & (F.col("_k") == F.col("_m_k")), "left")
+    kept = marked.filter("wins IS NULL OR wins = 1")
+    if marks.filter("wins = 1").isEmpty():
+        return kept.select("_row.*")
+    # Rows equal in id and text: one of them.
+    one = kept.filter("wins = 1").withColumn("_n", F.row_number().over(Window.partitionBy("_id", "_k").orderBy(F.xxhash64("_row"))))
+    return kept.filter("wins IS NULL").select("_row.*").unionByName(one.filter("_n = 1").select("_row.*"))

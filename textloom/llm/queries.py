@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textloom.llm import bpe, exact_dedup, fertility, html_text, lang_id, near_dup, toxicity, url_filter
+from textloom.llm import bpe, exact_dedup, fertility, html_text, lang_id, mixing, near_dup, packing, toxicity, url_filter
 from textloom.llm.sample import fold
 from textloom.llm.registry import QUERIES, SQL, query  # noqa: F401
 from textloom.sources.tables import load
@@ -52,6 +52,14 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.quality(load(spark, sf_dir, "documents").select("doc_id", "text"), pieces, ranks)
 
 
+MIX_TARGET = mixing.Target(entropy_share=0.95, repetition_limit=4.0)
+
+
+@query("op4_temperature_mixing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(load(spark, sf_dir, "documents"), MIX_TARGET)
+
+
 @query("op5_byte_bpe")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.share_file(spark, public_tokenizers.path(BYTE_RANKS))
@@ -108,6 +116,17 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, RULES, listed).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query("op7_packing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.share_file(spark, public_tokenizers.path(BYTE_RANKS))
+    encoded = bpe.encode(load(spark, sf_dir, "documents"), ranks, ["doc_id"])
+    packed = packing.write_packed(packing.pack(encoded, bpe.load_vocabulary(ranks.value).size))
+    return packed.select(
+        "pack_id", "n_tokens", F.size("doc_ids").alias("n_segments"), "cu_seqlens", "doc_ids", "starts",
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("positions", 256).alias("positions_sha256"),
+    )
+
+
 @query("op8_html_text")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = html_text.extract(load(spark, sf_dir, "pages"), ["page_id", "url"])
