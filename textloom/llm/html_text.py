@@ -127,21 +127,27 @@ def text_lines(html: str) -> tuple[list[str], list[bool]]:
     return lines, inside
 
 
+def window_sums(lengths: np.ndarray) -> np.ndarray:
+    """Text of the ``WINDOW`` lines from each line on, as far as no empty line ends it."""
+    total, going = np.zeros_like(lengths), np.ones(len(lengths), bool)
+    for k in range(min(WINDOW, len(lengths))):
+        following = np.concatenate((lengths[k:], np.zeros(k, np.int64)))
+        going &= following > 0
+        total += np.where(going, following, 0)
+    return total
+
+
 def main_span(lengths: np.ndarray, threshold: float | None = None) -> tuple[int, int]:
     """First and last line, exclusive, of the main text: from the first surge to the last dive, where the text falls to nothing."""
     if not lengths.any():
         return 0, 0
-    padded = np.concatenate((lengths, np.zeros(WINDOW - 1, np.int64)))
-    sums = np.convolve(padded, np.ones(WINDOW, np.int64), "valid")  # of the window that starts at each line
     if threshold is None:
-        threshold = min(SURGE_CHARS, SURGE_SHARE * sums.max())
-    surge = np.flatnonzero((sums > threshold) & (lengths > 0))
-    first = int(surge[0])
-    ends = np.convolve(np.concatenate((np.zeros(WINDOW - 1, np.int64), lengths)), np.ones(WINDOW, np.int64), "valid")
-    dive = np.flatnonzero((ends > threshold) & (lengths > 0))
+        threshold = min(SURGE_CHARS, SURGE_SHARE * window_sums(lengths).max())
+    first = int(np.flatnonzero(window_sums(lengths) > threshold)[0])
+    dive = len(lengths) - 1 - np.flatnonzero(window_sums(lengths[::-1]) > threshold)[0]
     # A surge and a dive reach as far as the lines go on without an empty one.
     gaps = np.flatnonzero(np.concatenate(([True], lengths == 0, [True]))) - 1
-    return int(gaps[gaps < first][-1]) + 1, int(gaps[gaps > dive[-1]][0])
+    return int(gaps[gaps < first][-1]) + 1, int(gaps[gaps > dive][0])
 
 
 def main_text(html: str | None) -> str:
