@@ -131,6 +131,11 @@ def test_shift(spark):
 
 def test_labels(spark):
     assert one(spark, lab.parse_printed_list(F.lit("['cs.LG', 'cs.CV']"))) == ["cs.LG", "cs.CV"]
+    for printed, wanted in [
+        (["cs.LG", "it's"], None), (["O'Neil"], None), (['say "x"', "both ' and \""], None), ([], None), ("[oops", False),
+    ]:
+        text = printed if wanted is False else repr(printed)
+        assert one(spark, lab.parse_printed_list(F.lit(text))) == (None if wanted is False else printed)
     assert one(spark, lab.split_labels(F.lit("a, b"))) == ["a", " b"]
     assert one(spark, lab.split_labels(F.lit(None).cast("string"))) == []
     assert one(spark, lab.multi_hot(ids(0, 2), 4)) == [1, 0, 1, 0]
@@ -306,7 +311,7 @@ def test_file_round_trips(spark):
     path = new_path(spark, "csv")
     files.write_csv(df, path)
     # An empty field reads as missing, as it does in pandas.
-    back = files.read_csv(spark, path, files.FAQ)
+    back = files.read_csv(spark, path, files.FAQ, multi_line=True)
     assert rows_of(back.filter("answer is not null")) == sorted([rows[0], rows[2]])
     assert rows_of(back.filter("answer is null")) == [("back\\slash", None)]
     array_path = new_path(spark, "array")
@@ -319,6 +324,38 @@ def test_file_round_trips(spark):
     assert rows_of(files.read_json_lines(spark, lines, files.FAQ)) == sorted(rows)
 
 
+def test_csv_goes_by_the_header(spark):
+    path = new_path(spark, "csv-crlf")
+    lines = [("id,answer,question\r",), ("1,a1,q1\r",), ("2,a2,q2\r",)]
+    spark.createDataFrame(lines, "value string").coalesce(1).write.text(path)
+    for multi_line in (False, True):
+        got = files.read_csv(spark, path, "question string, id bigint, answer string", multi_line)
+        assert rows_of(got) == [("q1", 1, "a1"), ("q2", 2, "a2")]
+    with pytest.raises(ValueError, match="has no column price"):
+        files.read_csv(spark, path, "price double")
+
+
+def test_words_of_other_letters_are_whole_words(spark):
+    for message in ("señor hié", "algo noé", "ähi"):
+        assert one(spark, chat.intent(F.lit(message), mode="word")) == "fallback"
+
+
+def test_any_label_and_any_number_can_be_trained(spark):
+    names = ["cs.LG", "it's", "`x`", *[f"l{i}" for i in range(147)]]
+    rows = [(i, f"word{i % 150} more", [names[i % 150]]) for i in range(300)]
+    df = spark.createDataFrame(rows, "id bigint, text string, labels array<string>").coalesce(2)
+    features, models = ml.fit_multilabel(df, "text", "labels", names, width=64, max_iter=1)
+    assert list(models) == names
+    scored = ml.score_multilabel(features, dict(list(models.items())[:4]), df.limit(3), "id", "text")
+    assert {r.label for r in scored.collect()} == set(names[:4]) and scored.count() == 12
+
+
+def test_rare_words_keep_their_vector(spark):
+    df = spark.createDataFrame([(1, ["often", "often", "once"]), (2, ["often"])], "id bigint, tokens array<string>")
+    model = ml.word_vectors(df, "tokens", partitions=1)
+    assert {r.word for r in model.getVectors().collect()} == {"often", "once"}
+
+
 def test_scratch_follows_the_session(spark):
     assert new_path(spark, "x").startswith(scratch_root(spark))
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -329,7 +366,7 @@ def test_scratch_follows_the_session(spark):
 def test_saved_pipeline_predicts_the_same(spark):
     rows = [(i, "good morning sun" if i % 2 else "bad night rain", "up" if i % 2 else "down") for i in range(20)]
     df = spark.createDataFrame(rows, "id bigint, text string, label string")
-    model = ml.fit_classifier(df, ["text"], "label", vocab_size=50, max_iter=5)
+    model = ml.fit_classifier(df, ["text"], "label", width=512, max_iter=5)
     again = ml.save_and_reload(model, spark)
     first, second = ml.predict(model, df, "id"), ml.predict(again, df, "id")
     assert tuple(metrics.all_close(first, second, ["id"], "p").first()) == (20, True)

@@ -11,7 +11,6 @@ from pyspark.sql import Window, functions as F
 
 from textloom.operators import balance, lookup, nearest, ranking, retrieval
 from textloom.operators.ordered import blocked_window
-from textloom.operators.vocabulary import min_count_within
 
 
 def rows_of(df):
@@ -207,9 +206,26 @@ def test_draw_slots_unfold_in_chunks(spark):
     assert rows_of(slots.select("c", "draw")) == [("a", i) for i in range(1, 9)] + [("b", 1)]
 
 
-def test_min_count_within(spark):
-    counts = spark.createDataFrame([("a", 9), ("b", 5), ("c", 5), ("d", 1)], "token string, n bigint")
-    assert [min_count_within(counts, k) for k in (4, 3, 2, 1, 0)] == [1, 5, 9, 9, 10]
+def test_one_row_class_is_drawn_without_a_hot_key(spark, monkeypatch):
+    monkeypatch.setattr(balance, "DRAWS_PER_KEY", 1000)
+    rows = spark.range(20_000).select("id", F.when(F.col("id") == 7, "rare").otherwise("common").alias("c"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "50kb")
+    try:
+        drawn = balance.oversample_all(rows, "id", "c")
+        assert rows_of(drawn.groupBy("c").count()) == [("common", 19_999), ("rare", 19_999)]
+        tree = drawn._jdf.queryExecution().toString()
+        assert "BroadcastExchange" not in tree or "Generate" not in tree.split("BroadcastExchange", 1)[1].split("Exchange hash", 1)[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_std_of_large_values(spark):
+    from textloom.operators.cleaning import numeric_profile
+
+    base = 3_000_000_000
+    got = numeric_profile(spark.createDataFrame([(base + i,) for i in (0, 1, 2)], "x bigint"), {"x": F.col("x")}).first()
+    assert got["std"] == 1.0 and got["mean"] == base + 1
 
 
 @pytest.mark.parametrize("name", ["oversample", "split_stratified", "smote", "retrieve_bm25", "sessions", "vocab_keras"])

@@ -10,8 +10,11 @@ def _col(value: Column | str) -> Column:
 
 
 def parse_printed_list(text: Column | str) -> Column:
-    """``['a', 'b']`` printed as text, to an array of strings; malformed text gives null."""
-    return F.from_json(F.translate(text, "'", '"'), "array<string>")
+    """``['a', "it's"]`` printed as text, to an array of strings; malformed text gives null.
+
+    Either quote may enclose an entry, and either may be escaped inside it.
+    """
+    return F.from_json(text, "array<string>", {"allowBackslashEscapingAnyCharacter": "true"})
 
 
 def split_labels(text: Column | str) -> Column:

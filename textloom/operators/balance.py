@@ -10,6 +10,7 @@ from textloom.operators.ranking import hash_rank
 from textloom.sources.scratch import materialize
 
 SLOT_CHUNK = 1_000_000
+DRAWS_PER_KEY = 10_000
 SMOTE_NEIGHBOURS = 5
 
 
@@ -24,12 +25,11 @@ def draw_slots(sizes: DataFrame, class_col: str, wanted: Column, chunk: int = SL
     Chunks are spread over tasks before they unfold, so a class short of billions of rows is
     not generated by one task.
     """
-    parts = int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     chunks = (
         sizes.withColumn("_wanted", wanted)
         .filter("_wanted > 0")
         .select("*", F.explode(F.sequence(F.lit(1), F.col("_wanted"), F.lit(chunk))).alias("_from"))
-        .repartition(parts, class_col, "_from")
+        .repartition(class_col, "_from")
     )
     last = F.least(F.col("_from") + chunk - 1, F.col("_wanted"))
     return chunks.select(
@@ -37,13 +37,30 @@ def draw_slots(sizes: DataFrame, class_col: str, wanted: Column, chunk: int = SL
     )
 
 
+def _take_drawn(slots: DataFrame, ranked: DataFrame, class_col: str) -> DataFrame:
+    """Join draws to the rows of their class and rank, both sides by shuffle.
+
+    A row of a small class is drawn ``max_n / n`` times. Draws of one row are dealt into parts of about ``DRAWS_PER_KEY``, and the
+    row is copied to as many parts, so that no key holds more, even if a class has one row.
+    """
+    parts = F.ceil(F.col("max_n") / F.col("n") / DRAWS_PER_KEY).cast("int")
+    dealt = slots.withColumn("_part", F.pmod(F.xxhash64("draw"), parts).cast("int")).drop("n", "max_n")
+    copies = ranked.withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("n", "max_n")
+    return dealt.hint("merge").join(copies.hint("merge"), [class_col, "rank", "_part"]).drop("_part")
+
+
+def _ranked(df: DataFrame, seed: int, id_col: str, class_col: str, sizes: DataFrame) -> DataFrame:
+    """Rows with their rank in the class, the class size ``n`` and the largest size ``max_n``."""
+    ranked = hash_rank(df, seed, id_col, [class_col]).withColumnRenamed("group_size", "n")
+    return ranked.withColumn("max_n", sizes.agg(F.max("n")).scalar())
+
+
 def _draw_rows(df: DataFrame, id_col: str, class_col: str, seed: int, wanted: Column) -> DataFrame:
-    ranked = hash_rank(df, seed, id_col, [class_col]).drop("group_size")
-    slots = draw_slots(class_sizes(df, class_col), class_col, wanted)
+    sizes = class_sizes(df, class_col)
+    slots = draw_slots(sizes, class_col, wanted)
     slots = slots.withColumn("rank", seeded_int(seed, class_col, "draw") % F.col("n") + 1)
-    return slots.select(class_col, "rank", "draw").join(ranked, [class_col, "rank"]).select(
-        *df.columns, "draw"
-    )
+    ranked = _ranked(df, seed, id_col, class_col, sizes)
+    return _take_drawn(slots, ranked, class_col).select(*df.columns, "draw")
 
 
 def oversample_all(df: DataFrame, id_col: str, class_col: str, seed: int = 42) -> DataFrame:
@@ -77,40 +94,37 @@ def smote(
     vector = base + u * (neighbour - base), the neighbour being one of the min(k, n - 1) nearest
     of the same class. A class of one row repeats that row.
     """
-    members = df.select(id_col, class_col)
-    ranked = hash_rank(members, seed, id_col, [class_col]).drop("group_size")
-    sizes = class_sizes(members, class_col)
+    sizes = class_sizes(df.select(id_col, class_col), class_col)
     slots = draw_slots(sizes, class_col, F.col("max_n") - F.col("n")).select(
         class_col,
         "draw",
+        "n",
+        "max_n",
         (seeded_int(f"{seed}-base", class_col, "draw") % F.col("n") + 1).alias("rank"),
         F.least(F.lit(neighbours), F.col("n") - 1).alias("k"),
     )
-    slots = slots.join(ranked, [class_col, "rank"]).select(
-        class_col,
-        "draw",
-        F.col(id_col).alias("base"),
-        F.when(
-            F.col("k") > 0, seeded_int(f"{seed}-neighbour", class_col, "draw") % F.col("k") + 1
-        ).alias("place"),
-        seeded_uniform(f"{seed}-step", class_col, "draw").alias("step"),
-    )
     slots = materialize(slots, "smote-draws")
+    ranked = materialize(_ranked(df.select(id_col, class_col, vector_col), seed, id_col, class_col, sizes), "smote-rows")
 
-    bases = slots.filter("place is not null").select("base").distinct()
-    seeds = df.join(bases.withColumnRenamed("base", id_col), id_col, "left_semi")
+    # Each row that is drawn carries its vector and its neighbours' into the one join with the draws.
+    drawn = slots.select(class_col, "rank").distinct()
+    seeds = ranked.join(drawn.hint("merge"), [class_col, "rank"], "left_semi")
     near = nearest_k(
-        seeds, df, id_col, vector_col, neighbours, metric="l2", scope=class_col, exclude_self=True
-    ).select(F.col("query_id").alias("base"), "place", F.col("match_id").alias("neighbour"))
-    chosen = slots.join(near, ["base", "place"], "left").withColumn(
-        "neighbour", F.coalesce("neighbour", "base")
+        seeds.filter("n > 1").select(df.columns), df, id_col, vector_col, neighbours, metric="l2", scope=class_col, exclude_self=True
+    )
+    others = df.select(F.col(id_col).alias("match_id"), F.col(vector_col).alias("_v"))
+    near = near.join(others.hint("merge"), "match_id").groupBy("query_id").agg(
+        F.array_sort(F.collect_list(F.struct("place", F.col("match_id").alias("id"), F.col("_v").alias("v")))).alias("_near")
+    )
+    bundles = seeds.join(near.withColumnRenamed("query_id", id_col).hint("merge"), id_col, "left").select(
+        class_col, "rank", "n", "max_n", F.col(id_col).alias("base"), F.col(vector_col).alias("_x"), "_near"
     )
-    vectors = df.select(id_col, vector_col)
-    from_rows = vectors.select(F.col(id_col).alias("base"), F.col(vector_col).alias("_x"))
-    to_rows = vectors.select(F.col(id_col).alias("neighbour"), F.col(vector_col).alias("_y"))
+    place = (seeded_int(f"{seed}-neighbour", class_col, "draw") % F.col("k") + 1).cast("int")
+    taken = _take_drawn(slots, bundles, class_col).withColumn("_to", F.when(F.col("k") > 0, F.element_at("_near", place)))
     return (
-        chosen.join(from_rows, "base")
-        .join(to_rows, "neighbour")
+        taken.withColumn("neighbour", F.coalesce("_to.id", "base"))
+        .withColumn("_y", F.coalesce("_to.v", "_x"))
+        .withColumn("step", seeded_uniform(f"{seed}-step", class_col, "draw"))
         .select(
             class_col,
             "draw",

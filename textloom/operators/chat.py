@@ -61,7 +61,7 @@ def intent(text: Column | str, rules: dict[str, list[str]] | None = None, mode:
     chain: Column | None = None
     for name, patterns in rules.items():
         body = "|".join(f"(?:{p})" for p in patterns)
-        regex = f"(?iu)(?:{body})" if mode == "search" else rf"(?iu)(?<!\w)(?:{body})(?!\w)"
+        regex = f"(?iu)(?:{body})" if mode == "search" else rf"(?iu)(?<![\p{{L}}\p{{N}}_])(?:{body})(?![\p{{L}}\p{{N}}_])"
         hit = text.rlike(regex)
         chain = F.when(hit, F.lit(name)) if chain is None else chain.when(hit, F.lit(name))
     return chain.otherwise("fallback") if chain is not None else F.lit("fallback")

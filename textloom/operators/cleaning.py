@@ -48,21 +48,24 @@ def numeric_profile(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
         *[F.struct(F.lit(n).alias("measure"), c.cast("bigint").alias("value")) for n, c in columns.items()]
     )
     stacked = df.select(F.explode(pairs).alias("p")).select("p.measure", "p.value").filter("value is not null")
-    histogram = stacked.groupBy("measure", "value").agg(F.count(F.lit(1)).alias("n"))
+    histogram = materialize(stacked.groupBy("measure", "value").agg(F.count(F.lit(1)).alias("n")), "histogram")
     value, n = F.col("value").cast("double"), F.col("n")
     sums = histogram.groupBy("measure").agg(
         F.sum("n").alias("count"),
         F.sum(value * n).alias("_s"),
-        F.sum(value * value * n).alias("_ss"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
         F.percentile("value", [0.25, 0.5, 0.75], n).alias("q"),
     )
     mean = F.col("_s") / F.col("count")
-    variance = (F.col("_ss") - mean * F.col("_s")) / (F.col("count") - 1)
-    return sums.select(
+    # Squared distances to the mean in a second pass over the histogram: large values lose no digits.
+    means = sums.select(F.col("measure").alias("_m"), mean.alias("_mean"))  # one row per measure
+    around = histogram.join(F.broadcast(means), F.col("measure") == F.col("_m"))
+    squares = around.groupBy("_m").agg(F.sum((value - F.col("_mean")) * (value - F.col("_mean")) * n).alias("_ss"))
+    variance = F.col("_ss") / (F.col("count") - 1)
+    return sums.join(F.broadcast(squares), F.col("measure") == F.col("_m")).select(
         "measure", "count", mean.alias("mean"),
-        F.when(F.col("count") > 1, F.sqrt(F.greatest(variance, F.lit(0.0)))).alias("std"),
+        F.when(F.col("count") > 1, F.sqrt(variance)).alias("std"),
         "min", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max",
     )
 

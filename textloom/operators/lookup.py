@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, functions as F
 MAX_ROWS = 1_000_000
 MAX_BYTES = 64 * 1024 * 1024
 HEAD_ROWS = 20_000
-HEAD_KEY_BYTES = 1024
 
 
 def fits_broadcast(table: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> bool:
@@ -39,29 +38,13 @@ def keyed_lookup(
     """
     if fits_broadcast(table):
         return rows.join(F.broadcast(table), key, how)
-    candidates = table
-    if dict(table.dtypes)[key] == "string":
-        candidates = table.filter(F.octet_length(key) <= HEAD_KEY_BYTES)
-    heavy = candidates.orderBy(F.desc(weight), key).limit(head)
-    hot_keys = F.broadcast(heavy.select(key))
-    hot = rows.join(F.broadcast(heavy), key, "left_semi" if how == "left_semi" else "inner")
+    # Past the bound a text key is looked up by its digest, so that every key is short.
+    short = F.sha2(key, 256) if dict(table.dtypes)[key] == "string" else F.col(key)
+    keyed = rows.withColumn("_key", short)
+    short_table = table.withColumn("_key", short).drop(key)
+    heavy = short_table.orderBy(F.desc(weight), "_key").limit(head)
+    hot_keys = F.broadcast(heavy.select("_key"))
+    hot = keyed.join(F.broadcast(heavy), "_key", "left_semi" if how == "left_semi" else "inner").drop("_key")
     # The merge hint keeps this join a shuffled one: the table is known to be past the bound.
-    cold = rows.join(hot_keys, key, "left_anti").join(table.hint("merge"), key, how)
+    cold = keyed.join(hot_keys, "_key", "left_anti").join(short_table.hint("merge"), "_key", how).drop("_key")
     return hot.unionByName(cold.select(*hot.columns))
-
-
-def has_few_files(df: DataFrame) -> bool:
-    """True when a table has fewer files than the cluster has cores."""
-    return len(df.inputFiles()) < df.sparkSession.sparkContext.defaultParallelism
-
-
-def spread_count(df: DataFrame) -> int:
-    """Tasks to spread a table over: the shuffle setting, but no more than two per core for few files."""
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return min(parts, 2 * spark.sparkContext.defaultParallelism) if has_few_files(df) else parts
-
-
-def spread_few_files(df: DataFrame, *keys: str) -> DataFrame:
-    """Repartition a table that has fewer files than there are cores; leave any other alone."""
-    return df.repartition(spread_count(df), *keys) if has_few_files(df) else df

@@ -2,38 +2,38 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (
     IDF,
-    BucketedRandomProjectionLSH,
-    CountVectorizer,
+    HashingTF,
     IndexToString,
-    Normalizer,
     SQLTransformer,
     StringIndexer,
     VectorAssembler,
     Word2Vec,
 )
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, functions as F
 
 from textloom.functions.text import STRIP_PUNCTUATION
-from textloom.operators.lookup import spread_count, spread_few_files
+from textloom.functions.vectors import cosine
 from textloom.operators.nearest import nearest_k
-from textloom.operators.vocabulary import min_count_within
 from textloom.sources.scratch import materialize, new_path
 
-MAX_LABELS = 100
-MAX_WORDS = 50_000
-WORDS_PER_TASK = 200_000
+#: Width of the hashed term counts; no term is left out, terms that share a cell add up.
+HASHED_TERMS = 1 << 16
 
 
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def text_stages(text_col: str, features: str, vocab_size: int = 10_000, tf_idf: bool = True) -> list:
+def text_stages(text_col: str, features: str, width: int = HASHED_TERMS, tf_idf: bool = True) -> list:
     """Lower, strip punctuation, split, count and weigh: all as JVM stages of a pipeline."""
     tokens = f"_{features}_tokens"
     counts = f"_{features}_counts" if tf_idf else features
@@ -41,38 +41,40 @@ def text_stages(text_col: str, features: str, vocab_size: int = 10_000, tf_idf:
     tokenize = SQLTransformer(
         statement=f"SELECT *, filter(split({bare}, '\\\\s+'), t -> t <> '') AS {tokens} FROM __THIS__"
     )
-    stages: list = [tokenize, CountVectorizer(inputCol=tokens, outputCol=counts, vocabSize=vocab_size)]
+    stages: list = [tokenize, HashingTF(inputCol=tokens, outputCol=counts, numFeatures=width)]
     if tf_idf:
         stages.append(IDF(inputCol=counts, outputCol=features))
     return stages
 
 
-def fit_features(df: DataFrame, text_col: str, vocab_size: int) -> PipelineModel:
-    return Pipeline(stages=text_stages(text_col, "features", vocab_size)).fit(df)
+def fit_features(df: DataFrame, text_col: str, width: int) -> PipelineModel:
+    return Pipeline(stages=text_stages(text_col, "features", width)).fit(df)
 
 
 def fit_multilabel(
-    train: DataFrame, text_col: str, labels_col: str, labels: list[str], vocab_size: int = 1000, max_iter: int = 10
+    train: DataFrame, text_col: str, labels_col: str, labels: list[str], width: int = HASHED_TERMS, max_iter: int = 10
 ) -> tuple[PipelineModel, dict[str, LogisticRegression]]:
     """One logistic regression per label over one written feature table.
 
-    ``labels`` is a bounded list: every label is a pass over the features.
+    Every label is a pass over the features. Columns are named by the label's place, so a label may be any text.
     """
-    if len(labels) > MAX_LABELS:
-        raise ValueError(f"binary relevance is meant for at most {MAX_LABELS} labels")
-    train = spread_few_files(train)
-    features = fit_features(train, text_col, vocab_size)
+    features = fit_features(train, text_col, width)
     table = materialize(features.transform(train).select("features", labels_col), "features")
     models = {}
-    for label in labels:
+    for i, label in enumerate(labels):
         marked = table.withColumn("_y", F.array_contains(labels_col, label).cast("double"))
         models[label] = LogisticRegression(
             featuresCol="features", labelCol="_y", maxIter=max_iter, regParam=0.01,
-            probabilityCol=f"_p_{label}", rawPredictionCol=f"_r_{label}", predictionCol=f"_c_{label}",
+            probabilityCol=f"_p_{i}", rawPredictionCol=f"_r_{i}", predictionCol=f"_c_{i}",
         ).fit(marked)
     return features, models
 
 
+def _chance(column: str) -> Column:
+    """Probability of class 1; 0 if the training rows had no such class."""
+    return F.coalesce(F.try_element_at(vector_to_array(column), F.lit(2)), F.lit(0.0))
+
+
 def score_multilabel(features: PipelineModel, models: dict, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Long table ``(id, label_id, label, p)`` of the probability of every label."""
     scored = features.transform(df.select(id_col, text_col))
@@ -82,7 +84,7 @@ def score_multilabel(features: PipelineModel, models: dict, df: DataFrame, id_co
         F.struct(
             F.lit(i).cast("bigint").alias("label_id"),
             F.lit(label).alias("label"),
-            vector_to_array(F.col(f"`_p_{label}`"))[1].alias("p"),
+            _chance(f"_p_{i}").alias("p"),
         )
         for i, label in enumerate(models)
     ]
@@ -90,14 +92,14 @@ def score_multilabel(features: PipelineModel, models: dict, df: DataFrame, id_co
 
 
 def classifier(
-    text_cols: list[str], label_col: str, vocab_size: int = 1000, max_iter: int = 10
+    text_cols: list[str], label_col: str, width: int = HASHED_TERMS, max_iter: int = 10
 ) -> Pipeline:
     """Multi-class pipeline from one or more raw text columns to ``predicted`` class names."""
     stages: list = [
         StringIndexer(inputCol=label_col, outputCol="_label", stringOrderType="alphabetAsc", handleInvalid="keep")
     ]
     for i, text_col in enumerate(text_cols):
-        stages += text_stages(text_col, f"_f{i}", vocab_size)
+        stages += text_stages(text_col, f"_f{i}", width)
     stages.append(VectorAssembler(inputCols=[f"_f{i}" for i in range(len(text_cols))], outputCol="features"))
     stages.append(
         LogisticRegression(
@@ -109,9 +111,9 @@ def classifier(
 
 
 def fit_classifier(
-    train: DataFrame, text_cols: list[str], label_col: str, vocab_size: int = 1000, max_iter: int = 10
+    train: DataFrame, text_cols: list[str], label_col: str, width: int = HASHED_TERMS, max_iter: int = 10
 ) -> PipelineModel:
-    return classifier(text_cols, label_col, vocab_size, max_iter).fit(spread_few_files(train))
+    return classifier(text_cols, label_col, width, max_iter).fit(train)
 
 
 def predict(model: PipelineModel, df: DataFrame, id_col: str) -> DataFrame:
@@ -128,20 +130,15 @@ def save_and_reload(model: PipelineModel, spark) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def word_vectors(df: DataFrame, tokens_col: str, size: int = 16, max_words: int = MAX_WORDS, seed: int = 42):
+def word_vectors(df: DataFrame, tokens_col: str, size: int = 16, min_count: int = 1, partitions: int = 8, seed: int = 42):
     """Word2Vec; its transform averages the vectors of a text.
 
-    The vocabulary is bounded by raising the lowest frequency it takes, and training is spread
-    over tasks by the amount of text; the default would use one task.
+    Words under ``min_count`` have no vector; by default all have one. ``partitions`` is how many parts are trained side by side; more
+    are faster and less exact.
     """
-    df = spread_few_files(df)
-    counts = df.select(F.explode(tokens_col).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    counts = materialize(counts, "word-counts")
-    words = counts.agg(F.sum("n")).first()[0] or 0
-    parts = min(spread_count(df), max(1, words // WORDS_PER_TASK))
     return Word2Vec(
-        vectorSize=size, minCount=max(min_count_within(counts, max_words), 1), seed=seed, inputCol=tokens_col,
-        outputCol="embedding", maxIter=1, numPartitions=parts,
+        vectorSize=size, minCount=min_count, seed=seed, inputCol=tokens_col, outputCol="embedding", maxIter=1,
+        numPartitions=partitions,
     ).fit(df)
 
 
@@ -154,34 +151,47 @@ def mean_vectors(df: DataFrame, group_col: str, vector_col: str) -> DataFrame:
     )
 
 
-def retrieve_lsh(
-    bank: DataFrame, queries: DataFrame, radius: float = 0.8, bucket: float = 2.0, tables: int = 4, seed: int = 42
-) -> DataFrame:
-    """Approximate best match per query on unit vectors; queries that hash to no match within
-    ``radius`` are answered by the exact search, so every query gets a row."""
-    def vectors(df: DataFrame) -> DataFrame:
-        shaped = df.select("vec_id", array_to_vector(F.transform("embedding", lambda x: x.cast("double"))).alias("_v"))
-        return Normalizer(inputCol="_v", outputCol="unit").transform(shaped).drop("_v")
+def retrieve_lsh(bank: DataFrame, queries: DataFrame, planes: int = 8, tables: int = 20, seed: int = 42) -> DataFrame:
+    """Approximate best match per query by cosine, with the number of compared vectors as ``compared``.
 
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="unit", outputCol="hashes", bucketLength=bucket, numHashTables=tables, seed=seed
-    )
-    model = lsh.fit(vectors(bank))
-    pairs = model.approxSimilarityJoin(vectors(queries), vectors(bank), radius, distCol="dist")
-    # Unit vectors at distance d have cosine 1 - d*d/2.
-    near = pairs.select(
-        F.col("datasetA.vec_id").alias("query_id"),
-        F.col("datasetB.vec_id").alias("match_id"),
-        F.round(1 - F.col("dist") * F.col("dist") / 2, 6).alias("score"),
+    In each table the signs of ``planes`` random projections, ANDed, are the key under which a vector is found; candidates are those
+    that share a key with the query in any table. Queries that share none are answered by the exact search, so each
+    gets a row. The planes are taken around the bank's mean, so that they cut it in the middle.
+    """
+    middle = bank.select(F.posexplode("embedding").alias("pos", "x")).groupBy("pos").agg(F.avg(F.col("x").cast("double")).alias("m"))
+    center = np.array([r.m for r in middle.orderBy("pos").collect()])  # one number per dimension
+    normals = np.random.default_rng(seed).normal(size=(len(center), tables * planes))
+    offsets = center @ normals
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(1)
+            rows = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), len(center))
+            sides = (rows @ normals > offsets).reshape(len(column), tables, planes)
+            found = (sides * (1 << np.arange(planes))).sum(axis=2)
+            ids = np.repeat(batch.column(0).to_numpy(), tables)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids), pa.array(np.tile(np.arange(tables), len(column))), pa.array(found.ravel())], names=["id", "t", "b"]
+            )
+
+    def keyed(df: DataFrame, name: str) -> DataFrame:
+        rows = df.filter("embedding IS NOT NULL").select(F.col("vec_id").cast("long"), "embedding")
+        return rows.mapInArrow(keys, "id long, t long, b long").withColumnRenamed("id", name)
+
+    vectors, asked = materialize(keyed(bank, "match_id"), "lsh-bank"), materialize(keyed(queries, "query_id"), "lsh-queries")
+    pairs = asked.join(vectors, ["t", "b"]).select("query_id", "match_id").distinct()
+    sides = pairs.join(queries.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("_q")), "query_id").join(
+        bank.select(F.col("vec_id").alias("match_id"), F.col("embedding").alias("_v")), "match_id"
     )
+    near = sides.select("query_id", "match_id", F.round(cosine("_q", "_v"), 6).alias("score")).filter("score IS NOT NULL")
     best = near.groupBy("query_id").agg(
-        F.max(F.struct("score", (-F.col("match_id")).alias("neg"))).alias("b")
+        F.max(F.struct("score", (-F.col("match_id")).alias("neg"))).alias("b"), F.count(F.lit(1)).alias("compared")
     )
     found = materialize(
-        best.select("query_id", (-F.col("b.neg")).alias("match_id"), F.col("b.score").alias("score")), "lsh"
+        best.select("query_id", (-F.col("b.neg")).alias("match_id"), F.col("b.score").alias("score"), "compared"), "lsh"
     )
     missed = queries.join(found.select(F.col("query_id").alias("vec_id")), "vec_id", "left_anti")
     exact = nearest_k(missed, bank, "vec_id", "embedding").select(
-        "query_id", "match_id", F.round("score", 6).alias("score")
+        "query_id", "match_id", F.round("score", 6).alias("score"), F.lit(None).cast("bigint").alias("compared")
     )
     return found.withColumn("exact", F.lit(False)).unionByName(exact.withColumn("exact", F.lit(True)))

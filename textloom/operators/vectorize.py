@@ -10,9 +10,18 @@ from textloom.sources.scratch import materialize
 UNKNOWN_ID = 0
 
 
+def text_token_counts(tokens: DataFrame, id_col: str) -> DataFrame:
+    """``(id, token, tf)`` of every text."""
+    return tokens.groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("tf"))
+
+
 def count_vectors(tokens: DataFrame, vocab: DataFrame, id_col: str) -> DataFrame:
     """Occurrences per (text, token id); tokens outside the vocabulary fall on id 0."""
-    per_token = tokens.groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("tf"))
+    return vectors_of_counts(text_token_counts(tokens, id_col), vocab, id_col)
+
+
+def vectors_of_counts(per_token: DataFrame, vocab: DataFrame, id_col: str) -> DataFrame:
+    """``count_vectors`` from counts that are there already."""
     known = vocab.select("token", "token_id", "n")
     joined = keyed_lookup(per_token, known, "token", "n", "left")
     return joined.groupBy(
@@ -28,12 +37,12 @@ def multi_hot_vectors(tokens: DataFrame, vocab: DataFrame, id_col: str) -> DataF
 
 
 def tfidf_vectors(
-    tokens: DataFrame, vocab: DataFrame, n_docs: DataFrame, id_col: str
+    counts: DataFrame, vocab: DataFrame, n_docs: DataFrame, id_col: str
 ) -> DataFrame:
     """tf * ln(1 + N / (1 + df)); the unknown id weighs the mean idf of the vocabulary.
 
-    ``vocab`` carries ``df`` from the fit, ``n_docs`` is a one-row, one-column table with the number
-    of texts. Fitting read the texts once; this reads them once more.
+    ``counts`` is ``text_token_counts``, written once for the fit and for this; ``vocab`` carries ``df`` from the fit, ``n_docs`` is a
+    one-row, one-column table with the number of texts.
     """
     idf = vocab.select(
         "token_id", "n", F.log1p(n_docs.scalar() / (F.lit(1.0) + F.col("df"))).alias("idf")
@@ -42,7 +51,7 @@ def tfidf_vectors(
         F.lit(UNKNOWN_ID).cast("bigint").alias("token_id"), F.max("n").alias("n"), F.avg("idf").alias("idf")
     )
     table = materialize(idf.unionByName(unknown), "idf").withColumnRenamed("n", "_total")
-    weighted = keyed_lookup(count_vectors(tokens, vocab, id_col), table, "token_id", "_total")
+    weighted = keyed_lookup(vectors_of_counts(counts, vocab, id_col), table, "token_id", "_total")
     return weighted.select(id_col, "token_id", (F.col("n") * F.col("idf")).alias("weight"))
 
 

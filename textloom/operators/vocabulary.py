@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from textloom.functions.text import with_bigrams
-from textloom.operators.lookup import keyed_lookup, spread_count, spread_few_files
+from textloom.operators.lookup import keyed_lookup
 from textloom.operators.ranking import global_rank
 from textloom.sources.scratch import materialize
 
@@ -18,7 +18,7 @@ def token_rows(
     tokens: Column,
     keep: tuple[str, ...] = (),
     bigrams: bool = False,
-    spread: bool | None = True,
+    spread: bool = True,
     length: str | None = None,
 ) -> DataFrame:
     """One row per token occurrence: ``(id, pos, token)``, pos from 0; ``length`` names a column for
@@ -26,13 +26,10 @@ def token_rows(
 
     With ``spread`` the texts are partitioned by id first. That moves each text once, and every
     later step that groups by the id finds its rows in place and needs no shuffle of the much larger
-    token table. Steps that only group by token need no spreading: they pass None, which spreads
-    only a table of fewer files than there are cores.
+    token table; how many partitions that makes is left to the adaptive plan. Steps that only group by token need no spreading.
     """
-    if spread is None:
-        df = spread_few_files(df, id_col)
-    elif spread:
-        df = df.repartition(spread_count(df), F.col(id_col))
+    if spread:
+        df = df.repartition(F.col(id_col))
     split = df.select(id_col, *keep, tokens.alias("_tokens"))
     if bigrams:
         split = split.select(id_col, *keep, with_bigrams("_tokens").alias("_tokens"))
@@ -49,18 +46,12 @@ def token_counts(tokens: DataFrame) -> DataFrame:
 
 def token_statistics(tokens: DataFrame, id_col: str) -> DataFrame:
     """``(token, n, df)``: occurrences and number of texts, from one reading of spread tokens."""
-    per_text = tokens.groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("tf"))
-    return per_text.groupBy("token").agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("df"))
+    return count_statistics(tokens.groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("tf")))
 
 
-def min_count_within(counts: DataFrame, max_tokens: int) -> int:
-    """The lowest frequency that at most ``max_tokens`` tokens reach."""
-    by_count = counts.groupBy("n").agg(F.count(F.lit(1)).alias("_tokens"))
-    # One row per distinct frequency.
-    reached = F.sum("_tokens").over(Window.orderBy(F.desc("n")))
-    allowed = by_count.withColumn("_reached", reached).filter(F.col("_reached") <= max_tokens)
-    lowest, highest = allowed.agg(F.min("n")).first()[0], by_count.agg(F.max("n")).first()[0]
-    return lowest if lowest is not None else (highest or 0) + 1
+def count_statistics(per_text: DataFrame) -> DataFrame:
+    """``(token, n, df)`` from written counts ``(id, token, tf)``."""
+    return per_text.groupBy("token").agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("df"))
 
 
 def build_vocabulary(
@@ -97,7 +88,7 @@ def build_vocabulary(
 def joint_tokens(df: DataFrame, id_col: str, columns: list[str], tokenizer) -> DataFrame:
     """Token rows of several text columns together, to count one shared vocabulary."""
     stacked = df.select(id_col, F.explode(F.array(*columns)).alias("_text"))
-    return token_rows(stacked, id_col, tokenizer("_text"), spread=None)
+    return token_rows(stacked, id_col, tokenizer("_text"), spread=False)
 
 
 def tokens_to_ids(
@@ -130,7 +121,7 @@ def sequences(ids: DataFrame, texts: DataFrame, id_col: str) -> DataFrame:
 
 def decode(ids: DataFrame, vocab: DataFrame, id_col: str, stop_token: str | None = None) -> DataFrame:
     """Id arrays back to text; padding and unknown ids are skipped, decoding ends before ``stop_token``."""
-    cells = ids.select(id_col, "ids").repartition(spread_count(ids), F.col(id_col)).select(
+    cells = ids.select(id_col, "ids").repartition(F.col(id_col)).select(
         id_col, F.posexplode("ids").alias("pos", "token_id")
     )
     known = vocab.select("token_id", "token", "n")

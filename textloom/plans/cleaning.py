@@ -13,6 +13,9 @@ from textloom.sources.scratch import new_path
 from textloom.sources.tables import faq_pairs, labelled_documents, load
 
 
+ARRAY_FILES = 4
+
+
 def pairs(spark, sf):
     return faq_pairs(load(spark, sf, "conversations"))
 
@@ -23,9 +26,10 @@ def labelled(spark, sf):
 
 @query("csv_roundtrip", f"WITH {PAIRS} SELECT question, answer, length(answer)::BIGINT AS answer_chars FROM pairs")
 def csv_roundtrip(spark, sf):
+    """Written with another order of columns and one more; read back by name."""
     path = new_path(spark, "faq-csv")
-    files.write_csv(pairs(spark, sf).select("question", "answer"), path)
-    back = files.read_csv(spark, path, files.FAQ)
+    files.write_csv(pairs(spark, sf).select("pair_id", "answer", "question"), path)
+    back = files.read_csv(spark, path, files.FAQ, multi_line=True)
     return back.withColumn("answer_chars", F.length("answer").cast("bigint"))
 
 
@@ -44,6 +48,39 @@ def json_roundtrip(spark, sf):
     return files.read_json_lines(spark, path, files.FAQ_RAW)
 
 
+@query("json_array", f"WITH {PAIRS} SELECT question, answer, length(question) < 60 AS found_duplicate FROM pairs")
+def json_array(spark, sf):
+    """Files that hold one JSON array each, as many as there are parts of the pairs."""
+    path = new_path(spark, "faq-array")
+    flagged = pairs(spark, sf).select(
+        F.pmod(F.xxhash64("pair_id"), F.lit(ARRAY_FILES)).alias("part"),
+        "question", "answer", (F.length("question") < 60).alias("found_duplicate"),
+    )
+    files.write_json_array_files(flagged, path, "part")
+    return files.read_json_array(spark, path, files.FAQ_RAW).select("question", "answer", "found_duplicate")
+
+
+@query("json_lines", f"WITH {PAIRS} SELECT question, answer, length(question) < 60 AS found_duplicate FROM pairs")
+def json_lines(spark, sf):
+    path = new_path(spark, "faq-lines")
+    flagged = pairs(spark, sf).select("question", "answer", (F.length("question") < 60).alias("found_duplicate"))
+    files.write_json_lines(flagged, path)
+    return files.read_json_lines(spark, path, files.FAQ_RAW)
+
+
+@query(
+    "qa_text",
+    f"""WITH {PAIRS}, texts AS (SELECT question || chr(10) || answer || chr(10) AS t FROM pairs)
+        SELECT line, count(*) AS n FROM (SELECT unnest(string_split(t, chr(10))) AS line FROM texts) GROUP BY line""",
+)
+def qa_text(spark, sf):
+    """Pairs written as question, answer and blank line; the lines read back, with how often each occurs."""
+    path = new_path(spark, "faq-text")
+    files.write_qa_text(pairs(spark, sf), path)
+    lines = spark.read.option("lineSep", "\n").text(path).select(F.col("value").alias("line"))
+    return lines.groupBy("line").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "faq_pairs",
     f"WITH {PAIRS} SELECT pair_id, question AS input, answer AS output, 1.0::DOUBLE AS target FROM pairs",

@@ -154,3 +154,25 @@ def retrieve_encoded(spark, sf):
 @query("retrieve_lsh")
 def retrieve_lsh_query(spark, sf):
     return retrieve_lsh(load(spark, sf, "embeddings"), centroids(spark, sf))
+
+
+@query(
+    "retrieve_lsh_recall",
+    "SELECT count(*) AS n, true AS recalled, true AS pruned, true AS found_by_hash FROM embeddings WHERE vec_id % 10 = 0",
+)
+def retrieve_lsh_recall(spark, sf):
+    """Approximate against exact, for shaken copies of every tenth vector: at least 0.9 of the best matches, with under a fifth of the
+    vectors compared."""
+    bank = load(spark, sf, "embeddings").select("vec_id", "label", "embedding")
+    shaken = F.transform("embedding", lambda x, i: x + 0.1 * (F.pmod(F.xxhash64("vec_id", i), F.lit(2001)) / 1000 - 1))
+    asked = materialize(bank.filter("vec_id % 10 = 0").select("vec_id", shaken.alias("embedding")), "lsh-asked")
+    near = materialize(retrieve_lsh(bank, asked), "lsh-best")
+    exact = retrieval.retrieve_dense(bank, asked).select("query_id", F.col("match_id").alias("wanted"))
+    total = bank.agg(F.count(F.lit(1))).scalar()
+    return near.join(exact, "query_id").agg(
+        F.avg((F.col("match_id") == F.col("wanted")).cast("int")).alias("recall"),
+        F.count(F.lit(1)).alias("n"), F.avg(F.col("compared")).alias("compared"), F.max((~F.col("exact")).cast("int")).alias("by_hash"),
+    ).select(
+        "n", (F.col("recall") >= 0.9).alias("recalled"), (F.col("compared") < 0.2 * total).alias("pruned"),
+        (F.col("by_hash") == 1).alias("found_by_hash"),
+    )

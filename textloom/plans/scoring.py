@@ -9,10 +9,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textloom.functions import labels as lab
-from textloom.functions.vectors import relu, sigmoid
+from textloom.functions.vectors import cosine, relu, sigmoid
 from textloom.operators import labels as ops, metrics, ml
 from textloom.operators.lookup import fits_broadcast
 from textloom.operators.splits import three_way
+from textloom.plans.balance import SPLIT
 from textloom.plans.cleaning import labelled, pairs
 from textloom.plans.registry import query
 from textloom.plans.retrieval import CENTROIDS, centroids
@@ -31,21 +32,18 @@ SCORES = f"""{CENTROIDS},
 
 def scores(spark, sf):
     """``(vec_id, label_id, label, y, logit, p)`` for every vector and label."""
-    vectors = load(spark, sf, "embeddings")
-    own = vectors.select("vec_id", F.col("label").alias("own"), F.posexplode("embedding").alias("pos", "x"))
-    means = materialize(centroids(spark, sf).select("label", F.posexplode("embedding").alias("pos", "c")), "means")
-    # Labels x cells rows, joined on the cell. Past the broadcast bound the few cells are salted.
+    vectors = load(spark, sf, "embeddings").select("vec_id", F.col("label").alias("own"), "embedding")
+    means = materialize(centroids(spark, sf).select("label", F.col("embedding").alias("mean")), "means")
     if fits_broadcast(means):
-        joined = own.join(F.broadcast(means), "pos")
+        # All means travel as one array; a vector meets each of them where it lies.
+        every = means.agg(F.collect_list(F.struct("label", "mean"))).scalar()
+        products = vectors.select("vec_id", "own", "embedding", F.explode(every).alias("m")).select("*", "m.*")
     else:
-        salt = F.pmod(F.xxhash64("vec_id"), F.lit(SALTS)).cast("int").alias("salt")
-        copies = means.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-        joined = own.select("*", salt).join(copies, ["pos", "salt"])
-    x, c = F.col("x").cast("double"), F.col("c")
-    products = joined.groupBy("vec_id", "own", "label").agg(
-        F.sum(x * c).alias("xc"), F.sum(x * x).alias("xx"), F.sum(c * c).alias("cc")
-    )
-    cos = F.col("xc") / F.sqrt(F.col("xx")) / F.sqrt(F.col("cc"))
+        # Past the bound, means and vectors meet on a part number: vectors are spread over it, means are copied to it.
+        part = F.pmod(F.xxhash64("vec_id"), F.lit(SALTS)).cast("int").alias("part")
+        copies = means.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("part"))
+        products = vectors.select("*", part).join(copies.hint("merge"), "part")
+    cos = cosine("embedding", "mean")
     logit = F.lit(SCALE) * (cos - F.lit(SHIFT))
     return products.select(
         "vec_id",
@@ -176,14 +174,13 @@ def score_activations(spark, sf):
     )
 
 
-CLASSES = ["de", "en", "es", "fr", "quality", "toxic"]
-
-
 @query("clf_multilabel")
 def clf_multilabel(spark, sf):
     """One model per label trained on the train part; the three best labels of every test document."""
     rows = three_way(labelled(spark, sf).select("doc_id", "text", "terms"), "doc_id")
-    features, models = ml.fit_multilabel(rows.filter("split = 'train'"), "text", "terms", CLASSES)
+    train = rows.filter("split = 'train'")
+    labels = [r.label for r in ops.label_counts(train, "terms").orderBy("label").collect()]  # one model each
+    features, models = ml.fit_multilabel(train, "text", "terms", labels, max_iter=5)
     scored = ml.score_multilabel(features, models, rows.filter("split = 'test'"), "doc_id", "text")
     return ops.top_k_rows(scored, "doc_id", 3).select("doc_id", "place", "label", "p")
 
@@ -226,3 +223,41 @@ def clf_reload_match(spark, sf):
     model = ml.fit_classifier(rows, ["text"], "lang", max_iter=3)
     again = ml.save_and_reload(model, spark)
     return metrics.all_close(ml.predict(model, rows, "doc_id"), ml.predict(again, rows, "doc_id"), ["doc_id"], "p")
+
+
+def _quality(scored, truth, id_col: str):
+    """One row: held-out rows, whether each is answered once, whether predictions beat the most frequent class."""
+    joined = truth.join(scored, id_col, "left")
+    per_id = joined.groupBy(id_col, "truth").agg(F.count("predicted").alias("answers"), F.max("predicted").alias("predicted"))
+    majority = truth.groupBy("truth").agg(F.count(F.lit(1)).alias("c")).agg(F.max("c")).scalar()
+    right = F.sum((F.col("predicted") == F.col("truth")).cast("int"))
+    return per_id.agg(
+        F.count(F.lit(1)).alias("n"), (F.min("answers") == 1).alias("answered"), F.max("answers").cast("bigint").alias("most_answers"),
+        right.alias("right"),
+    ).select("n", "answered", "most_answers", (F.col("right") > majority).alias("beats_majority"))
+
+
+@query(
+    "clf_multiclass_quality",
+    f"SELECT count(*) AS n, true AS answered, 1::BIGINT AS most_answers, true AS beats_majority FROM documents WHERE {SPLIT} <> 'train'",
+)
+def clf_multiclass_quality(spark, sf):
+    rows = three_way(load(spark, sf, "documents").select("doc_id", F.col("lang").alias("truth")), "doc_id")
+    scored = materialize(clf_multiclass(spark, sf).select("doc_id", "predicted"), "predictions")
+    return _quality(scored, rows.filter("split <> 'train'").select("doc_id", "truth"), "doc_id")
+
+
+@query(
+    "clf_multilabel_quality",
+    f"SELECT count(*) AS n, 3::BIGINT AS least_places, true AS languages_found FROM documents WHERE {SPLIT} = 'test'",
+)
+def clf_multilabel_quality(spark, sf):
+    """Three labels for every test document, and its language among them for most."""
+    best = materialize(clf_multilabel(spark, sf), "best-labels")
+    rows = three_way(load(spark, sf, "documents").select("doc_id", "lang"), "doc_id").filter("split = 'test'")
+    joined = rows.join(best, "doc_id", "left").groupBy("doc_id").agg(
+        F.count("place").alias("places"), F.max((F.col("label") == F.col("lang")).cast("int")).alias("hit")
+    )
+    return joined.agg(
+        F.count(F.lit(1)).alias("n"), F.min("places").alias("least_places"), (F.avg("hit") > 0.8).alias("languages_found")
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from textloom.functions import sequences as seq
@@ -19,7 +20,7 @@ from textloom.operators.ml import word_vectors
 from textloom.plans.cleaning import pairs
 from textloom.plans.registry import PAIRS, query, sql_text
 from textloom.sources.files import load_vocabulary, save_vocabulary
-from textloom.sources.scratch import new_path
+from textloom.sources.scratch import materialize, new_path
 from textloom.sources.tables import load
 
 MAX_TOKENS = 20_000
@@ -283,10 +284,10 @@ def vec_bigram(spark, sf):
         SELECT doc_id, token_id, round(n * idf, 6) AS weight FROM vec JOIN every USING (token_id)""",
 )
 def vec_tfidf_keras(spark, sf):
-    tokens = document_tokens(spark, sf, bigrams=True)
+    counts = materialize(vectorize.text_token_counts(document_tokens(spark, sf, bigrams=True), "doc_id"), "token-counts")
     n_docs = load(spark, sf, "documents").agg(F.count(F.lit(1)))
-    vocab = voc.build_vocabulary(voc.token_statistics(tokens, "doc_id"), max_tokens=MAX_TOKENS)
-    vectors = vectorize.tfidf_vectors(tokens, vocab, n_docs, "doc_id")
+    vocab = voc.build_vocabulary(voc.count_statistics(counts), max_tokens=MAX_TOKENS)
+    vectors = vectorize.tfidf_vectors(counts, vocab, n_docs, "doc_id")
     return vectors.withColumn("weight", F.round("weight", 6))
 
 
@@ -311,7 +312,7 @@ def vec_tfidf_l2(spark, sf):
 def _unit_vectors(spark, sf):
     docs = load(spark, sf, "documents")
     tokens = voc.token_rows(docs, "doc_id", word_tokens("text"))
-    counts = tokens.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("tf"))
+    counts = materialize(vectorize.text_token_counts(tokens, "doc_id"), "token-counts")
     idf = vectorize.smooth_idf(counts, docs.agg(F.count(F.lit(1))))
     return vectorize.unit_tfidf(counts, idf, "doc_id"), idf
 
@@ -342,3 +343,22 @@ def embed_w2v(spark, sf):
     """Word2Vec text vectors: the mean of the word vectors of each document."""
     docs = load(spark, sf, "documents").select("doc_id", "lang", stripped_tokens("text").alias("tokens"))
     return word_vectors(docs, "tokens").transform(docs).select("doc_id", "lang", "embedding")
+
+
+@query("embed_w2v_is_mean", "SELECT count(*) AS n, true AS all_close FROM documents")
+def embed_w2v_is_mean(spark, sf):
+    """Every text vector equals the mean of its words' vectors, rare words included; zero without words."""
+    docs = materialize(load(spark, sf, "documents").select("doc_id", stripped_tokens("text").alias("tokens")), "w2v-tokens")
+    model = word_vectors(docs, "tokens")
+    words = materialize(model.getVectors().select("word", F.posexplode(vector_to_array("vector")).alias("pos", "w")), "word-vectors")
+    # Each cell of a word once per text, weighted by its occurrences.
+    counts = docs.select("doc_id", F.explode("tokens").alias("word")).groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("tf"))
+    sums = counts.join(words, "word").groupBy("doc_id", "pos").agg(F.sum(F.col("tf") * F.col("w")).alias("s"))
+    lengths = docs.select("doc_id", F.size("tokens").alias("length"))
+    cells = model.transform(docs).select("doc_id", F.posexplode(vector_to_array("embedding")).alias("pos", "x"))
+    both = cells.join(lengths, "doc_id").join(sums, ["doc_id", "pos"], "left")
+    mean = F.coalesce(F.col("s"), F.lit(0.0)) / F.greatest(F.col("length"), F.lit(1))
+    far = F.max(F.abs(F.col("x") - mean))
+    return both.groupBy("doc_id").agg(far.alias("far")).agg(
+        F.count(F.lit(1)).alias("n"), (F.max("far") < 1e-6).alias("all_close")
+    )

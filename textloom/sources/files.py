@@ -14,14 +14,21 @@ FAQ = "question string, answer string"
 FAQ_RAW = "question string, answer string, found_duplicate boolean"
 VOCABULARY = "token string, n bigint, token_id bigint"
 
-# Texts hold quotes and line breaks of their own.
-CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "lineSep": "\n"}
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
-    """CSV with a header and quoted multi-line texts; an empty field is missing. Columns come from
-    the schema, never inferred."""
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+def read_csv(spark: SparkSession, path: str, schema: str | StructType, multi_line: bool = False) -> DataFrame:
+    """The columns of ``schema``, found by their names in the header; other columns are left out.
+
+    An empty field is missing; lines may end in LF or CRLF. ``multi_line`` is for texts with line breaks of their own: such a file is
+    read by one task, any other is split.
+    """
+    wanted = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    raw = spark.read.options(**CSV_OPTIONS, multiLine=str(multi_line).lower()).csv(path)
+    missing = [f.name for f in wanted if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; its header has {', '.join(raw.columns)}")
+    return raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in wanted])
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -29,8 +36,10 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def read_json_array(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
-    """A file holding one JSON array of objects, one row per object."""
-    return spark.read.schema(schema).option("multiLine", "true").json(path)
+    """Files holding one JSON array of objects each, one row per object; empty entries of an array are left out."""
+    wanted = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    rows = spark.read.schema(wanted).option("multiLine", "true").json(path)
+    return rows.dropna("all", subset=wanted.names)
 
 
 def write_json_arrays(df: DataFrame, path: str, *chunk: str) -> None:
@@ -43,6 +52,20 @@ def write_json_arrays(df: DataFrame, path: str, *chunk: str) -> None:
     arrays.select(F.to_json("_objects", {"ignoreNullFields": "false"}).alias("value")).write.text(path)
 
 
+def write_json_array_files(df: DataFrame, path: str, part: str) -> None:
+    """One file per value of ``part``, each one JSON array with an object per line; no array is gathered anywhere.
+
+    The brackets and commas are lines of their own, written by the task that writes the rows.
+    """
+    objects = df.select(part, F.to_json(F.struct(*[c for c in df.columns if c != part]), {"ignoreNullFields": "false"}).alias("value"))
+    lines = objects.select(part, F.lit(1).alias("_n"), F.concat(F.lit(","), "value").alias("value"))
+    ends = df.select(part).distinct().select(
+        part, F.explode(F.array(F.struct(F.lit(0).alias("_n"), F.lit("[{}").alias("value")), F.struct(F.lit(2).alias("_n"), F.lit("]").alias("value")))).alias("e")
+    ).select(part, "e.*")
+    ordered = lines.unionByName(ends).repartition(part).sortWithinPartitions(part, "_n")
+    ordered.select(part, "value").write.partitionBy(part).text(path)
+
+
 def read_json_lines(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
     """One object, or one array of objects, per line: the splittable form for large inputs."""
     return spark.read.schema(schema).json(path)
