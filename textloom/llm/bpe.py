@@ -27,9 +27,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from textloom.llm.scan import pieces, row_blocks, text_column
 
 MAX_VOCABULARY_BYTES = 64 << 20
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Pieces whose ids a task keeps between blocks; beyond it the store starts anew.
-KEPT_PIECES = 400_000
+KEPT_PIECES = 200_000
 
 _NEVER = 1 << 40
 
@@ -222,20 +222,30 @@ def _kept_fields(df: DataFrame, keep: list[str]) -> list[T.StructField]:
     return [df.schema[name] for name in keep]
 
 
-def encode(docs: DataFrame, ranks: Broadcast, keep: list[str], text: str = "text", ids: str = "ids") -> DataFrame:
-    """``keep`` columns and the ids of every whole text, as little-endian unsigned 32-bit integers in a binary column."""
+def encode(
+    docs: DataFrame, ranks: Broadcast, keep: list[str], text: str = "text", ids: str = "ids", decoded: str | None = None
+) -> DataFrame:
+    """``keep`` columns and the ids of every whole text, as little-endian unsigned 32-bit integers in a binary column.
+
+    With ``decoded`` the ids are decoded again in the same task, into a binary column of that name.
+    """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = load_vocabulary(ranks.value)
         for batch in batches:
             column = text_column(batch.column(len(keep)))
             for start, stop in row_blocks(column, BLOCK_BYTES):
                 found, counts = vocabulary.encode(column.slice(start, stop - start))
-                cells = binary_column(found.astype("<u4").view(np.uint8), 4 * np.concatenate(([0], np.cumsum(counts))))
+                ends = np.concatenate(([0], np.cumsum(counts)))
+                cells = [binary_column(found.astype("<u4").view(np.uint8), 4 * ends)]
+                if decoded:
+                    byte_ends = np.concatenate(([0], np.cumsum(vocabulary.token_lengths[found])))
+                    cells.append(binary_column(vocabulary.decode(found), byte_ends[ends]))
                 kept = [batch.column(i).slice(start, stop - start) for i in range(len(keep))]
-                yield pa.RecordBatch.from_arrays([*kept, cells.cast(pa.binary())], names=[*keep, ids])
+                yield pa.RecordBatch.from_arrays([*kept, *[c.cast(pa.binary()) for c in cells]], names=[*keep, *outputs])
 
+    outputs = [ids, decoded] if decoded else [ids]
     narrow = docs.select(*[F.col(c) for c in keep], F.col(text).cast("string").alias("_encode_text"))
-    return narrow.mapInArrow(run, T.StructType([*_kept_fields(docs, keep), T.StructField(ids, T.BinaryType())]))
+    return narrow.mapInArrow(run, T.StructType([*_kept_fields(docs, keep), *[T.StructField(c, T.BinaryType()) for c in outputs]]))
 
 
 def decode(encoded: DataFrame, ranks: Broadcast, keep: list[str], ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -261,9 +271,7 @@ def decode(encoded: DataFrame, ranks: Broadcast, keep: list[str], ids: str = "id
 
 def digests(docs: DataFrame, ranks: Broadcast, doc_id: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
     """Encode every whole text, decode the ids again, and return both digests (and the ids, if asked for) per document."""
-    encoded = encode(docs, ranks, [doc_id], text)
-    decoded = decode(encoded.withColumn("_ids", F.col("ids")), ranks, [doc_id, "ids"], "_ids")
-    return decoded.select(
+    return encode(docs, ranks, [doc_id], text, decoded="decoded").select(
         doc_id,
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -36,7 +36,7 @@ FENCE = 3.0
 #: Accuracy of the quartiles: ranks are right within 1 / ACCURACY.
 ACCURACY = 10_000
 #: Words whose tokens a task keeps between blocks; beyond it the store starts anew.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000
 
 MEASURES = ["chars_per_piece", "chars_per_byte_token", "fallback_share", "token_entropy"]
 #: Scripts by the first byte of their letters in UTF-8; the last one that a byte reaches counts.

@@ -30,12 +30,13 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
 
 from textloom.llm.bpe import ragged
 from textloom.llm.components import components
 from textloom.llm.scan import Hashes, mix, row_blocks, text_bytes, text_column, windows, word_spans
-from textloom.llm.tables import build_filter, checked_join, filter_rows
+from textloom.llm.tables import BlockedFilter, build_filter, checked_join
 from textloom.sources.scratch import materialize
 
 REGISTERS = 128
@@ -226,9 +227,12 @@ def _estimated(similarity: float):
     return run
 
 
-def _set_batches(width: int):
+def _set_batches(width: int, words: Broadcast):
+    """Full sets of the texts whose key the filter holds."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = BlockedFilter(words.value)
         for batch in batches:
+            batch = batch.filter(pa.array(held.holds(batch.column(0).to_numpy())))
             column = text_column(batch.column(1))
             for at in range(0, len(column), 512):
                 part = column.slice(at, 512)
@@ -374,8 +378,8 @@ def set_components(docs: DataFrame, width: int, similarity: float) -> tuple[Data
     wanted = members.select("sid").distinct().join(classes.select("sid", "id", "d1", "d2"), "sid")
     wanted = materialize(wanted.withColumn("key", F.xxhash64("id")), "wanted")
     near = build_filter(wanted, "key", wanted.count())
-    texts = filter_rows(narrow.select("id", "text").withColumn("key", F.xxhash64("id")), "key", near).select("id", "text")
-    full = texts.mapInArrow(_set_batches(width), "d1 long, d2 long, shingles binary")
+    keyed = docs.select(F.xxhash64("id").alias("key"), "text")
+    full = keyed.mapInArrow(_set_batches(width, near), "d1 long, d2 long, shingles binary")
     sets = full.join(wanted.select("sid", "d1", "d2"), ["d1", "d2"]).groupBy("sid").agg(F.first("shingles").alias("shingles"))
     sets = materialize(sets, "full-sets")
 

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 #: Fixed value: white space that separates words.
 SPACES = b" \t\n\x0b\f\r"
 
@@ -84,7 +84,7 @@ _inverse_powers = np.ones(1, _U64)
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers, _inverse_powers
     if len(_powers) < n:
-        size = max(n, 1 << 16) + 1
+        size = max(n, BLOCK_BYTES + 4096) + 1
         inverse = pow(_BASE, -1, 2**64)
         ones = np.ones(1, _U64)
         _powers = np.concatenate((ones, np.cumprod(np.full(size, _BASE, _U64), dtype=_U64)))
