@@ -384,3 +384,25 @@ def test_text_encoder_slot(spark):
     df = spark.createDataFrame([(1, "a bc"), (2, None)], "id bigint, t string")
     got = df.select("id", text_encoder(load)("t").alias("v"))
     assert rows_of(got) == [(1, [4.0, 1.0]), (2, [0.0, 0.0])]
+
+
+def test_stream_goes_on_after_a_stop_and_threads_expire(spark):
+    from textloom.streaming import streams
+
+    rows = [
+        ("a", 1, "broken", "2024-01-01 10:00:00"), ("a", 2, "not satisfied", "2024-01-01 10:30:00"), ("a", 3, "still not satisfied", "2024-01-01 12:00:00"),
+        ("b", 1, "not satisfied", "2024-01-01 12:10:00"), ("a", 4, "hello", "2024-01-01 18:00:00"),
+    ]
+    df = spark.createDataFrame(rows, "conv_id string, turn bigint, text string, at string").withColumn("ts", F.to_timestamp("at")).drop("at")
+    path, out = new_path(spark, "threads-in"), new_path(spark, "threads")
+    df.filter("turn <= 2 AND conv_id = 'a'").coalesce(1).write.parquet(path)
+
+    def run():
+        states = streams.thread_state(streams.file_stream(spark, path, df), ts="ts")
+        return streams.drain_append(states, "threads", out).select("conv_id", F.hour("start").alias("h"), "attempt_level", "last_turn")
+
+    assert rows_of(run()) == []  # still open
+    for turn in ("turn = 3", "conv_id = 'b'", "turn = 4"):
+        df.filter(turn).coalesce(1).write.mode("append").parquet(path)
+    # Silence of over an hour ends the first span of "a"; the restarted stream knew what came before it.
+    assert rows_of(run()) == [("a", 10, 2, 2), ("a", 12, 2, 3), ("b", 12, 2, 1)]

@@ -281,7 +281,9 @@ def stream_bandit(spark, sf):
 )
 def stream_sessions(spark, sf):
     """Sessions closed by the watermark once all events are in."""
-    closed = streams.drain_append(streams.session_stream(streams.table_stream(spark, sf, "events")), "stream-sessions")
+    events = load(spark, sf, "events").withColumn("_at", F.unix_micros(F.col("ts").cast("timestamp")))
+    arriving = streams.file_stream(spark, streams.arrivals(events, "_at", "events-in"), events)
+    closed = streams.drain_append(streams.session_stream(arriving), "stream-sessions")
     return closed.select(
         "user_id", micros("session_start").alias("session_start"), micros("session_end").alias("session_end"), "n_events"
     )
@@ -296,14 +298,16 @@ def stream_sessions(spark, sf):
           max(turn) AS last_turn FROM i GROUP BY conv_id""",
 )
 def stream_attempts(spark, sf):
-    arriving = streams.table_stream(spark, sf, "conversations")
+    messages = load(spark, sf, "conversations")
+    arriving = streams.file_stream(spark, streams.arrivals(messages, "turn", "turns-in"), messages)
     state = streams.thread_state(arriving, phrases=VOICED, describing=DESCRIBING)
     return streams.drain_update(state, ["conv_id"], "stream-attempts")
 
 
 @query("stream_dedup", "SELECT event_id, user_id, event_type FROM events")
 def stream_dedup(spark, sf):
-    """Every event delivered twice, kept once."""
-    first, second = streams.table_stream(spark, sf, "events"), streams.table_stream(spark, sf, "events")
-    once = streams.dedup_stream(first.union(second), "event_id")
+    """Every event delivered twice, in two micro-batches, kept once."""
+    events = load(spark, sf, "events").withColumn("_at", F.unix_micros(F.col("ts").cast("timestamp")))
+    arriving = streams.file_stream(spark, streams.arrivals(events, "_at", "events-twice", late_copies=True), events)
+    once = streams.dedup_stream(arriving, "event_id")
     return streams.drain_append(once.select("event_id", "user_id", "event_type"), "stream-dedup")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from textloom.functions.text import word_tokens
 from textloom.functions.vectors import cosine
 from textloom.operators import retrieval
+from textloom.operators.lookup import keyed_lookup
 from textloom.operators.ml import mean_vectors, retrieve_lsh, word_vectors
 from textloom.plans.cleaning import pairs
 from textloom.plans.registry import PAIRS, query
@@ -129,7 +130,10 @@ def retrieve_category(spark, sf):
 def cosine_pairs(spark, sf):
     """Cosine of every vector with the mean of its own label."""
     means = centroids(spark, sf).select("label", F.col("embedding").alias("mean"))
-    rows = load(spark, sf, "embeddings").join(means, "label")
+    # Few labels may own most vectors: the means are broadcast if they fit, else looked up with a head of heavy labels.
+    sizes = load(spark, sf, "embeddings").groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    table = materialize(means.join(sizes, "label"), "label-means")
+    rows = keyed_lookup(load(spark, sf, "embeddings"), table, "label", "n")
     return rows.select("vec_id", "label", F.round(cosine("embedding", "mean"), 6).alias("cosine"))
 
 

@@ -14,6 +14,27 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parquet*")
 
 
+def arrivals(df: DataFrame, order: str, name: str, batches: int = 4, late_copies: bool = False) -> str:
+    """A folder of files, ``batches`` of them, that hold ``df`` cut along ``order``, written one after another as they would arrive.
+
+    With ``late_copies`` every part is delivered a second time together with the next one.
+    """
+    path = new_path(df.sparkSession, name)
+    cuts = df.approxQuantile(order, [i / batches for i in range(1, batches)], 0.01) if batches > 1 else []
+    part = F.lit(0)
+    for cut in cuts:
+        part = part + (F.col(order) > cut).cast("int")
+    for i in range(batches + late_copies):
+        wanted = F.coalesce(part, F.lit(0)).isin(i, i - 1) if late_copies else F.coalesce(part, F.lit(0)) == i
+        df.filter(wanted).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def file_stream(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """Stream over the files of a folder, one file a micro-batch, in the order they were written."""
+    return spark.readStream.schema(like.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def classify_stream(messages: DataFrame, text: str = "text", mode: str = "search") -> DataFrame:
     """Intent and response of every arriving message; stateless."""
     return messages.withColumn("intent", intent(text, mode=mode)).withColumn(
@@ -39,9 +60,15 @@ def thread_state(
     phrases: tuple[str, ...] = ("not satisfied",),
     describing: tuple[str, ...] = ("report_issue", "provide_details"),
     mode: str = "search",
+    ts: str | None = None,
+    expiry: str = "60 minutes",
+    delay: str = "10 minutes",
 ) -> DataFrame:
     """State per thread: attempt level and latest slots.
 
+    With a timestamp column ``ts`` a thread's state expires once it has been silent for ``expiry``: a later message starts
+    anew, and the expired state leaves the store when the watermark passes it. Results then carry the ``start`` of the span.
+
     Built-in aggregates keep the state to one row per thread, combine before the shuffle and do
     not depend on arrival order, since "latest" goes by the turn number.
     """
@@ -53,12 +80,17 @@ def thread_state(
     def latest(value: Column) -> Column:
         return F.max_by(value, F.when(value.isNotNull(), F.col("turn")))
 
-    return messages.groupBy("conv_id").agg(
+    keys: list = ["conv_id"]
+    if ts:
+        messages = messages.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
+        keys.append(F.session_window(ts, expiry).alias("span"))
+    state = messages.groupBy(*keys).agg(
         (F.count_if(voiced) + 1).alias("attempt_level"),
         latest(F.when(name.isin(*describing), F.col("text"))).alias("description"),
         latest(F.when(name == "affirm", "yes").when(name == "deny", "no")).alias("feedback"),
         F.max("turn").alias("last_turn"),
     )
+    return state.select("conv_id", F.col("span.start").alias("start"), *state.columns[2:]) if ts else state
 
 
 def dedup_stream(events: DataFrame, key: str, delay: str = "1 hour") -> DataFrame:
@@ -67,14 +99,17 @@ def dedup_stream(events: DataFrame, key: str, delay: str = "1 hour") -> DataFram
     return timed.dropDuplicatesWithinWatermark([key])
 
 
-def drain_append(stream: DataFrame, name: str) -> DataFrame:
-    """Run an append-mode stream over all input present and return what it wrote."""
+def drain_append(stream: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Run an append-mode stream over all input present and return what it wrote.
+
+    Given the ``path`` of an earlier run, goes on where that one stopped.
+    """
     spark = stream.sparkSession
-    path = new_path(spark, name)
+    path = path or new_path(spark, name)
     query = (
         stream.writeStream.format("parquet")
         .option("path", path)
-        .option("checkpointLocation", new_path(spark, f"{name}-state"))
+        .option("checkpointLocation", f"{path}-state")
         .outputMode("append")
         .trigger(availableNow=True)
         .start()
