@@ -30,7 +30,7 @@ NO_FEATURE = 0  # a bucket whose weight stays 0
 #: Upper bound of the labelled rows that the model is fitted on.
 MAX_TRAIN_ROWS = 6000
 MIN_DOCUMENTS = 8
-#: Features of a larger share of the documents are stop words.
+#: Features of a larger share of the documents labelled clean are stop words.
 MAX_SHARE = 0.1
 #: Documents looked at while fitting, in whole passes over the sample.
 VISITS = 72_000
@@ -104,14 +104,15 @@ def fit(texts: pa.Array, labels: np.ndarray, seed: int = 7) -> Model:
     column = text_column(texts)
     features, word_sentence, sentence_row = [], [], []
     n_sentences = 0
-    documents = np.zeros(BUCKETS, np.int64)  # that have each feature
+    documents, clean = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)  # that have each feature
     for start, stop in row_blocks(column):
         data, rows = text_bytes(column.slice(start, stop - start))
         found = sentences(data, rows)
         n = len(found.first_word)
         counts = np.diff(np.concatenate((found.first_word, [len(found.features)])))
-        seen = np.unique(np.repeat(found.row, counts)[:, None] * BUCKETS + found.features) % BUCKETS
-        documents += np.bincount(seen, minlength=BUCKETS)
+        seen = np.unique(np.repeat(found.row, counts)[:, None] * BUCKETS + found.features)
+        documents += np.bincount(seen % BUCKETS, minlength=BUCKETS)
+        clean += np.bincount(seen[labels[start + seen // BUCKETS] == 0] % BUCKETS, minlength=BUCKETS)
         features.append(found.features.astype(np.int32).ravel())
         word_sentence.append(np.repeat(np.arange(n_sentences, n_sentences + n, dtype=np.int32), counts))
         sentence_row.append(found.row + start)
@@ -120,7 +121,7 @@ def fit(texts: pa.Array, labels: np.ndarray, seed: int = 7) -> Model:
         return Model(np.zeros(BUCKETS), START_BIAS)
     row_of = np.concatenate(sentence_row)
     # Features of too few documents say nothing about others.
-    common = (documents >= MIN_DOCUMENTS) & (documents <= MAX_SHARE * len(labels))
+    common = (documents >= MIN_DOCUMENTS) & (clean <= MAX_SHARE * (labels == 0).sum())
     common[NO_FEATURE] = False
     kept = [common[f] for f in features]
     feature = np.concatenate([f[k] for f, k in zip(features, kept)])
