@@ -196,6 +196,7 @@ def test_sparse_retrieval_equals_brute_force(spark, monkeypatch, method, brute,
     asked = spark.createDataFrame(list(enumerate(ASKED)), "query_id bigint, text string")
     if blocks:
         monkeypatch.setattr(retrieval, "QUERY_TERM_ROWS", 3)
+        monkeypatch.setattr(retrieval, "POSTINGS_PER_PART", 2)
     got = getattr(retrieval, method)(docs, asked).select("query_id", "doc_id", "score")
     assert rows_of(got) == brute()
 

@@ -170,14 +170,16 @@ def choose_option(best: Column, seed: int, *key: str) -> Column:
     return F.when(seeded_uniform(seed, *key) < BANDIT_EPSILON, picked).otherwise(best)
 
 
-def triage(messages: DataFrame, text: str = "text", level: str = "attempt_level", seed: int = 42, keys: tuple[str, ...] = ("conv_id", "turn")) -> DataFrame:
+def triage(messages: DataFrame, text: str = "text", level: str = "attempt_level", seed: int = 42, keys: tuple[str, ...] = ("conv_id", "turn"), best: Column | None = None) -> DataFrame:
     """Issue, disposition, collected data, decision log, resolution and reply kind per message.
 
-    The constant issue, disposition and resolution stand in for scored model columns.
+    The constant issue, disposition and resolution stand in for scored model columns. ``best`` is the option that feedback has
+    shown to be best so far, as the bandit's table gives it; without feedback it is the first.
     """
+    best = F.lit(BANDIT_OPTIONS[0]) if best is None else best
     unclear = F.length(text) < MIN_DESCRIPTION
-    first = choose_option(F.lit(BANDIT_OPTIONS[0]), seed, *keys)
-    second = choose_option(F.lit(BANDIT_OPTIONS[0]), seed + 1, *keys)
+    first = choose_option(best, seed, *keys)
+    second = choose_option(best, seed + 1, *keys)
 
     def data(**items: str | Column) -> Column:
         cells: list[Column] = []

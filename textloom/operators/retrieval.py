@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, functions as F
 
 from textloom.functions.text import word_tokens
 from textloom.operators.lookup import fits_broadcast, keyed_lookup
 from textloom.operators.nearest import nearest_k
 from textloom.operators.vectorize import smooth_idf, unit_tfidf
-from textloom.operators.vocabulary import token_rows, token_statistics
+from textloom.operators.vocabulary import count_statistics, token_rows
 from textloom.sources.scratch import materialize
 
 # Okapi parameters.
@@ -19,6 +17,7 @@ BM25_B = 0.75
 BM25_EPSILON = 0.25
 RANK_DIGITS = 6
 QUERY_TERM_ROWS = 100_000
+POSTINGS_PER_PART = 100_000
 
 
 def term_counts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -30,30 +29,28 @@ def term_counts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def best_match(postings: DataFrame, query_terms: DataFrame) -> DataFrame:
     """``(query_id, doc_id, score)``: the best document of every query that shares a token.
 
-    ``postings (doc_id, token, weight)`` are partitioned by document, ``query_terms
-    (query_id, token, weight)`` are broadcast once their size is checked. Scores are therefore
-    summed where the document lies; only the best of each task is shuffled. A larger query side is
-    cut into blocks of queries, one pass over the postings each.
+    ``postings (doc_id, token, weight)`` are partitioned by document. ``query_terms (query_id, token, weight)`` are broadcast if their
+    measured rows and bytes fit: scores are then summed where the document lies, and only the best of each task is shuffled.
+    More query terms meet the postings by token in one shuffled join, where the postings of a frequent token are dealt
+    into parts by document, so that no task gets all of them.
     """
     if fits_broadcast(query_terms, QUERY_TERM_ROWS):
-        return _best_of_block(postings, query_terms)
-    blocks = -(-query_terms.count() // QUERY_TERM_ROWS)
-    keyed = materialize(
-        query_terms.withColumn("_block", F.pmod(F.xxhash64("query_id"), F.lit(blocks))), "query-terms"
-    )
-    parts = []
-    for block in range(blocks):
-        part = keyed.filter(F.col("_block") == block).drop("_block")
-        parts.append(materialize(_best_of_block(postings, part), "query-block"))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _best_of_block(postings: DataFrame, query_terms: DataFrame) -> DataFrame:
-    terms = query_terms.withColumnRenamed("weight", "_qw")
-    scored = (
-        postings.join(F.broadcast(terms), "token")
-        .groupBy("doc_id", "query_id")
-        .agg(F.round(F.sum(F.col("weight") * F.col("_qw")), RANK_DIGITS).alias("score"))
+        matched = postings.join(F.broadcast(query_terms.withColumnRenamed("weight", "_qw")), "token")
+    else:
+        postings = materialize(postings, "postings")
+        sizes = postings.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / POSTINGS_PER_PART).cast("int").alias("_parts"))
+        sizes = materialize(sizes, "posting-parts")
+        # A word's number of parts is looked up on both sides; it is 1 for nearly all.
+        split = sizes.filter("_parts > 1").withColumn("n", F.col("_parts"))
+        dealt = keyed_lookup(postings, split, "token", "n", "left").withColumn(
+            "_part", F.pmod(F.xxhash64("doc_id"), F.coalesce("_parts", F.lit(1))).cast("int")
+        ).drop("_parts", "n")
+        asked = keyed_lookup(query_terms, split, "token", "n", "left").withColumn(
+            "_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
+        ).drop("_parts", "n")
+        matched = dealt.join(asked.withColumnRenamed("weight", "_qw").hint("merge"), ["token", "_part"])
+    scored = matched.groupBy("doc_id", "query_id").agg(
+        F.round(F.sum(F.col("weight") * F.col("_qw")), RANK_DIGITS).alias("score")
     )
     best = F.max(F.struct("score", (-F.col("doc_id")).alias("neg")))
     return scored.groupBy("query_id").agg(best.alias("b")).select(
@@ -71,12 +68,10 @@ def _with_default(best: DataFrame, queries: DataFrame, docs: DataFrame) -> DataF
     )
 
 
-def bm25_statistics(docs: DataFrame) -> DataFrame:
-    """``(token, n, df, idf)`` with negative idf replaced by a share of the mean idf."""
-    tokens = token_rows(docs, "doc_id", word_tokens("text"))
-    n_docs = docs.agg(F.count(F.lit(1))).scalar()
+def bm25_statistics(counts: DataFrame, n_docs) -> DataFrame:
+    """``(token, n, df, idf)`` from counts ``(doc_id, token, tf)``, with negative idf replaced by a share of the mean idf."""
     raw_idf = F.log(n_docs - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
-    raw = materialize(token_statistics(tokens, "doc_id").withColumn("raw", raw_idf), "idf")
+    raw = materialize(count_statistics(counts).withColumn("raw", raw_idf), "idf")
     floor = raw.agg(F.avg("raw") * BM25_EPSILON).scalar()
     return raw.select("token", "n", "df", F.when(F.col("raw") < 0, floor).otherwise(F.col("raw")).alias("idf"))
 
@@ -84,15 +79,15 @@ def bm25_statistics(docs: DataFrame) -> DataFrame:
 def retrieve_bm25(docs: DataFrame, queries: DataFrame) -> DataFrame:
     """Best document per query by Okapi BM25. ``docs (doc_id, text)``, ``queries (query_id, text)``.
 
-    The texts are read once to fit the token statistics and once to score.
+    The texts are read and split once; the written counts give the token statistics and the scores.
     """
-    idf = bm25_statistics(docs)
-    n_docs = docs.agg(F.count(F.lit(1)).cast("double")).scalar()
-    mean_length = idf.agg(F.sum("n")).scalar() / n_docs
     tokens = token_rows(docs, "doc_id", word_tokens("text"), length="_dl")
-    counts = tokens.groupBy("doc_id", "token").agg(
-        F.count(F.lit(1)).alias("tf"), F.first("_dl").alias("_dl")
+    counts = materialize(
+        tokens.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("tf"), F.first("_dl").alias("_dl")), "counts"
     )
+    n_docs = docs.agg(F.count(F.lit(1)).cast("double")).scalar()
+    idf = bm25_statistics(counts, docs.agg(F.count(F.lit(1))).scalar())
+    mean_length = idf.agg(F.sum("n")).scalar() / n_docs
     damp = BM25_K1 * (1 - BM25_B + BM25_B * F.col("_dl") / mean_length)
     postings = counts.select(
         "doc_id", "token", (F.col("tf") * (BM25_K1 + 1) / (F.col("tf") + damp)).alias("weight")
@@ -106,7 +101,7 @@ def retrieve_bm25(docs: DataFrame, queries: DataFrame) -> DataFrame:
 
 def retrieve_tfidf(docs: DataFrame, queries: DataFrame) -> DataFrame:
     """Best document per query by cosine of TF-IDF vectors fitted on the documents."""
-    counts = term_counts(docs, "doc_id", "text")
+    counts = materialize(term_counts(docs, "doc_id", "text"), "counts")
     idf = smooth_idf(counts, docs.agg(F.count(F.lit(1))))
     # Both sides have unit length, so the cosine is the dot product.
     postings = unit_tfidf(counts, idf, "doc_id")

@@ -44,11 +44,6 @@ def token_counts(tokens: DataFrame) -> DataFrame:
     return tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
-def token_statistics(tokens: DataFrame, id_col: str) -> DataFrame:
-    """``(token, n, df)``: occurrences and number of texts, from one reading of spread tokens."""
-    return count_statistics(tokens.groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("tf")))
-
-
 def count_statistics(per_text: DataFrame) -> DataFrame:
     """``(token, n, df)`` from written counts ``(id, token, tf)``."""
     return per_text.groupBy("token").agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("df"))
