@@ -96,6 +96,9 @@ TEXT = "A & B\nFirst paragraph with enough text to be a paragraph of an article,
         ("<p>a < b and c > d", "a < b and c > d"),
         ("<p title='x > y'>one</p><!-- <p>no</p> --><p>two", "one\ntwo"),
         ("<style>p{}</style><p>one<div class=ad>no", "one"),
+        ("<div class=ad>Buy<p>kept<p>too", "kept\ntoo"),
+        ("<aside>never closed<div>kept</div>", "kept"),
+        ("<div id='cookieNotice'>we use</div><div class='page-header'>Site</div><div class='entry-header'>Title</div><p>text", "Title\ntext"),
         ("<article><header><h1>Head</h1></header><p>x</p></article><header>top</header>", "Head\nx"),
         ("<p>" + "word " * 30_000 + "</p>", " ".join(["word"] * 30_000)),
     ],

@@ -37,10 +37,12 @@ CONTAINERS = frozenset(
 RAW = ("script", "style", "textarea", "title", "xmp", "noembed", "noframes")
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 NAMES = (
-    "ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus "
-    "footer menu modal nav navbar navigation newsletter notice pager pagination popup promo related share sharing sidebar signup "
-    "social sponsor sponsored subscribe toolbar widget"
+    "ad ads adbox adsbygoogle adslot adunit advert advertisement advertising adverts alert banner breadcrumb breadcrumbs comment comments consent "
+    "cookie cookies crumbs disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices overlay pager pagination "
+    "popup promo promotion recommended related replies share sharing sidebar signup social sponsor sponsored subscribe toolbar topbar widget widgets"
 )
+#: Words beside "header" in a name that make it the head of the article, not of the page.
+ARTICLE_NAMES = frozenset("article content entry post story title".split())
 _NAMED = frozenset(NAMES.split())
 _ROLES = frozenset("navigation banner contentinfo complementary search alert dialog form".split())
 
@@ -51,6 +53,7 @@ _TOKEN = re.compile(
     r"|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
+_HUMP = re.compile(r"([a-z])([A-Z])")
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 
 
@@ -60,15 +63,31 @@ def _is_noise(name: str, rest: str, inside_article: bool) -> bool:
     if not rest or name in ("body", "html", "article", "main"):
         return False
     for attribute, value in _ATTRIBUTE.findall(rest):
-        words = re.split(r"[^a-z]+", value.lower())
+        words = re.split(r"[^a-z]+", _HUMP.sub(r"\1 \2", value).lower())
         if attribute.lower() == "role":
             if _ROLES.intersection(words):
                 return True
         elif _NAMED.intersection(words):
             return True
+        elif "header" in words and not inside_article and not ARTICLE_NAMES.intersection(words):
+            return True
     return False
 
 
+def _unclosed(tokens: list[re.Match]) -> set[int]:
+    """Starts of the opening tags that no later closing tag matches."""
+    open_tags: dict[str, list[int]] = {}
+    for token in tokens:
+        name = token["name"]
+        if name is not None and not token["rest"].endswith("/"):
+            stack = open_tags.setdefault(name.lower(), [])
+            if not token["close"]:
+                stack.append(token.start())
+            elif stack:
+                stack.pop()
+    return {start for stack in open_tags.values() for start in stack}
+
+
 def text_lines(html: str) -> tuple[list[str], list[bool]]:
     """The page's lines, one per block, and whether each stands in an article or main element; stretches of other matter
     and the borders of such elements become empty lines."""
@@ -76,6 +95,9 @@ def text_lines(html: str) -> tuple[list[str], list[bool]]:
     inside: list[bool] = []
     parts: list[str] = []
     noise, depth, articles = "", 0, 0
+    tokens = list(_TOKEN.finditer(html))
+    unclosed = _unclosed(tokens)
+    until_block = False  # the container at work is never closed
 
     def end_line(empty: bool = False) -> None:
         line = " ".join(unescape("".join(parts)).split())
@@ -87,7 +109,7 @@ def text_lines(html: str) -> tuple[list[str], list[bool]]:
             lines.append("")
             inside.append(False)
 
-    for token in _TOKEN.finditer(html):
+    for token in tokens:
         text = token["text"]
         if text is not None:
             if not noise:
@@ -100,10 +122,10 @@ def text_lines(html: str) -> tuple[list[str], list[bool]]:
             continue
         name, closing = name.lower(), bool(token["close"])
         if noise:
-            if name == noise:
+            if name == noise and not (until_block and not closing):
                 depth += -1 if closing else 0 if token["rest"].endswith("/") else 1
-            elif noise == "p" and name in BLOCKS:
-                depth = 0  # a paragraph ends with the next block
+            elif until_block and name in BLOCKS:
+                depth = 0
             elif name == "body" and noise == "head":
                 depth = 0
             if depth > 0:
@@ -117,6 +139,7 @@ def text_lines(html: str) -> tuple[list[str], list[bool]]:
         if not closing and name not in VOID and _is_noise(name, token["rest"], articles > 0):
             end_line(True)
             noise, depth = name, 0 if token["rest"].endswith("/") else 1
+            until_block = token.start() in unclosed
             if not depth:
                 noise = ""
         elif name in BLOCKS:
