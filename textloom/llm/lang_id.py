@@ -143,8 +143,10 @@ def calibrate(logits: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     p = _softmax(logits / temperature)
     order = np.argsort(-p.max(axis=1), kind="stable")
     right = np.cumsum(p.argmax(axis=1)[order] == y[order]) / np.arange(1, len(y) + 1)
-    good = np.flatnonzero(right >= WANTED_ACCURACY)
-    return temperature, float(p.max(axis=1)[order][good[-1]]) if len(good) else 1.0
+    chance = p.max(axis=1)[order]
+    last_of_equal = np.append(chance[1:] != chance[:-1], True)  # a threshold takes all of equal chance
+    good = np.flatnonzero((right >= WANTED_ACCURACY) & last_of_equal)
+    return temperature, float(chance[good[-1]]) if len(good) else 1.0
 
 
 def train(documents: DataFrame, train_rows: Column, max_rows: int = MAX_TRAIN_ROWS) -> Model:
