@@ -357,7 +357,7 @@ def test_rare_words_keep_their_vector(spark):
 
 
 def test_scratch_follows_the_session(spark):
-    assert new_path(spark, "x").startswith(scratch_root(spark))
+    assert new_path(spark, "x").startswith(scratch_root(spark)) and spark.sparkContext.applicationId in new_path(spark, "x")
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         assert scratch_root(spark) == configured.rstrip("/")

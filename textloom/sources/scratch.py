@@ -26,9 +26,20 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_root
 
 
+def run_folder(spark: SparkSession) -> str:
+    """Folder of all tables that this application hands between its jobs."""
+    return f"{scratch_root(spark)}/textloom-{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path no other run uses, so a retried job never reads half of an older one."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_run(spark: SparkSession) -> bool:
+    """Delete this application's folder and nothing else, once none of its results is read any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
