@@ -123,6 +123,26 @@ def retrieve_category(spark, sf):
     )
 
 
+@query(
+    "retrieve_category_prompt",
+    f"""WITH {CENTROIDS}, ranked AS (SELECT c.label::BIGINT AS query_id, c.vec_id AS match_id,
+          row_number() OVER (PARTITION BY c.label ORDER BY round(cos, 9) DESC, c.vec_id) AS place
+          FROM cosines c JOIN embeddings e ON e.vec_id = c.vec_id AND e.label = c.label
+          JOIN documents d ON d.doc_id = c.vec_id)
+        SELECT query_id, match_id, 'user''s question: ' || b.text || ' description: ' || d.text AS prompt
+        FROM ranked JOIN documents d ON d.doc_id = match_id JOIN benchmark b ON b.item_id = query_id WHERE place = 1""",
+)
+def retrieve_category_prompt(spark, sf):
+    """The question's text and the description of its best match inside the category, for vectors that stand for a document."""
+    docs = load(spark, sf, "documents").select(F.col("doc_id").alias("match_id"), F.col("text").alias("description"))
+    vectors = load(spark, sf, "embeddings")
+    described = vectors.join(docs.select(F.col("match_id").alias("vec_id")), "vec_id", "left_semi")
+    best = retrieval.retrieve_dense(described, centroids(spark, sf), scope="label")
+    asked = load(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
+    prompt = F.format_string("user's question: %s description: %s", "question", "description").alias("prompt")
+    return best.join(docs, "match_id").join(asked, "query_id").select("query_id", "match_id", prompt)
+
+
 @query(
     "cosine_pairs",
     f"""WITH {CENTROIDS} SELECT vec_id, label, round(cos, 6) AS cosine FROM cosines JOIN embeddings USING (vec_id, label)""",
