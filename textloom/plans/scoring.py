@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 from textloom.functions import labels as lab
 from textloom.functions.vectors import cosine, relu, sigmoid
 from textloom.operators import labels as ops, metrics, ml
+from textloom.operators.estimators import LabelBinarizer, LabelBinarizerModel, TextVectorizer, TextVectorizerModel
 from textloom.operators.lookup import fits_broadcast
 from textloom.operators.splits import three_way
 from textloom.plans.balance import SPLIT
 from textloom.plans.cleaning import labelled, pairs
-from textloom.plans.registry import query
+from textloom.plans.registry import LABELLED, query
 from textloom.plans.retrieval import CENTROIDS, centroids
-from textloom.sources.scratch import materialize
+from textloom.plans.text import word_sql
+from textloom.sources.scratch import materialize, new_path
 from textloom.sources.tables import load
 
 SCALE, SHIFT = 10.0, 0.3
@@ -261,3 +263,30 @@ def clf_multilabel_quality(spark, sf):
     return joined.agg(
         F.count(F.lit(1)).alias("n"), F.min("places").alias("least_places"), (F.avg("hit") > 0.8).alias("languages_found")
     )
+
+
+@query(
+    "estimators_reload",
+    f"""WITH {LABELLED}, lv AS (SELECT label, row_number() OVER (ORDER BY label) AS place FROM (SELECT DISTINCT unnest(terms) AS label FROM labelled)),
+        tf AS (SELECT doc_id, token, count(*) AS tf FROM (SELECT doc_id, unnest({word_sql('text')}) AS token FROM documents) GROUP BY ALL),
+        df AS (SELECT token, ln(1 + (SELECT count(*) FROM documents) / (1.0::DOUBLE + count(*))) AS idf FROM tf GROUP BY token),
+        w AS (SELECT doc_id, sum(tf * idf) AS total, count(*) AS n FROM tf JOIN df USING (token) GROUP BY doc_id)
+        SELECT l.doc_id, coalesce(n, 0)::INT AS n_terms, round(coalesce(total, 0), 4) AS total,
+               (SELECT string_agg(list_contains(l.terms, label)::INT::VARCHAR, '' ORDER BY place) FROM lv) AS hot
+        FROM labelled l LEFT JOIN w USING (doc_id)""",
+)
+def estimators_reload(spark, sf):
+    """The vectorizer and the binarizer fitted, saved, loaded again and applied."""
+    docs = materialize(labelled(spark, sf).select("doc_id", "text", "terms"), "labelled")
+    vectorizer = TextVectorizer(inputCol="text", outputCol="vector", idCol="doc_id").fit(docs)
+    binarizer = LabelBinarizer(inputCol="terms", outputCol="hot", idCol="doc_id").fit(docs)
+    paths = [new_path(spark, "model"), new_path(spark, "model")]
+    for model, path in zip((vectorizer, binarizer), paths):
+        model.write().save(path)
+    rows = TextVectorizerModel.load(paths[0]).transform(docs)
+    hot = LabelBinarizerModel.load(paths[1]).transform(docs.select("doc_id", "terms")).select("doc_id", "hot")
+    vector = F.coalesce("vector", F.array())
+    total = F.aggregate(vector, F.lit(0.0), lambda a, x: a + x["weight"])
+    return rows.join(hot, "doc_id").select(
+        "doc_id", F.size(vector).alias("n_terms"), F.round(total, 4).alias("total"), F.array_join(F.col("hot").cast("array<string>"), "").alias("hot")
+    )
