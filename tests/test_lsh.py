@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from textloom.operators.ml import retrieve_lsh
 from textloom.operators.nearest import nearest_k
+from textloom.plans import retrieval
 from textloom.plans.retrieval import centroids
 from textloom.sources.tables import load
 
@@ -44,3 +45,19 @@ def test_equal_vectors_and_the_exact_search(spark):
     lone = bank.filter("vec_id = 400").withColumn("embedding", F.transform("embedding", lambda x: -x))
     row, = retrieve_lsh(bank, lone, planes=8, tables=1, probes=1).collect()
     assert row.exact and row.compared == 296
+
+
+def test_quality_counts_fallbacks_and_lost_queries(spark):
+    rows = [(1, 5, 5, 10, False), (2, 6, 6, None, True), (3, 7, 8, 100, True), (4, 9, None, None, None)]
+    answers = spark.createDataFrame(rows, "query_id long, wanted long, match_id long, compared long, exact boolean")
+    row, = retrieval.lsh_quality(answers, 100).collect()
+    assert (row.n, row.recall, row.compared, row.by_hash) == (4, 0.5, (0.1 + 3) / 4, 0.25)
+
+
+def test_the_recall_query_sees_a_search_with_too_few_keys(spark, sf, monkeypatch):
+    row, = retrieval.retrieve_lsh_recall(spark, sf).collect()
+    assert row.recalled and row.pruned and row.found_by_hash
+    few = lambda bank, asked, **kw: retrieve_lsh(bank, asked, planes=8, tables=20, probes=20, **kw)
+    monkeypatch.setattr(retrieval, "retrieve_lsh", few)
+    row, = retrieval.retrieve_lsh_recall(spark, sf).collect()
+    assert not row.recalled

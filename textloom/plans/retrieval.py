@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from textloom.functions.text import word_tokens
 from textloom.functions.vectors import cosine
 from textloom.operators import retrieval
 from textloom.operators.lookup import keyed_lookup
 from textloom.operators.ml import mean_vectors, retrieve_lsh, word_vectors
+from textloom.operators.nearest import nearest_k
 from textloom.plans.cleaning import pairs
 from textloom.plans.registry import PAIRS, query
 from textloom.plans.text import word_sql
@@ -180,23 +181,39 @@ def retrieve_lsh_query(spark, sf):
     return retrieve_lsh(load(spark, sf, "embeddings"), centroids(spark, sf))
 
 
+def lsh_quality(answers: DataFrame, total: int) -> DataFrame:
+    """One row over ``(query_id, wanted, match_id, compared, exact)``: number of queries, recall, mean share of the ``total`` bank vectors compared,
+    share of the queries found by hash. A query answered by the exact search, or not at all, counts as the whole bank compared."""
+    by_hash = F.coalesce(~F.col("exact"), F.lit(False))
+    return answers.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.avg(F.coalesce(F.col("match_id") == F.col("wanted"), F.lit(False)).cast("int")).alias("recall"),
+        F.avg(F.when(by_hash, F.col("compared")).otherwise(total) / F.lit(float(total))).alias("compared"),
+        F.avg(by_hash.cast("int")).alias("by_hash"),
+    )
+
+
 @query(
     "retrieve_lsh_recall",
     "SELECT count(*) AS n, true AS recalled, true AS pruned, true AS found_by_hash FROM embeddings WHERE vec_id % 10 = 0",
 )
 def retrieve_lsh_recall(spark, sf):
-    """Approximate against exact, for shaken copies of every tenth vector: at least 0.9 of the best matches, with under a fifth of the
-    vectors compared."""
+    """Approximate against exact, for every tenth vector without itself and for the label means: each at least 0.9 of the best matches,
+    with under a fifth of the vectors compared (all of them by a query that falls back) and 0.9 of the queries found by hash."""
     bank = load(spark, sf, "embeddings").select("vec_id", "label", "embedding")
-    shaken = F.transform("embedding", lambda x, i: x + 0.1 * (F.pmod(F.xxhash64("vec_id", i), F.lit(2001)) / 1000 - 1))
-    asked = materialize(bank.filter("vec_id % 10 = 0").select("vec_id", shaken.alias("embedding")), "lsh-asked")
-    near = materialize(retrieve_lsh(bank, asked), "lsh-best")
-    exact = retrieval.retrieve_dense(bank, asked).select("query_id", F.col("match_id").alias("wanted"))
-    total = bank.agg(F.count(F.lit(1))).scalar()
-    return near.join(exact, "query_id").agg(
-        F.avg((F.col("match_id") == F.col("wanted")).cast("int")).alias("recall"),
-        F.count(F.lit(1)).alias("n"), F.avg(F.col("compared")).alias("compared"), F.max((~F.col("exact")).cast("int")).alias("by_hash"),
-    ).select(
-        "n", (F.col("recall") >= 0.9).alias("recalled"), (F.col("compared") < 0.2 * total).alias("pruned"),
-        (F.col("by_hash") == 1).alias("found_by_hash"),
+    total = bank.filter("embedding IS NOT NULL").count()
+
+    def against_exact(kind: str, asked: DataFrame, exclude_self: bool) -> DataFrame:
+        asked = materialize(asked.select("vec_id", "embedding"), "lsh-asked")
+        near = retrieve_lsh(bank, asked, exclude_self=exclude_self)
+        exact = nearest_k(asked, bank, "vec_id", "embedding", exclude_self=exclude_self)
+        wanted = exact.select("query_id", F.col("match_id").alias("wanted"))
+        # A query that has a best match and no answer is not recalled, and not found.
+        return lsh_quality(wanted.join(near, "query_id", "left"), total).withColumn("kind", F.lit(kind))
+
+    rows = against_exact("rows", bank.filter("vec_id % 10 = 0"), True)
+    both = materialize(rows.unionByName(against_exact("means", centroids(spark, sf), False)), "lsh-quality")
+    return both.agg(
+        F.max(F.when(F.col("kind") == "rows", F.col("n"))).alias("n"), F.min((F.col("recall") >= 0.9)).alias("recalled"),
+        F.min(F.col("compared") < 0.2).alias("pruned"), F.min(F.col("by_hash") >= 0.9).alias("found_by_hash"),
     )
