@@ -107,6 +107,26 @@ def test_main_text(html, text):
     assert html_text.main_text(html) == text
 
 
+BODY = "<h1>Title</h1><p>" + "long " * 60 + "</p><p>" + "more " * 50 + "</p>"
+BODY_TEXT = "Title\n" + " ".join(["long"] * 60) + "\n" + " ".join(["more"] * 50)
+
+
+@pytest.mark.parametrize("name", ["content has-sidebar", "with-sidebar", "no-comments", "social-policy", "banner-story", "page comments-open", "hasSidebar"])
+@pytest.mark.parametrize("tag", ["article", "div", "main"])
+def test_names_of_wrappers_drop_nothing(name, tag):
+    page = f"<body><nav>Home</nav><div class='{name}'><{tag}>{BODY}</{tag}></div><div class='sidebar'><p>Other</p></div></body>"
+    assert html_text.main_text(page) == BODY_TEXT
+    bare = page.replace("<h1>Title</h1>", "")  # most of the text, without a mark
+    assert html_text.main_text(bare) == BODY_TEXT.removeprefix("Title\n")
+
+
+def test_names_of_inline_elements_and_of_asides():
+    assert html_text.main_text("<p>It cost <span class='share-price'>5 euros</span> <a id=ad-1>then</a>.</p>") == "It cost 5 euros then."
+    replies = "<section class='comments'><article><p>" + "reply " * 200 + "</p></article></section>"
+    assert html_text.main_text(f"<article>{BODY}</article>{replies}") == BODY_TEXT
+    assert html_text.main_text(f"<div>{BODY}</div><div class='cookie-consent'><p>{'we use ' * 300}</p></div>") == BODY_TEXT
+
+
 def test_unmarked_page_by_its_line_blocks():
     lines = ["Home", "", "x" * 300, "short", "y" * 200, "", "Imprint"]
     assert html_text.main_span(html_text.np.array([len(x) for x in lines])) == (2, 5)

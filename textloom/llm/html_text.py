@@ -6,14 +6,16 @@ a window's sum rises over a threshold and dives where it falls to nothing; all l
 taken from the page itself, so a page with one short paragraph keeps it. Where a page marks its article (article, main), lines
 outside count as stripped.
 
-Defined cases: null or empty html, or a page without text, gives an empty text. A container that is never closed ends at the next block. Repeated rows
+Defined cases: null or empty html, or a page without text, gives an empty text. A container that is never closed ends at the next block. Names (class, id)
+of inline elements, and of elements that hold an article, main, h1 or most of the page's text, drop nothing; nor does what follows has, with or no in a name. Repeated rows
 are treated alike; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import partial
 from html import unescape
 
 import numpy as np
@@ -43,6 +45,10 @@ NAMES = (
 )
 #: Words beside "header" in a name that make it the head of the article, not of the page.
 ARTICLE_NAMES = frozenset("article content entry post story title".split())
+#: Words after which a name tells of something else on the page, or not there.
+MODIFIERS = frozenset("has have with without no not".split())
+#: Words of names whose elements hold replies, teasers or notices even where these are marked as articles or are long.
+ASIDE_NAMES = frozenset("comment comments consent cookie cookies disqus gdpr recommended related replies".split())
 _NAMED = frozenset(NAMES.split())
 _ROLES = frozenset("navigation banner contentinfo complementary search alert dialog form".split())
 
@@ -57,35 +63,70 @@ _HUMP = re.compile(r"([a-z])([A-Z])")
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 
 
-def _is_noise(name: str, rest: str, inside_article: bool) -> bool:
+def _name_words(value: str) -> set[str]:
+    """Words of a class or id; of each name only those before a modifier."""
+    found = set()
+    for name in value.strip("\"'").split():
+        for word in re.split(r"[^a-z]+", _HUMP.sub(r"\1 \2", name).lower()):
+            if word in MODIFIERS:
+                break
+            found.add(word)
+    return found
+
+
+def _is_noise(name: str, rest: str, inside_article: bool, holds_main: Callable[[bool], bool]) -> bool:
+    """Whether an element is dropped. Names count for block elements that do not hold the main part of the page, as ``holds_main`` tells."""
     if name in CONTAINERS or (name == "header" and not inside_article):
         return True
     if not rest or name in ("body", "html", "article", "main"):
         return False
+    named = set()
     for attribute, value in _ATTRIBUTE.findall(rest):
-        words = re.split(r"[^a-z]+", _HUMP.sub(r"\1 \2", value).lower())
         if attribute.lower() == "role":
-            if _ROLES.intersection(words):
+            if _ROLES.intersection(re.split(r"[^a-z]+", value.lower())):
                 return True
-        elif _NAMED.intersection(words):
-            return True
-        elif "header" in words and not inside_article and not ARTICLE_NAMES.intersection(words):
-            return True
-    return False
-
-
-def _unclosed(tokens: list[re.Match]) -> set[int]:
-    """Starts of the opening tags that no later closing tag matches."""
-    open_tags: dict[str, list[int]] = {}
-    for token in tokens:
-        name = token["name"]
-        if name is not None and not token["rest"].endswith("/"):
-            stack = open_tags.setdefault(name.lower(), [])
-            if not token["close"]:
-                stack.append(token.start())
-            elif stack:
-                stack.pop()
-    return {start for stack in open_tags.values() for start in stack}
+        else:
+            words = _name_words(value)
+            if _NAMED.intersection(words) or ("header" in words and not inside_article and not ARTICLE_NAMES.intersection(words)):
+                named |= words
+    return bool(named) and name in BLOCKS and not holds_main(bool(ASIDE_NAMES.intersection(named)))
+
+
+class _Elements:
+    """Where the elements of a page end, and what they hold."""
+
+    def __init__(self, tokens: list[re.Match]):
+        self.last: dict[int, int] = {}  # place of the closing tag by the place of the opening one
+        open_tags: dict[str, list[int]] = {}
+        for i, token in enumerate(tokens):
+            name = token["name"]
+            if name is not None and not token["rest"].endswith("/"):
+                stack = open_tags.setdefault(name.lower(), [])
+                if not token["close"]:
+                    stack.append(i)
+                elif stack:
+                    self.last[stack.pop()] = i
+        self.unclosed = {i for stack in open_tags.values() for i in stack}
+        # Running sums over the tokens outside containers: characters, and tags that open the main part.
+        chars, marks, until = [0], [0], -1
+        for i, token in enumerate(tokens):
+            name = (token["name"] or "").lower()
+            if name in CONTAINERS and not token["close"]:
+                until = max(until, self.last.get(i, -1))
+            counts = i > until
+            chars.append(chars[-1] + (len(token["text"].strip()) if counts and token["text"] else 0))
+            marks.append(marks[-1] + (counts and not token["close"] and name in ("article", "main", "h1")))
+        self.chars, self.marks = chars, marks
+
+    def holds_main(self, i: int, aside: bool) -> bool:
+        """An article, main or h1, or most of the text; of an element that is ``aside`` by its name only if none of them is elsewhere."""
+        if i not in self.last:
+            return False
+        end = self.last[i]
+        marks, chars = self.marks[end] - self.marks[i], self.chars[end] - self.chars[i]
+        if aside and self.marks[-1] > marks:
+            return False
+        return marks > 0 or 2 * chars > self.chars[-1]
 
 
 def text_lines(html: str) -> tuple[list[str], list[bool]]:
@@ -96,7 +137,7 @@ def text_lines(html: str) -> tuple[list[str], list[bool]]:
     parts: list[str] = []
     noise, depth, articles = "", 0, 0
     tokens = list(_TOKEN.finditer(html))
-    unclosed = _unclosed(tokens)
+    elements = _Elements(tokens)
     until_block = False  # the container at work is never closed
 
     def end_line(empty: bool = False) -> None:
@@ -109,7 +150,7 @@ def text_lines(html: str) -> tuple[list[str], list[bool]]:
             lines.append("")
             inside.append(False)
 
-    for token in tokens:
+    for i, token in enumerate(tokens):
         text = token["text"]
         if text is not None:
             if not noise:
@@ -136,10 +177,10 @@ def text_lines(html: str) -> tuple[list[str], list[bool]]:
         if name in ("article", "main"):
             end_line(True)
             articles = max(0, articles + (-1 if closing else 1))
-        if not closing and name not in VOID and _is_noise(name, token["rest"], articles > 0):
+        if not closing and name not in VOID and _is_noise(name, token["rest"], articles > 0, partial(elements.holds_main, i)):
             end_line(True)
             noise, depth = name, 0 if token["rest"].endswith("/") else 1
-            until_block = token.start() in unclosed
+            until_block = i in elements.unclosed
             if not depth:
                 noise = ""
         elif name in BLOCKS:
