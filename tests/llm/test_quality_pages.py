@@ -127,6 +127,14 @@ def test_names_of_inline_elements_and_of_asides():
     assert html_text.main_text(f"<div>{BODY}</div><div class='cookie-consent'><p>{'we use ' * 300}</p></div>") == BODY_TEXT
 
 
+def test_short_blocks_beside_dropped_containers():
+    long, other = "x" * 400, "y" * 300
+    share, advert = "<div class='share'>Share</div>", "<div class='ad'>Buy</div>"
+    page = f"<div>Home</div>{share}<h1>A title of some thirty letters</h1>{share}<p>{long}</p><p>{other}</p>{advert}<p>End.</p>{advert}<div>Imprint</div>"
+    assert html_text.main_text(page) == f"A title of some thirty letters\n{long}\n{other}\nEnd."
+    assert html_text.main_text(f"<h2>One</h2>{advert}<h3>Two</h3>{advert}<p>{long}</p>{advert}<p>Last<br>line</p>") == f"One\nTwo\n{long}\nLast line"
+
+
 def test_unmarked_page_by_its_line_blocks():
     lines = ["Home", "", "x" * 300, "short", "y" * 200, "", "Imprint"]
     assert html_text.main_span(html_text.np.array([len(x) for x in lines])) == (2, 5)

@@ -2,8 +2,8 @@
 
 Markup is stripped to lines, one per block element, where what stands in menus, headers, footers, sidebars, notices,
 adverts, forms, comments, scripts and styles leaves an empty line. Over the lines, text lengths are summed in sliding windows. The text surges where
-a window's sum rises over a threshold and dives where it falls to nothing; all lines between are kept, short ones too. The threshold is
-taken from the page itself, so a page with one short paragraph keeps it. Where a page marks its article (article, main), lines
+a window's sum rises over a threshold and dives where it falls to nothing; all lines between are kept, short ones too, and so are
+the headings and paragraphs next to them that a dropped container cuts off. The threshold is taken from the page itself, so a page with one short paragraph keeps it. Where a page marks its article (article, main), lines
 outside count as stripped.
 
 Defined cases: null or empty html, or a page without text, gives an empty text. A container that is never closed ends at the next block. Names (class, id)
@@ -37,6 +37,8 @@ CONTAINERS = frozenset(
     "nav footer aside form menu dialog head button select textarea iframe object svg canvas noscript template audio video map".split()
 )
 RAW = ("script", "style", "textarea", "title", "xmp", "noembed", "noframes")
+#: Elements whose short lines belong to the main text beside them.
+PROSE = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 NAMES = (
     "ad ads adbox adsbygoogle adslot adunit advert advertisement advertising adverts alert banner breadcrumb breadcrumbs comment comments consent "
@@ -129,11 +131,13 @@ class _Elements:
         return marks > 0 or 2 * chars > self.chars[-1]
 
 
-def text_lines(html: str) -> tuple[list[str], list[bool]]:
-    """The page's lines, one per block, and whether each stands in an article or main element; stretches of other matter
-    and the borders of such elements become empty lines."""
+def text_lines(html: str) -> tuple[list[str], list[bool], list[bool]]:
+    """The page's lines, one per block, whether each stands in an article or main element, and whether it is a heading or paragraph; stretches
+    of other matter and the borders of such elements become empty lines."""
     lines: list[str] = []
     inside: list[bool] = []
+    prose: list[bool] = []
+    block = ""  # the block element that opened last and is still open
     parts: list[str] = []
     noise, depth, articles = "", 0, 0
     tokens = list(_TOKEN.finditer(html))
@@ -146,9 +150,11 @@ def text_lines(html: str) -> tuple[list[str], list[bool]]:
         if line or empty:
             lines.append(line)
             inside.append(articles > 0)
+            prose.append(block in PROSE)
         if empty and line:
             lines.append("")
             inside.append(False)
+            prose.append(False)
 
     for i, token in enumerate(tokens):
         text = token["text"]
@@ -183,12 +189,15 @@ def text_lines(html: str) -> tuple[list[str], list[bool]]:
             until_block = i in elements.unclosed
             if not depth:
                 noise = ""
+            if name in BLOCKS:
+                block = ""
         elif name in BLOCKS:
             end_line()
+            block = "" if closing else name
         elif name == "br":
             parts.append(" ")
     end_line()
-    return lines, inside
+    return lines, inside, prose
 
 
 def window_sums(lengths: np.ndarray) -> np.ndarray:
@@ -214,14 +223,24 @@ def main_span(lengths: np.ndarray, threshold: float | None = None) -> tuple[int,
     return int(gaps[gaps < first][-1]) + 1, int(gaps[gaps > dive][0])
 
 
+def with_neighbours(lengths: np.ndarray, prose: list[bool], first: int, last: int) -> tuple[int, int]:
+    """The span and the headings and paragraphs before and after it, however short, up to the first other block: a dropped container may
+    have cut them off."""
+    while first > 0 and (prose[first - 1] or not lengths[first - 1]):
+        first -= 1
+    while last < len(lengths) and (prose[last] or not lengths[last]):
+        last += 1
+    return first, last
+
+
 def main_text(html: str | None) -> str:
-    lines, inside = text_lines(html or "")
+    lines, inside, prose = text_lines(html or "")
     lengths = np.array([len(line) for line in lines], np.int64)
     marked = lengths * np.array(inside, np.int64)
     if marked.any():  # the page says where its article is: other lines count as stripped, any text there is a surge
         first, last = main_span(marked, 0.0)
         return "\n".join(line for line, n in zip(lines[first:last], marked[first:last]) if n)
-    first, last = main_span(lengths)
+    first, last = with_neighbours(lengths, prose, *main_span(lengths))
     return "\n".join(line for line in lines[first:last] if line)
 
 
