@@ -124,6 +124,8 @@ def test_names_of_inline_elements_and_of_asides():
     assert html_text.main_text("<p>It cost <span class='share-price'>5 euros</span> <a id=ad-1>then</a>.</p>") == "It cost 5 euros then."
     replies = "<section class='comments'><article><p>" + "reply " * 200 + "</p></article></section>"
     assert html_text.main_text(f"<article>{BODY}</article>{replies}") == BODY_TEXT
+    short = "<article><h1>Title</h1><p>Short.</p></article>"
+    assert html_text.main_text(f"<div class='ad'>An advert longer than all of the article</div>{short}") == "Title\nShort."
     assert html_text.main_text(f"<div>{BODY}</div><div class='cookie-consent'><p>{'we use ' * 300}</p></div>") == BODY_TEXT
 
 
@@ -135,6 +137,17 @@ def test_short_blocks_beside_dropped_containers():
     assert html_text.main_text(f"<h2>One</h2>{advert}<h3>Two</h3>{advert}<p>{long}</p>{advert}<p>Last<br>line</p>") == f"One\nTwo\n{long}\nLast line"
 
 
+def test_articles_are_a_cue_and_windows_decide():
+    teasers = "".join(f"<article><h2>Other {i}</h2><p>Read on</p></article>" for i in range(3))
+    advert = "<div class='ad'>Buy</div>"
+    assert html_text.main_text(f"<div>{BODY}</div>{teasers}") == BODY_TEXT
+    reply = "<article><p>" + "reply " * 60 + "</p></article>"  # the longest paragraph, but not most of the text
+    assert html_text.main_text(f"<div>{BODY}</div>{reply}").startswith(BODY_TEXT)
+    # Within the article that holds the text all lines stay; a small one beside it does not surge.
+    page = f"<div>Menu here</div><article><div>By me</div>{advert}{BODY}{advert}<ul><li>Note</li></ul></article><article><p>Next</p></article>"
+    assert html_text.main_text(page) == f"By me\n{BODY_TEXT}\nNote"
+
+
 def test_unmarked_page_by_its_line_blocks():
     lines = ["Home", "", "x" * 300, "short", "y" * 200, "", "Imprint"]
     assert html_text.main_span(html_text.np.array([len(x) for x in lines])) == (2, 5)

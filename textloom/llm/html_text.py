@@ -3,8 +3,8 @@
 Markup is stripped to lines, one per block element, where what stands in menus, headers, footers, sidebars, notices,
 adverts, forms, comments, scripts and styles leaves an empty line. Over the lines, text lengths are summed in sliding windows. The text surges where
 a window's sum rises over a threshold and dives where it falls to nothing; all lines between are kept, short ones too, and so are
-the headings and paragraphs next to them that a dropped container cuts off. The threshold is taken from the page itself, so a page with one short paragraph keeps it. Where a page marks its article (article, main), lines
-outside count as stripped.
+the headings and paragraphs next to them that a dropped container cuts off. The threshold is taken from the page itself, so a page with one short paragraph keeps it. The windows decide on every page;
+article and main are a cue: only if they hold the strongest window and most of the text, lines outside count as stripped.
 
 Defined cases: null or empty html, or a page without text, gives an empty text. A container that is never closed ends at the next block. Names (class, id)
 of inline elements, and of elements that hold an article, main, h1 or most of the page's text, drop nothing; nor does what follows has, with or no in a name. Repeated rows
@@ -109,37 +109,41 @@ class _Elements:
                 elif stack:
                     self.last[stack.pop()] = i
         self.unclosed = {i for stack in open_tags.values() for i in stack}
-        # Running sums over the tokens outside containers: characters, and tags that open the main part.
-        chars, marks, until = [0], [0], -1
+        # Running sums over the tokens outside containers: characters, tags that open the main part, and h1 within article or main.
+        chars, marks, heads, until, article_until = [0], [0], [0], -1, -1
         for i, token in enumerate(tokens):
             name = (token["name"] or "").lower()
             if name in CONTAINERS and not token["close"]:
                 until = max(until, self.last.get(i, -1))
+            if name in ("article", "main") and not token["close"]:
+                article_until = max(article_until, self.last.get(i, len(tokens)))
             counts = i > until
             chars.append(chars[-1] + (len(token["text"].strip()) if counts and token["text"] else 0))
             marks.append(marks[-1] + (counts and not token["close"] and name in ("article", "main", "h1")))
-        self.chars, self.marks = chars, marks
+            heads.append(heads[-1] + (counts and not token["close"] and name == "h1" and i < article_until))
+        self.chars, self.marks, self.heads = chars, marks, heads
 
     def holds_main(self, i: int, aside: bool) -> bool:
-        """An article, main or h1, or most of the text; of an element that is ``aside`` by its name only if none of them is elsewhere."""
+        """An article, main or h1, or most of the text of a page that has no article with an h1; of an element that is ``aside`` by its
+        name only if none of them is elsewhere."""
         if i not in self.last:
             return False
         end = self.last[i]
         marks, chars = self.marks[end] - self.marks[i], self.chars[end] - self.chars[i]
         if aside and self.marks[-1] > marks:
             return False
-        return marks > 0 or 2 * chars > self.chars[-1]
+        return marks > 0 or (not self.heads[-1] and 2 * chars > self.chars[-1])
 
 
-def text_lines(html: str) -> tuple[list[str], list[bool], list[bool]]:
-    """The page's lines, one per block, whether each stands in an article or main element, and whether it is a heading or paragraph; stretches
-    of other matter and the borders of such elements become empty lines."""
+def text_lines(html: str) -> tuple[list[str], list[int], list[bool]]:
+    """The page's lines, one per block, the number of the article or main element that each stands in (0 outside; inner ones have the number of the
+    outer), and whether it is a heading or paragraph; stretches of other matter and the borders of such elements become empty lines."""
     lines: list[str] = []
-    inside: list[bool] = []
+    inside: list[int] = []
     prose: list[bool] = []
     block = ""  # the block element that opened last and is still open
     parts: list[str] = []
-    noise, depth, articles = "", 0, 0
+    noise, depth, articles, number = "", 0, 0, 0
     tokens = list(_TOKEN.finditer(html))
     elements = _Elements(tokens)
     until_block = False  # the container at work is never closed
@@ -149,11 +153,11 @@ def text_lines(html: str) -> tuple[list[str], list[bool], list[bool]]:
         parts.clear()
         if line or empty:
             lines.append(line)
-            inside.append(articles > 0)
+            inside.append(number if articles else 0)
             prose.append(block in PROSE)
         if empty and line:
             lines.append("")
-            inside.append(False)
+            inside.append(0)
             prose.append(False)
 
     for i, token in enumerate(tokens):
@@ -182,6 +186,7 @@ def text_lines(html: str) -> tuple[list[str], list[bool], list[bool]]:
                 continue
         if name in ("article", "main"):
             end_line(True)
+            number += not closing and not articles
             articles = max(0, articles + (-1 if closing else 1))
         if not closing and name not in VOID and _is_noise(name, token["rest"], articles > 0, partial(elements.holds_main, i)):
             end_line(True)
@@ -210,12 +215,11 @@ def window_sums(lengths: np.ndarray) -> np.ndarray:
     return total
 
 
-def main_span(lengths: np.ndarray, threshold: float | None = None) -> tuple[int, int]:
+def main_span(lengths: np.ndarray) -> tuple[int, int]:
     """First and last line, exclusive, of the main text: from the first surge to the last dive, where the text falls to nothing."""
     if not lengths.any():
         return 0, 0
-    if threshold is None:
-        threshold = min(SURGE_CHARS, SURGE_SHARE * window_sums(lengths).max())
+    threshold = min(SURGE_CHARS, SURGE_SHARE * window_sums(lengths).max())
     first = int(np.flatnonzero(window_sums(lengths) > threshold)[0])
     dive = len(lengths) - 1 - np.flatnonzero(window_sums(lengths[::-1]) > threshold)[0]
     # A surge and a dive reach as far as the lines go on without an empty one.
@@ -223,25 +227,34 @@ def main_span(lengths: np.ndarray, threshold: float | None = None) -> tuple[int,
     return int(gaps[gaps < first][-1]) + 1, int(gaps[gaps > dive][0])
 
 
-def with_neighbours(lengths: np.ndarray, prose: list[bool], first: int, last: int) -> tuple[int, int]:
-    """The span and the headings and paragraphs before and after it, however short, up to the first other block: a dropped container may
-    have cut them off."""
-    while first > 0 and (prose[first - 1] or not lengths[first - 1]):
-        first -= 1
-    while last < len(lengths) and (prose[last] or not lengths[last]):
-        last += 1
-    return first, last
+def marks_main(lengths: np.ndarray, inside: np.ndarray) -> bool:
+    """Whether the page's articles are its main part: the strongest window and most of the text stand in them."""
+    return bool(inside[window_sums(lengths).argmax()]) and 2 * lengths[inside > 0].sum() > lengths.sum()
+
+
+def with_neighbours(lengths: np.ndarray, inside: np.ndarray, prose: np.ndarray, first: int, last: int) -> tuple[int, int]:
+    """The span and the blocks before and after it that a dropped container may have cut off, however short: those of the article that the
+    span begins or ends in, and outside of articles headings and paragraphs, up to the first other block."""
+    def joins(line: int, edge: int) -> bool:
+        return not lengths[line] or inside[line] == inside[edge] and bool(inside[edge] or prose[line])
+
+    begin, end = first, last
+    while begin > 0 and joins(begin - 1, first):
+        begin -= 1
+    while end < len(lengths) and joins(end, last - 1):
+        end += 1
+    return begin, end
 
 
 def main_text(html: str | None) -> str:
-    lines, inside, prose = text_lines(html or "")
-    lengths = np.array([len(line) for line in lines], np.int64)
-    marked = lengths * np.array(inside, np.int64)
-    if marked.any():  # the page says where its article is: other lines count as stripped, any text there is a surge
-        first, last = main_span(marked, 0.0)
-        return "\n".join(line for line, n in zip(lines[first:last], marked[first:last]) if n)
-    first, last = with_neighbours(lengths, prose, *main_span(lengths))
-    return "\n".join(line for line in lines[first:last] if line)
+    lines, numbers, marked = text_lines(html or "")
+    lengths, inside, prose = np.array([len(line) for line in lines], np.int64), np.array(numbers, np.int64), np.array(marked, bool)
+    if not lengths.any():
+        return ""
+    if marks_main(lengths, inside):
+        lengths = np.where(inside > 0, lengths, 0)  # other lines count as stripped
+    first, last = with_neighbours(lengths, inside, prose, *main_span(lengths))
+    return "\n".join(line for line, n in zip(lines[first:last], lengths[first:last]) if n)
 
 
 def extract(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame:
