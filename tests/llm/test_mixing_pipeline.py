@@ -134,3 +134,11 @@ def test_pipeline_against_plain_stages(spark, sf):
 def test_pipeline_query_runs(spark, sf):
     assert QUERIES["pipeline"](spark, sf).filter("n_tokens > 0").count() > 100
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+@pytest.mark.parametrize("sizes, met", [([100, 101, 102, 103], False), ([100, 100, 100, 5000], True)])
+def test_mix_says_whether_its_target_is_met(spark, sizes, met):
+    rows = [(10 * s + d, "w " * (n // 5), str(s)) for s, n in enumerate(sizes) for d in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(docs, mixing.Target(entropy_share=0.95)).select("target_met", "exponent").distinct().collect()
+    assert [r.target_met for r in got] == [met] and (met or got[0].exponent == 1.0)

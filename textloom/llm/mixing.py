@@ -52,7 +52,8 @@ def source_totals(narrow: DataFrame) -> DataFrame:
 
 
 def solve_exponent(totals: DataFrame, target: Target) -> float:
-    """Exponent in [0, 1] by bisection; 1 keeps the sources' own shares."""
+    """Exponent in [0, 1] by bisection; 1 keeps the sources' own shares. These may be flatter than the target asks: an exponent above 1 would
+    repeat the largest sources for it, so 1 is returned, and ``plan`` says that the target is not met."""
     own = totals.filter("tokens > 0")
     corpus, sources, smallest, largest = own.agg(F.sum("tokens"), F.count(F.lit(1)), F.min("tokens"), F.max("tokens")).first()
     if not sources or sources == 1:
@@ -96,7 +97,7 @@ def solve_exponent(totals: DataFrame, target: Target) -> float:
 
 
 def plan(narrow: DataFrame, target: Target, seed: int) -> DataFrame:
-    """Per source: ``weight``, ``budget``, whole ``blocks`` and the ``cut`` of the block after them.
+    """Per source: ``weight``, ``budget``, whole ``blocks`` and the ``cut`` of the block after them; ``target_met`` is the same for all.
 
     ``narrow`` is a written table ``(source, tokens, id, digest)``, where id and digest name a document.
     """
@@ -112,6 +113,11 @@ def plan(narrow: DataFrame, target: Target, seed: int) -> DataFrame:
     weighted = powered.select(
         "source", "tokens", "documents", (F.col("power") / F.lit(mass)).alias("weight"), F.lit(float(exponent)).alias("exponent")
     ).withColumn("budget", F.floor(F.col("weight") * F.lit(float(budget)) + F.lit(1e-6)))
+    rate = F.col("budget") / F.nullif("tokens", F.lit(0))
+    flatness, sources, repeats = weighted.agg(-F.sum(F.col("weight") * F.log("weight")), F.count("weight"), F.max(rate)).first()
+    met = target.entropy_share is None or sources < 2 or flatness <= target.entropy_share * math.log(sources) + 1e-9
+    met = met and (target.repetition_limit is None or (repeats or 0.0) <= target.repetition_limit * (1 + 1e-9))
+    weighted = weighted.withColumn("target_met", F.lit(met))
     planned = weighted.withColumn(
         "blocks", F.when(F.col("tokens") > 0, F.floor(F.col("budget") / F.col("tokens"))).otherwise(1).cast("int")
     ).withColumn("left", F.when(F.col("tokens") > 0, F.col("budget") - F.col("blocks") * F.col("tokens")).otherwise(0))
@@ -155,7 +161,7 @@ def mix_rows(docs: DataFrame, target: Target, seed: int = 17, doc_id: str = "doc
         F.col(text).cast("string").alias("_text"),
     ).select("_row", "source", "id", token_count(body).alias("tokens"), F.xxhash64(body).alias("digest"))
     narrow = materialize(keyed.drop("_row"), "mixing-rows")
-    planned = materialize(plan(narrow, target, seed).select(F.col("source").alias("_s"), "blocks", "cut", "closed", "weight", "exponent"), "mixing-cuts")
+    planned = materialize(plan(narrow, target, seed).select(F.col("source").alias("_s"), "blocks", "cut", "closed", "weight", "exponent", "target_met"), "mixing-cuts")
     joined = checked_join(keyed, planned, F.col("source").eqNullSafe(F.col("_s")), "inner")
     next_place = place_of(seed, F.col("blocks"), F.col("id"), F.col("digest"))
     taken = (next_place < F.col("cut")) | (F.col("closed") & (next_place == F.col("cut")))
@@ -165,14 +171,14 @@ def mix_rows(docs: DataFrame, target: Target, seed: int = 17, doc_id: str = "doc
         "block", F.explode(F.sequence(F.lit(0), F.col("times") - 1))
     )
     return repeated.select(
-        "_row", "source", "block", place_of(seed, F.col("block"), F.col("id"), F.col("digest")).alias("place"), "tokens", "weight", "exponent"
+        "_row", "source", "block", place_of(seed, F.col("block"), F.col("id"), F.col("digest")).alias("place"), "tokens", "weight", "exponent", "target_met"
     )
 
 
 def mix(docs: DataFrame, target: Target, seed: int = 17) -> DataFrame:
     """``(doc_id, source, block, place, n_tokens, weight)``: a row each time a document is taken; (block, place) orders a source."""
     return mix_rows(docs.select("doc_id", "text", "source"), target, seed).select(
-        "_row.doc_id", "source", "block", "place", F.col("tokens").alias("n_tokens"), "weight", "exponent"
+        "_row.doc_id", "source", "block", "place", F.col("tokens").alias("n_tokens"), "weight", "exponent", "target_met"
     )
 
 
