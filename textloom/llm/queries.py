@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textloom.llm import bpe, exact_dedup, fertility, html_text, lang_id, mixing, near_dup, packing, toxicity, url_filter
+from textloom.llm import (
+    bpe, exact_dedup, fertility, filter_audit, html_text, lang_id, mixing, near_dup, packing, toxicity, url_filter, vector_dup, whitening,
+)
 from textloom.llm.sample import fold
 from textloom.llm.registry import QUERIES, SQL, query  # noqa: F401
 from textloom.sources.tables import load
@@ -145,3 +147,60 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = lang_id.train(documents, ~held_out)
     rows = documents.select("doc_id", held_out.alias("held_out"), "text")
     return lang_id.predict(rows, model, ["doc_id", "held_out"])
+
+
+@query("op11_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 16 whitened coordinates of every sound vector."""
+    white = whitening.whiten(load(spark, sf_dir, "embeddings"), components=16)
+    return white.withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
+@query("op12_vector_dup")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links at a cosine of 0.95, over all vectors whatever their label."""
+    return vector_dup.near_vectors(load(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
+OP13_SQL = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+f AS (
+  SELECT part,
+         CASE WHEN len(words) < 200 THEN 1 ELSE 0 END
+         + CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END
+         + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 4 ELSE 0 END
+         + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+         + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask,
+         coalesce(doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL), false) AS good,
+         coalesce(doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL), false) AS bad
+  FROM w),
+cells AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (bad) AS bad FROM f GROUP BY ALL),
+letter AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(name, bit)),
+ord AS (
+  SELECT a.name || b.name || c.name || d.name || e.name AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letter a, letter b, letter c, letter d, letter e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+    AND a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+place AS (
+  SELECT filter_order, s::INT AS step, bits[s] AS own, list_sum(bits[1:s])::BIGINT - bits[s] AS before
+  FROM ord, (SELECT unnest(range(1, 6)) AS s)),
+counted AS (
+  SELECT part, filter_order, step, own,
+         coalesce(sum(n) FILTER (mask & (before | own) = 0), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (mask & before = 0 AND mask & own > 0), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (mask & before > 0 AND mask & own > 0), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (mask = own), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (mask & before = 0 AND mask & own > 0), 0)::BIGINT AS good_lost,
+         coalesce(sum(bad) FILTER (mask & before = 0 AND mask & own > 0), 0)::BIGINT AS toxic_lost
+  FROM cells, place GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM counted
+"""
+
+
+@query("op13_filter_audit", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders of the five filters for every source."""
+    return filter_audit.audit(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
