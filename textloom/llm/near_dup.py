@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from textloom.llm.bpe import ragged
 from textloom.llm.components import components
 from textloom.llm.scan import Hashes, mix, row_blocks, text_bytes, text_column, windows, word_spans
-from textloom.llm.tables import BlockedFilter, build_filter, checked_join
+from textloom.llm.tables import BlockedFilter, build_filter, checked_join, written
 from textloom.sources.scratch import materialize
 
 REGISTERS = 128
@@ -376,8 +377,8 @@ def set_components(docs: DataFrame, width: int, similarity: float) -> tuple[Data
 
     # Full sets of the sets that share a bucket, taken from the text of one document of each.
     wanted = members.select("sid").distinct().join(classes.select("sid", "id", "d1", "d2"), "sid")
-    wanted = materialize(wanted.withColumn("key", F.xxhash64("id")), "wanted")
-    near = build_filter(wanted, "key", wanted.count())
+    wanted, seen = written(wanted.withColumn("key", F.xxhash64("id")), "wanted")
+    near = build_filter(wanted, "key", seen["rows"])
     keyed = docs.select(F.xxhash64("id").alias("key"), "text")
     full = keyed.mapInArrow(_set_batches(width, near), "d1 long, d2 long, shingles binary")
     sets = full.join(wanted.select("sid", "d1", "d2"), ["d1", "d2"]).groupBy("sid").agg(F.first("shingles").alias("shingles"))
@@ -385,9 +386,14 @@ def set_components(docs: DataFrame, width: int, similarity: float) -> tuple[Data
 
     likely = _likely(members.filter("sid <> first").select("sid", "first"), sketch_of, similarity)
     links = materialize(_confirm(likely, sets, similarity), "confirmed")
-    named = [F.col("node").alias("sid"), F.col("component").alias("comp")]
-    linked = materialize(components(links), "components").select(*named)
-    clusters = materialize(components(likely), "clusters").select(*named).withColumnRenamed("comp", "cluster")
+    # Components of the confirmed links and of all likely pairs, in one go: two graphs side by side.
+    beside = [F.col(c) * 2 + 1 for c in ("a", "b")]
+    both = links.select((F.col("a") * 2).alias("a"), (F.col("b") * 2).alias("b")).unionByName(likely.select(beside[0].alias("a"), beside[1].alias("b")))
+    both = materialize(components(both), "components").select(
+        F.shiftright("node", 1).alias("sid"), F.shiftright("component", 1).alias("comp"), F.col("node") % 2 == 1
+    ).toDF("sid", "comp", "likely")
+    linked = both.filter("NOT likely").drop("likely")
+    clusters = both.filter("likely").drop("likely").withColumnRenamed("comp", "cluster")
 
     # Within clusters of likely pairs: every set outside the cluster's largest component against all sets, exactly.
     inside = clusters.join(linked.hint("merge"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
@@ -397,46 +403,62 @@ def set_components(docs: DataFrame, width: int, similarity: float) -> tuple[Data
         F.max_by("comp", F.struct("c", "comp")).alias("main"), F.count(F.lit(1)).alias("comps"), F.sum("n").alias("n")
     ).filter("comps > 1")
     per_cluster = per_cluster.select("cluster", "main", F.ceil(F.col("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
-    rows = inside.drop("n").join(materialize(per_cluster, "open-clusters").hint("merge"), "cluster")
-    own_block = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
-    residents = rows.select("cluster", own_block.alias("block"), F.lit(False).alias("visitor"), "sid", "comp")
-    visitors = rows.filter("comp <> main").select(
-        "cluster", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("visitor"), "sid", "comp"
-    )
-    order = ["cluster", "block", "visitor"]
-    dealt = residents.unionByName(visitors).join(sets.hint("merge"), "sid").select(*order, "sid", "comp", "shingles")
-    dealt = dealt.repartition("cluster", "block").sortWithinPartitions(*order)
-    links = links.unionByName(materialize(dealt.mapInArrow(_exact_across(similarity), "a long, b long"), "confirmed"))
+    more = []
+    per_cluster, seen = written(per_cluster, "open-clusters")
+    if seen["rows"]:
+        rows = inside.drop("n").join(per_cluster.hint("merge"), "cluster")
+        own_block = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
+        residents = rows.select("cluster", own_block.alias("block"), F.lit(False).alias("visitor"), "sid", "comp")
+        visitors = rows.filter("comp <> main").select(
+            "cluster", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("visitor"), "sid", "comp"
+        )
+        order = ["cluster", "block", "visitor"]
+        dealt = residents.unionByName(visitors).join(sets.hint("merge"), "sid").select(*order, "sid", "comp", "shingles")
+        dealt = dealt.repartition("cluster", "block").sortWithinPartitions(*order)
+        found, seen = written(dealt.mapInArrow(_exact_across(similarity), "a long, b long"), "confirmed")
+        more += [found] * bool(seen["rows"])
 
     # Across clusters: what shares a bucket.
     placed = members.select("key", "sid").join(clusters.withColumnRenamed("cluster", "comp").hint("merge"), "sid", "left")
     placed = materialize(placed.withColumn("comp", F.coalesce("comp", "sid")), "placed")
     tallies = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
     per_key = tallies.groupBy("key").agg(
-        F.max_by("comp", F.struct("c", "comp")).alias("main"), F.count(F.lit(1)).alias("comps"), F.sum("c").alias("members")
+        F.max_by("comp", F.struct("c", "comp")).alias("main"), F.count(F.lit(1)).alias("comps"), F.sum("c").alias("members"),
+        (F.sum("c") - F.max("c")).alias("outside"),
     ).filter("comps > 1")
-    per_key = per_key.select("key", "main", F.ceil(F.col("members") / BLOCK_SETS).cast("int").alias("blocks"))
-    per_key = materialize(per_key, "open-buckets")
-    rows = placed.join(per_key.hint("merge"), "key")
-    own_block = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
-    residents = rows.select("key", "sid", "comp", F.lit(False).alias("visitor"), own_block.alias("block"))
-    visitors = rows.filter("comp <> main").select(
-        "key", "sid", "comp", F.lit(True).alias("visitor"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
-    )
-    # A bucket's key belongs to one size class; each row brings the registers of that class.
-    with_sketch = residents.unionByName(visitors).join(sketch_of.hint("merge"), "sid")
-    grouped = with_sketch.mapInArrow(
-        _class_registers(similarity), "key long, block int, sid long, comp long, n long, bits int, visitor boolean, registers binary"
-    )
-    grouped = grouped.repartition("key", "block").sortWithinPartitions("key", "block")
-    more = grouped.mapInArrow(_across(similarity), "a long, b long").distinct()
-    more = materialize(more, "pairs")
-    links = links.unionByName(materialize(_confirm(more, sets, similarity), "confirmed"))
-    reached = materialize(components(links), "components")
-    comp = classes.select("sid", "id", "k", "d1", "d2").join(
-        reached.select(F.col("node").alias("sid"), F.col("component").alias("comp")).hint("merge"), "sid", "left"
-    )
-    return sketched.select("id", "k", "n", "d1", "d2"), comp.withColumn("comp", F.coalesce("comp", "sid"))
+    # Residents and visitors are both cut into blocks, so a task holds one block of each.
+    blocks_of = [F.greatest(F.ceil(n / BLOCK_SETS), F.lit(1)).cast("int").alias(c) for c, n in (("blocks", F.col("members")), ("turns", F.col("outside")))]
+    per_key, seen = written(per_key.select("key", "main", *blocks_of), "open-buckets")
+    if seen["rows"]:
+        rows = placed.join(per_key.hint("merge"), "key")
+        own_block = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int").alias("block")
+        own_turn = F.pmod(F.xxhash64("sid", F.lit(1)), F.col("turns")).cast("int").alias("turn")
+        residents = rows.select("key", "sid", "comp", F.lit(False).alias("visitor"), own_block, F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"))
+        visitors = rows.filter("comp <> main").select(
+            "key", "sid", "comp", F.lit(True).alias("visitor"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), own_turn
+        )
+        # A tile is one block against one turn of visitors, numbered together.
+        tile = (F.col("turn").cast("long") * F.lit(1 << 31) + F.col("block")).alias("block")
+        dealt = residents.unionByName(visitors).select("key", "sid", "comp", "visitor", tile)
+        # A bucket's key belongs to one size class; each row brings the registers of that class.
+        with_sketch = dealt.join(sketch_of.hint("merge"), "sid")
+        grouped = with_sketch.mapInArrow(
+            _class_registers(similarity), "key long, block long, sid long, comp long, n long, bits int, visitor boolean, registers binary"
+        )
+        grouped = grouped.repartition("key", "block").sortWithinPartitions("key", "block")
+        pairs, seen = written(grouped.mapInArrow(_across(similarity), "a long, b long").distinct(), "pairs")
+        if seen["rows"]:
+            found, seen = written(_confirm(pairs, sets, similarity), "confirmed")
+            more += [found] * bool(seen["rows"])
+
+    comp = classes.select("sid", "id", "k", "d1", "d2").join(linked.hint("merge"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
+    if more:  # links between components: their own components, over what is one already
+        named = materialize(comp.select("sid", "comp"), "components")
+        between = reduce(DataFrame.unionByName, more).join(named.select(F.col("sid").alias("a"), F.col("comp").alias("x")).hint("merge"), "a")
+        between = between.join(named.select(F.col("sid").alias("b"), F.col("comp").alias("y")).hint("merge"), "b").select("x", "y")
+        reached = materialize(components(between, "x", "y"), "components").select(F.col("node").alias("comp"), F.col("component").alias("_lowest"))
+        comp = comp.join(reached.hint("merge"), "comp", "left").withColumn("comp", F.coalesce("_lowest", "comp")).drop("_lowest")
+    return sketched.select("id", "k", "n", "d1", "d2"), comp
 
 
 def _exact_across(similarity: float):

@@ -9,10 +9,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from textloom.llm.scan import mix
 from textloom.operators.lookup import fits_broadcast
+from textloom.sources.scratch import new_path
 
 #: A key is hot if it owns at least this share of the rows; so at most 1 / HOT_SHARE keys are.
 HOT_SHARE = 0.001
@@ -23,6 +24,13 @@ BLOCK_WORDS = 8
 PROBES = 6
 
 
+def written(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``df``, written once and read back, and what was measured of it on the way: its number of ``rows``, and the given aggregates."""
+    path, seen = new_path(df.sparkSession, name), Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *[m.alias(k) for k, m in metrics.items()]).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get
+
+
 def checked_join(rows: DataFrame, table: DataFrame, on: list[str] | Column, how: str) -> DataFrame:
     """Join to a written table: broadcast after its size has been measured, else by shuffle."""
     side = F.broadcast(table) if fits_broadcast(table) else table.hint("merge")
