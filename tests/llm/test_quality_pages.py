@@ -1,9 +1,13 @@
 from __future__ import annotations
 
+import base64
+import math
 from collections import Counter
 
 import public_tokenizers
 import pytest
+import sentencepiece
+import tiktoken
 from pyspark.sql import functions as F
 
 from tests.llm.cases import ODD_ROWS, WORD, documents, prose
@@ -48,24 +52,52 @@ def test_base_counts_of_the_query(spark, sf):
     assert got == {r.doc_id: base(r.text) for r in load(spark, sf, "documents").select("doc_id", "text").collect()}
 
 
-def test_measures_match_the_libraries(spark, vocabularies):
-    import math
+def measured(text, pieces, byte_level):
+    """The four measures of a text with a word, word by word."""
+    words = WORD.findall(text)
+    ids = [t for w in words for t in pieces.encode(w)]
+    chars, shares = sum(map(len, words)), [n / len(ids) for n in Counter(ids).values()]
+    return {
+        "chars_per_piece": chars / len(ids), "chars_per_byte_token": chars / sum(len(byte_level.encode_ordinary(" " + w)) for w in words),
+        "fallback_share": sum(pieces.is_byte(t) for t in ids) / len(ids), "token_entropy": -sum(p * math.log2(p) for p in shares),
+    }
+
+
+@pytest.fixture(scope="module")
+def libraries(vocabularies):
+    table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in vocabularies[1].value.splitlines() if line.strip())}
+    encoding = tiktoken.Encoding("test", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
+    return sentencepiece.SentencePieceProcessor(model_proto=vocabularies[0].value), encoding
 
-    import sentencepiece
 
-    model = sentencepiece.SentencePieceProcessor(model_proto=vocabularies[0].value)
-    texts = {1: "the cat 漢字 sat", 2: "𐍈𐍈 the the", 3: "Привет мир"}
+def test_measures_match_the_libraries(spark, vocabularies, libraries):
+    texts = {1: "the cat 漢字 sat", 2: "𐍈𐍈 the the", 3: "Привет мир", 4: "don't abc123!? x"}
     got = {r.doc_id: r for r in fertility.measures(documents(spark, list(texts.items())), *vocabularies).collect()}
     for i, text in texts.items():
-        ids = [t for w in WORD.findall(text) for t in model.encode(w)]
-        chars = sum(map(len, WORD.findall(text)))
-        assert got[i].chars_per_piece == pytest.approx(chars / len(ids))
-        assert got[i].fallback_share == pytest.approx(sum(model.is_byte(t) for t in ids) / len(ids))
-        shares = [n / len(ids) for n in Counter(ids).values()]
-        assert got[i].token_entropy == pytest.approx(-sum(p * math.log2(p) for p in shares))
+        for name, value in measured(text, *libraries).items():
+            assert got[i][name] == pytest.approx(value)
     assert got[2].fallback_share > 0 and got[3].script == "cyrillic" and got[1].script == "latin"
 
 
+def test_verdicts_of_the_query_against_brute_force(spark, sf, libraries):
+    """Bands over all texts of a script that pass the base rules, and every verdict."""
+    texts = {r.doc_id: r.text for r in load(spark, sf, "documents").select("doc_id", "text").collect()}
+    got = {r.doc_id: r for r in QUERIES["op3_fertility"](spark, sf).collect()}
+    known = {i: measured(t, *libraries) for i, t in texts.items() if t and WORD.findall(t)}
+    passing = {i for i in texts if not base(texts[i])[-1]}
+    ends = {}
+    for script in {got[i].script for i in passing}:
+        mine = [known[i] for i in passing if got[i].script == script]
+        for name, least in fertility.LEAST_RANGE.items():
+            values = sorted(m[name] for m in mine)
+            low, high = (values[math.ceil(q * len(values)) - 1] for q in (0.25, 0.75))
+            reach = fertility.FENCE * max(high - low, least)
+            ends[script, name] = low - reach, high + reach
+    for i in texts:
+        inside = all(ends[got[i].script, m][0] - 1e-9 <= known[i][m] <= ends[got[i].script, m][1] + 1e-9 for m in fertility.MEASURES) if i in passing else False
+        assert got[i].kept == inside, i
+
+
 def test_strays_of_a_script_are_rejected(spark, vocabularies):
     rows = [(i, prose(i, 80)) for i in range(40)] + [(99, " ".join(f"{'ab'[i % 2]}{i}#%$&*#%$&*" for i in range(80)))]
     got = {r.doc_id: r.kept for r in fertility.quality(documents(spark, rows), *vocabularies).collect()}
@@ -148,6 +180,29 @@ def test_articles_are_a_cue_and_windows_decide():
     assert html_text.main_text(page) == f"By me\n{BODY_TEXT}\nNote"
 
 
+@pytest.mark.parametrize("wrapper", ["form id='aspnetForm'", "dialog open", "div role='search form'", "form", "div role='dialog'"])
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_wrappers_that_hold_the_page_drop_nothing(wrapper, tag):
+    page = f"<body><nav>Home</nav><{wrapper}><{tag}>{BODY}</{tag}></{wrapper.split()[0]}><footer>Imprint</footer></body>"
+    assert html_text.main_text(page) == BODY_TEXT
+    assert html_text.main_text(page.replace("<h1>Title</h1>", "")) == BODY_TEXT.removeprefix("Title\n")
+    assert html_text.main_text(f"<div>{BODY}</div><form><p>Sign up</p></form>") == BODY_TEXT
+
+
+def test_what_follows_an_advert_in_the_same_wrapper_stays():
+    long, advert = "x" * 400, "<div class='ad'>Buy</div>"
+    steps = "<ul><li>Step one</li><li>Step two</li></ul><table><tr><td>a</td><td>b</td></tr></table>"
+    wanted = f"{long}\nStep one\nStep two\na\nb"
+    assert html_text.main_text(f"<p>{long}</p>{advert}{steps}") == wanted
+    page = f"<div><div><p>{long}</p>{advert}{steps}{advert}<div>Closing words</div></div><div>Imprint</div></div>"
+    assert html_text.main_text(page) == f"{wanted}\nClosing words"
+
+
+def test_a_slash_closes_no_block():
+    assert html_text.main_text("<p>one</p><div class=ad/>Buy</div><p>two</p>") == "one\ntwo"
+    assert html_text.main_text("<p>one<br/>more</p><div class='ad' />Buy</div><p>two</p>") == "one more\ntwo"
+
+
 def test_unmarked_page_by_its_line_blocks():
     lines = ["Home", "", "x" * 300, "short", "y" * 200, "", "Imprint"]
     assert html_text.main_span(html_text.np.array([len(x) for x in lines])) == (2, 5)

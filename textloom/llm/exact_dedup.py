@@ -11,7 +11,7 @@ history's group and non-members are groups of their own. The winner of a group i
 the smallest id.
 
 Defined cases: null text counts as empty; empty texts are equal to each other. A null id sorts after all others. Of rows that are equal in
-text and id exactly one is kept. Extra columns are ignored by ``dedup`` and handed through by ``keep_winners``.
+text and id exactly one is kept. Texts of any length are hashed whole. An empty table, or half of one, gives no groups. Extra columns are ignored by ``dedup`` and handed through by ``keep_winners``.
 """
 
 from __future__ import annotations
@@ -182,9 +182,10 @@ def all_groups(rows: DataFrame, instalment: Column) -> DataFrame:
     """Groups of written ``rows``, taken in as a history and a later instalment that is looked up in it."""
     sized = rows.withColumn("size", F.lit(1).cast("long"))
     history = materialize(groups_of(sized.filter(~instalment)), "history-groups")
-    shards = max(1, -(-history.count() // SHARD_DIGESTS))
+    later = materialize(groups_of(sized.filter(instalment)), "later-groups")
+    # Enough shards for the larger side, so that a large instalment is not looked up in few tasks.
+    shards = max(1, -(-max(history.count(), later.count()) // SHARD_DIGESTS))
     index = build_history(history, shards)
-    later = groups_of(sized.filter(instalment))
     looked = materialize(look_up(index, later, shards), "looked-up")
     members, others = looked.filter("found"), looked.filter("NOT found")
     locator = ["digest", "chars", "doc_id", "uid", "size"]

@@ -1,14 +1,17 @@
 """Quality rules on how tokenizers take a text: characters per token, byte-fallback share and token entropy.
 
 Words of a block are counted once each and taken through the public vocabularies once each; texts add up what their words give.
-A piece vocabulary (with byte fallback) gives all three measures, a byte-level one a second rate of characters per token.
+A piece vocabulary (with byte fallback) gives all three measures, a byte-level one, by the pattern that belongs to it, a second rate of characters
+per token. A word is taken as it stands after a space.
 Texts of a script that stray from the others' values are rejected: per script, a measure's band reaches ``FENCE``
-quartile ranges beyond its quartiles, taken over all texts that pass the base rules. Bands may also be stated.
+quartile ranges beyond its quartiles, taken over all texts that pass the base rules; a range counts as ``LEAST_RANGE`` at least, so that a measure that
+nearly all texts share does not reject by a hair. Bands may also be stated.
 
 Base rules: under 50 words, or over half of the words within three-word runs that occur twice or more.
 
 Defined cases: null, empty or white text: no words, fails the base rules. A text of words without any token cannot occur. A script without
-texts that pass the base rules has no band and rejects nothing. Repeated rows are judged alike; extra columns are ignored.
+texts that pass the base rules has no band and rejects nothing. Texts of any length are measured whole. Rows of one id, repeated rows and
+texts with equal measures are judged alike; a value on the edge of a band is kept. An empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ import functools
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import sentencepiece
 import tiktoken
@@ -33,6 +37,8 @@ MAX_REPEAT_PERCENT = 50
 REPEAT_WINDOW = 3
 SYMBOLS = b"#*$%&|<>"
 FENCE = 3.0
+#: Least quartile range of each measure.
+LEAST_RANGE = {"chars_per_piece": 0.1, "chars_per_byte_token": 0.1, "fallback_share": 0.02, "token_entropy": 0.25}
 #: Accuracy of the quartiles: ranks are right within 1 / ACCURACY.
 ACCURACY = 10_000
 #: Words whose tokens a task keeps between blocks; beyond it the store starts anew.
@@ -64,7 +70,7 @@ class Tokens:
         self.n_pieces = self.pieces.get_piece_size()
         self.is_byte = np.array([self.pieces.is_byte(i) for i in range(self.n_pieces)])
         table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines() if line.strip())}
-        self.bytes = tiktoken.Encoding("own", pat_str=r"\S+", mergeable_ranks=table, special_tokens={})
+        self.bytes = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
         self.forget()
 
     def forget(self) -> None:
@@ -92,7 +98,7 @@ class Tokens:
                 self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
             self.ids[used : used + counts.sum()] = np.concatenate([np.array(x, np.uint16) for x in ids])
             self.ends[n + 1 : n + 1 + len(new)] = used + np.cumsum(counts)
-            self.byte_counts[n : n + len(new)] = [len(self.bytes.encode_ordinary(w)) for w in words]
+            self.byte_counts[n : n + len(new)] = [len(self.bytes.encode_ordinary(" " + w)) for w in words]
             for k, i in enumerate(new):
                 self.slots[known[i]] = n + k
         return np.array([self.slots[h] for h in known], np.int64)[place]
@@ -203,7 +209,8 @@ def bands(measured: DataFrame, fence: float = FENCE) -> DataFrame:
     ends = []
     for m in MEASURES:
         low, high = F.col(m)[0], F.col(m)[1]
-        ends += [(low - fence * (high - low)).alias(f"low_{m}"), (high + fence * (high - low)).alias(f"high_{m}")]
+        reach = fence * F.greatest(high - low, F.lit(LEAST_RANGE[m]))
+        ends += [(low - reach).alias(f"low_{m}"), (high + reach).alias(f"high_{m}")]
     return quartiles.select("script", *ends)
 
 

@@ -3,12 +3,13 @@
 Markup is stripped to lines, one per block element, where what stands in menus, headers, footers, sidebars, notices,
 adverts, forms, comments, scripts and styles leaves an empty line. Over the lines, text lengths are summed in sliding windows. The text surges where
 a window's sum rises over a threshold and dives where it falls to nothing; all lines between are kept, short ones too, and so are
-the headings and paragraphs next to them that a dropped container cuts off. The threshold is taken from the page itself, so a page with one short paragraph keeps it. The windows decide on every page;
+the headings and paragraphs next to them that a dropped container cuts off, and what follows it in the same wrapper. The threshold is taken from the page itself, so a page with one short paragraph keeps it. The windows decide on every page;
 article and main are a cue: only if they hold the strongest window and most of the text, lines outside count as stripped.
 
-Defined cases: null or empty html, or a page without text, gives an empty text. A container that is never closed ends at the next block. Names (class, id)
-of inline elements, and of elements that hold an article, main, h1 or most of the page's text, drop nothing; nor does what follows has, with or no in a name. Repeated rows
-are treated alike; extra columns are ignored.
+Defined cases: null or empty html, or a page without text, gives an empty text. A container that is never closed ends at the next block. Names (class, id, role)
+of inline elements, and of elements that hold an article, main, h1 or most of the page's text, drop nothing; nor does what follows has, with or no in a name, nor a
+form or dialog around such a part. A slash at the end of a block's tag says nothing, as in HTML. Pages of any length are read whole. Of windows of equal
+text the first counts. Repeated rows are treated alike; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,9 +37,17 @@ BLOCKS = frozenset(
 CONTAINERS = frozenset(
     "nav footer aside form menu dialog head button select textarea iframe object svg canvas noscript template audio video map".split()
 )
+#: Containers that may as well be wrapped around a whole page.
+WRAPPING = frozenset("form dialog".split())
+#: Characters of a form without article, main or h1 from which on it may be the page.
+WRAPPED_CHARS = 140
+#: Wrappers around a line that are told apart; what is nested deeper counts as one.
+MAX_DEPTH = 64
 RAW = ("script", "style", "textarea", "title", "xmp", "noembed", "noframes")
 #: Elements whose short lines belong to the main text beside them.
 PROSE = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre".split())
+LISTED = frozenset("li dt dd td th caption option".split())
+WRAPPERS = frozenset("article body center dd details dialog div fieldset form main section td".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 NAMES = (
     "ad ads adbox adsbygoogle adslot adunit advert advertisement advertising adverts alert banner breadcrumb breadcrumbs comment comments consent "
@@ -76,8 +85,10 @@ def _name_words(value: str) -> set[str]:
     return found
 
 
-def _is_noise(name: str, rest: str, inside_article: bool, holds_main: Callable[[bool], bool]) -> bool:
+def _is_noise(name: str, rest: str, inside_article: bool, holds_main: Callable[..., bool]) -> bool:
     """Whether an element is dropped. Names count for block elements that do not hold the main part of the page, as ``holds_main`` tells."""
+    if name in WRAPPING:
+        return not holds_main(False, WRAPPED_CHARS)
     if name in CONTAINERS or (name == "header" and not inside_article):
         return True
     if not rest or name in ("body", "html", "article", "main"):
@@ -85,7 +96,7 @@ def _is_noise(name: str, rest: str, inside_article: bool, holds_main: Callable[[
     named = set()
     for attribute, value in _ATTRIBUTE.findall(rest):
         if attribute.lower() == "role":
-            if _ROLES.intersection(re.split(r"[^a-z]+", value.lower())):
+            if _ROLES.intersection(re.split(r"[^a-z]+", value.lower())) and not (name in BLOCKS and holds_main(False)):
                 return True
         else:
             words = _name_words(value)
@@ -94,6 +105,11 @@ def _is_noise(name: str, rest: str, inside_article: bool, holds_main: Callable[[
     return bool(named) and name in BLOCKS and not holds_main(bool(ASIDE_NAMES.intersection(named)))
 
 
+def _closes_itself(token: re.Match) -> bool:
+    """A slash before the end of a tag closes it only where HTML has no element of that name."""
+    return token["rest"].endswith("/") and token["name"].lower() not in BLOCKS | CONTAINERS
+
+
 class _Elements:
     """Where the elements of a page end, and what they hold."""
 
@@ -102,7 +118,7 @@ class _Elements:
         open_tags: dict[str, list[int]] = {}
         for i, token in enumerate(tokens):
             name = token["name"]
-            if name is not None and not token["rest"].endswith("/"):
+            if name is not None and not _closes_itself(token):
                 stack = open_tags.setdefault(name.lower(), [])
                 if not token["close"]:
                     stack.append(i)
@@ -113,7 +129,7 @@ class _Elements:
         chars, marks, heads, until, article_until = [0], [0], [0], -1, -1
         for i, token in enumerate(tokens):
             name = (token["name"] or "").lower()
-            if name in CONTAINERS and not token["close"]:
+            if name in CONTAINERS - WRAPPING and not token["close"]:
                 until = max(until, self.last.get(i, -1))
             if name in ("article", "main") and not token["close"]:
                 article_until = max(article_until, self.last.get(i, len(tokens)))
@@ -123,24 +139,28 @@ class _Elements:
             heads.append(heads[-1] + (counts and not token["close"] and name == "h1" and i < article_until))
         self.chars, self.marks, self.heads = chars, marks, heads
 
-    def holds_main(self, i: int, aside: bool) -> bool:
-        """An article, main or h1, or most of the text of a page that has no article with an h1; of an element that is ``aside`` by its
-        name only if none of them is elsewhere."""
+    def holds_main(self, i: int, aside: bool, least: int = 0) -> bool:
+        """An article, main or h1, or most of the text of a page that has no article with an h1, of ``least`` characters or more; of an element
+        that is ``aside`` by its name only if none of them is elsewhere."""
         if i not in self.last:
             return False
         end = self.last[i]
         marks, chars = self.marks[end] - self.marks[i], self.chars[end] - self.chars[i]
         if aside and self.marks[-1] > marks:
             return False
-        return marks > 0 or (not self.heads[-1] and 2 * chars > self.chars[-1])
+        return marks > 0 or (not self.heads[-1] and chars >= least and 2 * chars > self.chars[-1])
 
 
-def text_lines(html: str) -> tuple[list[str], list[int], list[bool]]:
+def text_lines(html: str) -> tuple[list[str], list[int], list[bool], list[tuple[int, ...]], list[bool]]:
     """The page's lines, one per block, the number of the article or main element that each stands in (0 outside; inner ones have the number of the
-    outer), and whether it is a heading or paragraph; stretches of other matter and the borders of such elements become empty lines."""
+    outer), whether it is a heading or paragraph, the wrappers around it from the outermost on, and whether it is of a list or table;
+    stretches of other matter and the borders of such elements become empty lines."""
     lines: list[str] = []
     inside: list[int] = []
     prose: list[bool] = []
+    wrapped: list[tuple[int, ...]] = []
+    listed: list[bool] = []
+    around: list[tuple[str, int]] = []  # open wrappers
     block = ""  # the block element that opened last and is still open
     parts: list[str] = []
     noise, depth, articles, number = "", 0, 0, 0
@@ -155,10 +175,26 @@ def text_lines(html: str) -> tuple[list[str], list[int], list[bool]]:
             lines.append(line)
             inside.append(number if articles else 0)
             prose.append(block in PROSE)
+            wrapped.append(tuple(n for _, n in around))
+            listed.append(block in LISTED)
         if empty and line:
             lines.append("")
             inside.append(0)
             prose.append(False)
+            wrapped.append(())
+            listed.append(False)
+
+    deeper = 0  # wrappers that are open beyond the number looked at
+
+    def wrap(name: str, closing: bool, place: int) -> None:
+        nonlocal deeper
+        if deeper or not closing and len(around) == MAX_DEPTH:
+            deeper += -1 if closing else 1
+        elif not closing:
+            around.append((name, place))
+        elif any(name == n for n, _ in around):
+            while around.pop()[0] != name:
+                pass
 
     for i, token in enumerate(tokens):
         text = token["text"]
@@ -174,7 +210,7 @@ def text_lines(html: str) -> tuple[list[str], list[int], list[bool]]:
         name, closing = name.lower(), bool(token["close"])
         if noise:
             if name == noise and not (until_block and not closing):
-                depth += -1 if closing else 0 if token["rest"].endswith("/") else 1
+                depth += -1 if closing else 0 if _closes_itself(token) else 1
             elif until_block and name in BLOCKS:
                 depth = 0
             elif name == "body" and noise == "head":
@@ -190,7 +226,7 @@ def text_lines(html: str) -> tuple[list[str], list[int], list[bool]]:
             articles = max(0, articles + (-1 if closing else 1))
         if not closing and name not in VOID and _is_noise(name, token["rest"], articles > 0, partial(elements.holds_main, i)):
             end_line(True)
-            noise, depth = name, 0 if token["rest"].endswith("/") else 1
+            noise, depth = name, 0 if _closes_itself(token) else 1
             until_block = i in elements.unclosed
             if not depth:
                 noise = ""
@@ -199,10 +235,12 @@ def text_lines(html: str) -> tuple[list[str], list[int], list[bool]]:
         elif name in BLOCKS:
             end_line()
             block = "" if closing else name
+            if name in WRAPPERS:
+                wrap(name, closing, i)
         elif name == "br":
             parts.append(" ")
     end_line()
-    return lines, inside, prose
+    return lines, inside, prose, wrapped, listed
 
 
 def window_sums(lengths: np.ndarray) -> np.ndarray:
@@ -232,28 +270,42 @@ def marks_main(lengths: np.ndarray, inside: np.ndarray) -> bool:
     return bool(inside[window_sums(lengths).argmax()]) and 2 * lengths[inside > 0].sum() > lengths.sum()
 
 
-def with_neighbours(lengths: np.ndarray, inside: np.ndarray, prose: np.ndarray, first: int, last: int) -> tuple[int, int]:
+def _common(chains: list[tuple[int, ...]]) -> tuple[int, ...]:
+    """The wrappers that all lines stand in."""
+    low, high = min(chains), max(chains)
+    return next((low[:k] for k, (a, b) in enumerate(zip(low, high)) if a != b), low[: len(high)])
+
+
+def with_neighbours(
+    lengths: np.ndarray, inside: np.ndarray, prose: np.ndarray, first: int, last: int, wrapped: list[tuple[int, ...]], listed: list[bool]
+) -> tuple[int, int]:
     """The span and the blocks before and after it that a dropped container may have cut off, however short: those of the article that the
-    span begins or ends in, and outside of articles headings and paragraphs, up to the first other block."""
+    span begins or ends in, and outside of articles headings and paragraphs, up to the first other block. What follows the span in its own wrapper
+    stays, lists and tables also where no wrapper is around the span."""
+    own = _common([wrapped[line] for line in range(first, last) if lengths[line]])
+
     def joins(line: int, edge: int) -> bool:
         return not lengths[line] or inside[line] == inside[edge] and bool(inside[edge] or prose[line])
 
+    def follows(line: int) -> bool:
+        return inside[line] == inside[last - 1] and (wrapped[line][: len(own)] == own if own else listed[line])
+
     begin, end = first, last
     while begin > 0 and joins(begin - 1, first):
         begin -= 1
-    while end < len(lengths) and joins(end, last - 1):
+    while end < len(lengths) and (joins(end, last - 1) or follows(end)):
         end += 1
     return begin, end
 
 
 def main_text(html: str | None) -> str:
-    lines, numbers, marked = text_lines(html or "")
+    lines, numbers, marked, wrapped, listed = text_lines(html or "")
     lengths, inside, prose = np.array([len(line) for line in lines], np.int64), np.array(numbers, np.int64), np.array(marked, bool)
     if not lengths.any():
         return ""
     if marks_main(lengths, inside):
         lengths = np.where(inside > 0, lengths, 0)  # other lines count as stripped
-    first, last = with_neighbours(lengths, inside, prose, *main_span(lengths))
+    first, last = with_neighbours(lengths, inside, prose, *main_span(lengths), wrapped, listed)
     return "\n".join(line for line, n in zip(lines[first:last], lengths[first:last]) if n)
 
 

@@ -8,7 +8,8 @@ probabilities, and the least probability from which predictions are right often
 As the layers are linear, scoring adds one small row per subword (the vector already multiplied by the linear layer).
 
 Defined cases: null text, or one without a letter: ``und``, score 0, rejected. Null languages are not learnt from. Without any row to learn
-from, every text is ``und``. Repeated rows are predicted alike; extra columns are ignored.
+from, every text is ``und``. Texts of any length are read whole. Of equally likely languages the first by name is predicted. Repeated rows are predicted
+alike; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -6,7 +6,8 @@ log loss of document labels, on a bounded sample of labelled rows. A beginning i
 inflected forms of an insult count together. The fitted model then scores every sentence, which locates the offending ones.
 
 Defined cases: null or empty text has no sentence and scores 0. Rows with the same id are scored alike; labels of an id that
-are null are ignored. Extra columns are ignored, or handed through by ``clean``. A table without labelled rows, or with one
+are null are ignored; of several labels of one id any may be learnt from. Texts of any length are scored whole; a score of exactly one half counts as toxic. Empty
+tables give no rows. Extra columns are ignored, or handed through by ``clean``. A table without labelled rows, or with one
 class only, gives a model that scores by its bias.
 """
 
@@ -100,33 +101,41 @@ def document_scores(logits: np.ndarray, row: np.ndarray, n_rows: int) -> np.ndar
     return -np.expm1(-np.bincount(row, _softplus(logits), n_rows))
 
 
-def fit(texts: pa.Array, labels: np.ndarray, seed: int = 7) -> Model:
-    column = text_column(texts)
-    features, word_sentence, sentence_row = [], [], []
-    n_sentences = 0
-    documents, clean = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)  # that have each feature
+def _blocks(column: pa.Array) -> Iterator[tuple[int, Sentences, np.ndarray]]:
+    """First row, sentences and number of words of each, of every block of texts."""
     for start, stop in row_blocks(column):
         data, rows = text_bytes(column.slice(start, stop - start))
         found = sentences(data, rows)
-        n = len(found.first_word)
-        counts = np.diff(np.concatenate((found.first_word, [len(found.features)])))
+        yield start, found, np.diff(np.concatenate((found.first_word, [len(found.features)])))
+
+
+def fit(texts: pa.Array, labels: np.ndarray, seed: int = 7) -> Model:
+    """Weights from whole texts and their labels, in the order given. The texts are scanned twice, so that only features in use are held."""
+    column = text_column(texts)
+    documents, clean = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)  # that have each feature
+    sentence_row = []
+    for start, found, counts in _blocks(column):
         seen = np.unique(np.repeat(found.row, counts)[:, None] * BUCKETS + found.features)
         documents += np.bincount(seen % BUCKETS, minlength=BUCKETS)
         clean += np.bincount(seen[labels[start + seen // BUCKETS] == 0] % BUCKETS, minlength=BUCKETS)
-        features.append(found.features.astype(np.int32).ravel())
-        word_sentence.append(np.repeat(np.arange(n_sentences, n_sentences + n, dtype=np.int32), counts))
-        sentence_row.append(found.row + start)
-        n_sentences += n
-    if not n_sentences:
+        sentence_row.append((found.row + start).astype(np.int32))
+    row_of = np.concatenate(sentence_row) if sentence_row else np.zeros(0, np.int32)
+    if not len(row_of):
         return Model(np.zeros(BUCKETS), START_BIAS)
-    row_of = np.concatenate(sentence_row)
     # Features of too few documents say nothing about others.
     common = (documents >= MIN_DOCUMENTS) & (clean <= MAX_SHARE * (labels == 0).sum())
     common[NO_FEATURE] = False
-    kept = [common[f] for f in features]
-    feature = np.concatenate([f[k] for f, k in zip(features, kept)])
-    owner = np.concatenate([np.repeat(w, FEATURES)[k] for w, k in zip(word_sentence, kept)])
-    del features, word_sentence, kept
+    del documents, clean
+    features, owners, n_sentences = [], [], 0
+    for _, found, counts in _blocks(column):
+        flat = found.features.ravel()
+        kept = common[flat]
+        word_sentence = np.repeat(np.arange(n_sentences, n_sentences + len(counts), dtype=np.int32), counts)
+        features.append(flat[kept].astype(np.int32))
+        owners.append(np.repeat(word_sentence, FEATURES)[kept])
+        n_sentences += len(counts)
+    feature, owner = np.concatenate(features), np.concatenate(owners)
+    del features, owners
 
     n_rows = len(labels)
     sentence_ends = np.searchsorted(row_of, np.arange(n_rows + 1))
@@ -171,8 +180,12 @@ def train(documents: DataFrame, labels: DataFrame, train_rows: Column, max_rows:
     chosen = bounded_sample(marked.dropDuplicates(["doc_id"]), max_rows, "doc_id").select(
         F.col("doc_id").alias("_id"), F.col("toxic").alias("_y")
     )
-    # At most ``max_rows`` short rows are broadcast.
-    sample = documents.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "_y").limit(2 * max_rows).toArrow()
+    # At most ``max_rows`` short rows are broadcast; of several texts of one id that with the lowest digest is learnt from.
+    found = documents.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).groupBy("_id", "_y").agg(
+        F.min_by("text", F.struct(F.xxhash64("text").alias("h"), F.col("text").alias("t"))).alias("text")
+    )
+    # In one order whatever the layout of the tables, as the fit goes through the rows by place.
+    sample = found.orderBy(F.xxhash64(F.lit("order"), "_id"), "_id").select("text", "_y").toArrow()
     return fit(sample["text"], np.array(sample["_y"].to_pylist(), np.int64))
 
 

@@ -6,7 +6,8 @@ canonical url removes the false ones. Only possible hits are shuffled; a url tha
 join's inner side, looked up as a hot key.
 
 Defined cases: null urls and urls without ``://`` have empty host and path, fit no rule, are in no list and are allowed. Repeated rows are
-judged alike. Null or empty entries of the list are ignored. Extra columns are handed through by ``judge``.
+judged alike. Urls of any length are read whole. Of rules of one length that fit, the last by its text decides. Null or empty entries of the list are
+ignored; an empty list or table blocks or gives nothing. Extra columns are handed through by ``judge``.
 """
 
 from __future__ import annotations
