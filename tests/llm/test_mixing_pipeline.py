@@ -136,9 +136,20 @@ def test_pipeline_query_runs(spark, sf):
     assert corpus_pipeline.ORACLE_SQL is None
 
 
-@pytest.mark.parametrize("sizes, met", [([100, 101, 102, 103], False), ([100, 100, 100, 5000], True)])
-def test_mix_says_whether_its_target_is_met(spark, sizes, met):
+@pytest.mark.parametrize(
+    "sizes, limit, met, above",
+    [([100, 100, 100, 100], None, False, False), ([100, 100, 100, 5000], None, True, False), ([100, 110, 120, 130], None, True, True), ([100, 110, 120, 130], 1.5, False, True)],
+)
+def test_mix_says_whether_its_target_is_met(spark, sizes, limit, met, above):
     rows = [(10 * s + d, "w " * (n // 5), str(s)) for s, n in enumerate(sizes) for d in range(5)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    got = mixing.mix(docs, mixing.Target(entropy_share=0.95)).select("target_met", "exponent").distinct().collect()
-    assert [r.target_met for r in got] == [met] and (met or got[0].exponent == 1.0)
+    mixed = mixing.mix(docs, mixing.Target(entropy_share=0.95, repetition_limit=limit)).collect()
+    assert {r.target_met for r in mixed} == {met} and {r.exponent > 1 for r in mixed} == {above}
+    own = {r.source: r.weight for r in mixed}
+    share = -sum(w * math.log(w) for w in own.values()) / math.log(4)
+    if above and met:  # the target itself, not only under it
+        assert share == pytest.approx(0.95, abs=1e-6)
+    if limit:
+        taken = {s: sum(r.n_tokens for r in mixed if r.source == s) for s in own}
+        assert max(taken[str(s)] / (n // 5 * 5) for s, n in enumerate(sizes)) <= limit + 0.21  # a document is taken whole
+    assert {r.doc_id for r in mixed} == {r[0] for r in rows}

@@ -2,7 +2,8 @@
 
 A source's weight is its share of the tokens to the power of an exponent, normalised. The exponent is found by bisection: the largest
 that is needed either for the weights' entropy to fall to a target (a share of the entropy of equal weights) or for no source to be repeated more often than
-a limit. The weights are then realised within a budget of tokens as blocks: a source's budget holds a number of whole blocks, each a
+a limit. Sources whose own shares are flatter than the entropy asks for get an exponent above 1, up to where the limit on repetitions, now of the largest
+source, stops it. The weights are then realised within a budget of tokens as blocks: a source's budget holds a number of whole blocks, each a
 permutation of all its documents of its own, and the start of one more, cut where the next document would exceed what is left.
 
 Sources may be as many as they like: the weights stay in a table, and each job of the bisection settles ``LEVELS`` steps. Only
@@ -10,7 +11,8 @@ narrow rows (source, hash, tokens) are shuffled to find the cuts, split by hash,
 repeated or left out where they lie, by comparing their hash with the source's cut.
 
 Defined cases: a null source is a source of its own. Null or empty text has no tokens. A source without tokens has no weight and is taken once. Documents
-of a source with the same id and text share a hash and are taken or left together. Extra columns are handed through by ``mix_rows``.
+of a source with the same id and text share a hash and are taken or left together. Sources of one size meet no entropy under that of equal weights: they
+keep their shares, and ``target_met`` is false. A table without rows gives none. Extra columns are handed through by ``mix_rows``.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from textloom.sources.scratch import materialize
 #: Steps of the bisection that one job settles, and jobs.
 LEVELS = 4
 JOBS = 8
+MAX_EXPONENT = 64.0
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -52,48 +55,54 @@ def source_totals(narrow: DataFrame) -> DataFrame:
 
 
 def solve_exponent(totals: DataFrame, target: Target) -> float:
-    """Exponent in [0, 1] by bisection; 1 keeps the sources' own shares. These may be flatter than the target asks: an exponent above 1 would
-    repeat the largest sources for it, so 1 is returned, and ``plan`` says that the target is not met."""
+    """Exponent by bisection; 1 keeps the sources' own shares. Where the target cannot be met, ``plan`` says so."""
     own = totals.filter("tokens > 0")
-    corpus, sources, smallest, largest = own.agg(F.sum("tokens"), F.count(F.lit(1)), F.min("tokens"), F.max("tokens")).first()
+    sources, smallest, largest = own.agg(F.count(F.lit(1)), F.min("tokens"), F.max("tokens")).first()
     if not sources or sources == 1:
         return 1.0
-    share = F.col("tokens") / F.lit(float(corpus))
+    share = F.col("tokens") / F.lit(float(largest))
 
     def moments(points: list[float]) -> list[tuple[float, float]]:
         """Sum of the powers, and sum of power times logarithm of power, at each exponent."""
         sums = []
         for x in points:
             power = F.pow(share, F.lit(x))
-            sums += [F.sum(power), F.sum(power * F.log(power))]
+            sums += [F.sum(power), F.sum(F.when(power > 0, power * F.log(power)).otherwise(0.0))]
         row = own.agg(*sums).first()
         return [(row[2 * i], row[2 * i + 1]) for i in range(len(points))]
 
-    def too_flat(x: float, z: float, w: float) -> bool:
-        """True while the exponent must grow."""
-        if target.entropy_share is not None and math.log(z) - w / z > target.entropy_share * math.log(sources):
-            return True
-        if target.repetition_limit is not None:
-            # Repetition p * budget / tokens falls with the source's size, so the extremes decide.
-            rate = lambda t: (t / corpus) ** x / z / t
-            budget = 1 / rate(largest) if target.budget_tokens is None else target.budget_tokens
-            return rate(smallest) * budget > target.repetition_limit * (1 + 1e-12)
-        return False
-
-    low, high = 0.0, 1.0
-    (z, w), = moments([0.0])
-    if not too_flat(0.0, z, w):
+    def flat(z: float, w: float) -> bool:
+        return target.entropy_share is not None and math.log(z) - w / z > target.entropy_share * math.log(sources)
+
+    def repeated(x: float, z: float) -> bool:
+        if target.repetition_limit is None:
+            return False
+        # Repetition is weight * budget / tokens, a power of the size, so the extremes decide.
+        rates = [(t / largest) ** x / z / t for t in (smallest, largest)]
+        budget = (1 / min(rates) if min(rates) else math.inf) if target.budget_tokens is None else target.budget_tokens
+        return max(rates) * budget > target.repetition_limit * (1 + 1e-12)
+
+    def bisect(low: float, high: float, must_grow) -> float:
+        """The least exponent that need not grow, to the precision of all steps; it must at ``low`` and need not at ``high``."""
+        for _ in range(JOBS):
+            parts = 2**LEVELS
+            points = [low + (high - low) * k / parts for k in range(1, parts)]
+            grows = [must_grow(x, z, w) for x, (z, w) in zip(points, moments(points))]
+            i, j = 0, parts
+            while j - i > 1:  # bisection over the points that this job has evaluated
+                middle = (i + j) // 2
+                i, j = (middle, j) if grows[middle - 1] else (i, middle)
+            low, high = low + (high - low) * i / parts, low + (high - low) * j / parts
+        return high
+
+    at_0, at_1, at_most = moments([0.0, 1.0, MAX_EXPONENT])
+    if flat(*at_1) and not flat(*at_most):
+        return bisect(1.0, MAX_EXPONENT, lambda x, z, w: flat(z, w) and not repeated(x, z))
+    if flat(*at_1):
+        return 1.0
+    if not flat(*at_0) and not repeated(0.0, at_0[0]):
         return 0.0
-    for _ in range(JOBS):
-        parts = 2**LEVELS
-        points = [low + (high - low) * k / parts for k in range(1, parts)]
-        flat = [too_flat(x, z, w) for x, (z, w) in zip(points, moments(points))]
-        i, j = 0, parts
-        while j - i > 1:  # bisection over the points that this job has evaluated
-            middle = (i + j) // 2
-            i, j = (middle, j) if flat[middle - 1] else (i, middle)
-        low, high = low + (high - low) * i / parts, low + (high - low) * j / parts
-    return high
+    return bisect(0.0, 1.0, lambda x, z, w: flat(z, w) or repeated(x, z))
 
 
 def plan(narrow: DataFrame, target: Target, seed: int) -> DataFrame:
@@ -103,9 +112,9 @@ def plan(narrow: DataFrame, target: Target, seed: int) -> DataFrame:
     """
     totals = materialize(source_totals(narrow), "source-totals")
     exponent = solve_exponent(totals, target)
-    corpus = totals.agg(F.sum("tokens")).first()[0] or 0
+    largest = totals.agg(F.max("tokens")).first()[0] or 0
     powered = totals.withColumn(
-        "power", F.when(F.col("tokens") > 0, F.pow(F.col("tokens") / F.lit(float(max(corpus, 1))), F.lit(exponent)))
+        "power", F.when(F.col("tokens") > 0, F.pow(F.col("tokens") / F.lit(float(max(largest, 1))), F.lit(exponent)))
     )
     mass, least = powered.agg(F.sum("power"), F.max(F.col("tokens") / F.col("power"))).first()
     mass = mass or 1.0
