@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from textloom.operators.lookup import keyed_lookup
+from textloom.operators.quantiles import quantiles, with_image
 from textloom.sources.scratch import materialize
 
+#: Distinct values of a measure up to which its quartiles come from one buffer.
+BUFFERED = 10_000
+
 
 def first_per_key(df: DataFrame, key: str, id_col: str) -> DataFrame:
     """Keep the row with the lowest id of every key.
@@ -38,35 +44,48 @@ def class_balance(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def numeric_profile(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """count, mean, sample std, min, quartiles and max per named integer expression.
+def numeric_profile(df: DataFrame, columns: dict[str, Column], continuous: dict[str, Column] | None = None) -> DataFrame:
+    """count, mean, sample std, min, quartiles and max per named expression; the quartiles are exact.
 
-    The data is read once: equal values are counted first, and everything else, exact quartiles
-    included, follows from one row per distinct value.
+    Equal values of ``columns``, integer expressions, are counted first, and everything else follows from one row per distinct value. The doubles of
+    ``continuous`` hardly repeat: their rows stay where they are. A measure with more than ``BUFFERED`` rows of either kind has its quartiles found by narrowing.
     """
-    pairs = F.array(
-        *[F.struct(F.lit(n).alias("measure"), c.cast("bigint").alias("value")) for n, c in columns.items()]
-    )
-    stacked = df.select(F.explode(pairs).alias("p")).select("p.measure", "p.value").filter("value is not null")
-    histogram = materialize(stacked.groupBy("measure", "value").agg(F.count(F.lit(1)).alias("n")), "histogram")
-    value, n = F.col("value").cast("double"), F.col("n")
+    def stacked(exprs: dict[str, Column], kind: str) -> DataFrame:
+        pairs = F.array(*[F.struct(F.lit(n).alias("measure"), c.cast(kind).alias("value")) for n, c in exprs.items()])
+        return df.select(F.explode(pairs).alias("p")).select("p.measure", "p.value").filter("value is not null")
+
+    parts = []
+    if columns:
+        counted = stacked(columns, "bigint").groupBy("measure", "value").agg(F.count(F.lit(1)).alias("n"))
+        parts.append(counted.select("measure", F.col("value").cast("double").alias("value"), "n", F.lit(True).alias("whole")))
+    if continuous:
+        parts.append(stacked(continuous, "double").select("measure", "value", F.lit(1).cast("bigint").alias("n"), F.lit(False).alias("whole")))
+    histogram = materialize(with_image(reduce(DataFrame.unionByName, parts), "value"), "histogram")
+    value, n = F.col("value"), F.col("n")
     sums = histogram.groupBy("measure").agg(
-        F.sum("n").alias("count"),
-        F.sum(value * n).alias("_s"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        F.percentile("value", [0.25, 0.5, 0.75], n).alias("q"),
+        F.sum("n").alias("count"), F.sum(value * n).alias("_s"), F.min("value").alias("min"), F.max("value").alias("max"),
+        F.count(F.lit(1)).alias("_rows"), F.first("whole").alias("_whole"),
     )
+    measured = sums.collect()  # one row per measure
     mean = F.col("_s") / F.col("count")
     # Squared distances to the mean in a second pass over the histogram: large values lose no digits.
-    means = sums.select(F.col("measure").alias("_m"), mean.alias("_mean"))  # one row per measure
+    small = [r["measure"] for r in measured if r["_rows"] <= BUFFERED]
+    means = sums.select(F.col("measure").alias("_m"), mean.alias("_mean"))
     around = histogram.join(F.broadcast(means), F.col("measure") == F.col("_m"))
-    squares = around.groupBy("_m").agg(F.sum((value - F.col("_mean")) * (value - F.col("_mean")) * n).alias("_ss"))
+    buffered = F.when(F.col("measure").isin(small), value) if small else F.lit(None).cast("double")
+    squares = around.groupBy("_m").agg(
+        F.sum((value - F.col("_mean")) * (value - F.col("_mean")) * n).alias("_ss"), F.percentile(buffered, [0.25, 0.5, 0.75], n).alias("_q")
+    )
+    large = {r["measure"]: r["count"] for r in measured if r["_rows"] > BUFFERED}
+    narrowed = quantiles(histogram.filter(F.col("measure").isin(list(large))), large, [0.25, 0.5, 0.75]) if large else {}
+    table = df.sparkSession.createDataFrame([(m, q) for m, q in narrowed.items()], "_n string, _narrowed array<double>")
     variance = F.col("_ss") / (F.col("count") - 1)
-    return sums.join(F.broadcast(squares), F.col("measure") == F.col("_m")).select(
+    joined = sums.join(F.broadcast(squares), F.col("measure") == F.col("_m")).join(F.broadcast(table), F.col("measure") == F.col("_n"), "left")
+    q = F.coalesce("_narrowed", "_q")
+    return joined.select(
         "measure", "count", mean.alias("mean"),
         F.when(F.col("count") > 1, F.sqrt(variance)).alias("std"),
-        "min", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max",
+        "min", q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75"), "max",
     )
 
 

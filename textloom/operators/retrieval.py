@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from textloom.functions.text import word_tokens
 from textloom.operators.lookup import fits_broadcast, keyed_lookup
 from textloom.operators.nearest import nearest_k
+from textloom.operators.pruned import Pruned, best_match_pruned
 from textloom.operators.vectorize import smooth_idf, unit_tfidf
 from textloom.operators.vocabulary import count_statistics, token_rows
 from textloom.sources.scratch import materialize
@@ -18,6 +19,8 @@ BM25_EPSILON = 0.25
 RANK_DIGITS = 6
 QUERY_TERM_ROWS = 100_000
 POSTINGS_PER_PART = 100_000
+#: Pairs of a posting and a query that has its word, beyond which documents are skipped by upper bounds.
+SCORED_ROWS = 200_000_000
 
 
 def term_counts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -76,11 +79,18 @@ def bm25_statistics(counts: DataFrame, n_docs) -> DataFrame:
     return raw.select("token", "n", "df", F.when(F.col("raw") < 0, floor).otherwise(F.col("raw")).alias("idf"))
 
 
-def retrieve_bm25(docs: DataFrame, queries: DataFrame) -> DataFrame:
-    """Best document per query by Okapi BM25. ``docs (doc_id, text)``, ``queries (query_id, text)``.
+def _best(postings: DataFrame, query_terms: DataFrame, dfs: DataFrame, n_docs: DataFrame, prune: bool | None) -> DataFrame:
+    """Best documents, by the plan that the measured number of scored pairs asks for; both give the same."""
+    if prune is None:
+        pairs = keyed_lookup(query_terms, dfs.select("token", "df"), "token", "df").agg(F.sum("df")).first()[0] or 0
+        prune = pairs > SCORED_ROWS
+    if not prune:
+        return best_match(postings, query_terms)
+    return best_match_pruned(postings, query_terms, n_docs.first()[0]).best
 
-    The texts are read and split once; the written counts give the token statistics and the scores.
-    """
+
+def _bm25_weights(docs: DataFrame, queries: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Postings, query terms and document frequencies of BM25. The texts are read and split once."""
     tokens = token_rows(docs, "doc_id", word_tokens("text"), length="_dl")
     counts = materialize(
         tokens.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("tf"), F.first("_dl").alias("_dl")), "counts"
@@ -96,17 +106,41 @@ def retrieve_bm25(docs: DataFrame, queries: DataFrame) -> DataFrame:
     query_terms = keyed_lookup(asked, idf.select("token", "df", "idf"), "token", "df").select(
         "query_id", "token", (F.col("tf") * F.col("idf")).alias("weight")
     )
-    return _with_default(best_match(postings, materialize(query_terms, "query-terms")), queries, docs)
+    return postings, materialize(query_terms, "query-terms"), idf
 
 
-def retrieve_tfidf(docs: DataFrame, queries: DataFrame) -> DataFrame:
-    """Best document per query by cosine of TF-IDF vectors fitted on the documents."""
+def _tfidf_weights(docs: DataFrame, queries: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Postings, query terms and document frequencies of TF-IDF; both sides have unit length, so the cosine is the dot product."""
     counts = materialize(term_counts(docs, "doc_id", "text"), "counts")
     idf = smooth_idf(counts, docs.agg(F.count(F.lit(1))))
-    # Both sides have unit length, so the cosine is the dot product.
     postings = unit_tfidf(counts, idf, "doc_id")
     query_terms = unit_tfidf(term_counts(queries, "query_id", "text"), idf, "query_id")
-    return _with_default(best_match(postings, materialize(query_terms, "query-terms")), queries, docs)
+    return postings, materialize(query_terms, "query-terms"), idf
+
+
+def _retrieve(weights, docs: DataFrame, queries: DataFrame, prune: bool | None) -> DataFrame:
+    postings, query_terms, dfs = weights(docs, queries)
+    return _with_default(_best(postings, query_terms, dfs, docs.agg(F.count(F.lit(1))), prune), queries, docs)
+
+
+def retrieve_bm25(docs: DataFrame, queries: DataFrame, prune: bool | None = None) -> DataFrame:
+    """Best document per query by Okapi BM25. ``docs (doc_id, text)``, ``queries (query_id, text)``.
+
+    With ``prune`` documents that cannot be the best are skipped by upper bounds; by default if there would be more than ``SCORED_ROWS`` to score.
+    """
+    return _retrieve(_bm25_weights, docs, queries, prune)
+
+
+def retrieve_tfidf(docs: DataFrame, queries: DataFrame, prune: bool | None = None) -> DataFrame:
+    """Best document per query by cosine of TF-IDF vectors fitted on the documents; ``prune`` as for BM25."""
+    return _retrieve(_tfidf_weights, docs, queries, prune)
+
+
+def pruned_work(docs: DataFrame, queries: DataFrame, scheme: str = "bm25") -> tuple[Pruned, DataFrame]:
+    """The pruned search with its measured work, and the full one's best matches."""
+    postings, query_terms, _ = (_bm25_weights if scheme == "bm25" else _tfidf_weights)(docs, queries)
+    postings = materialize(postings, "postings")
+    return best_match_pruned(postings, query_terms, docs.count()), best_match(postings, query_terms)
 
 
 def retrieve_dense(

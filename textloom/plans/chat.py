@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from textloom.operators import chat
+from textloom.functions.hashing import seeded_int
+from textloom.operators import chat, rules
 from textloom.operators.sessions import micros, sessions
 from textloom.plans.registry import HASH, HASH_RANGE, query, sql_text
+from textloom.sources.scratch import new_path
 from textloom.sources.tables import load
-from textloom.streaming import streams
+from textloom.streaming import streams, threads
 
 # The chat tables hold invented prose: these words of it stand in for "not satisfied".
 VOICED = ("not satisfied", "nicht", " la ")
@@ -134,32 +136,30 @@ def ticket_attempts(spark, sf):
     return chat.attempt_levels(messages, phrases=VOICED).select("conv_id", "turn", "attempt_level")
 
 
-def _choice_sql(seed: int) -> str:
+def _choice_sql(seed: int, best: str = "'minimal'") -> str:
     key = "':' || source || ':' || doc_id"
     picked = HASH.format(f"'{seed}-pick' || {key}")
     return (
         f"CASE WHEN {HASH.format(f'{sql_text(str(seed))} || {key}')} / {HASH_RANGE}::DOUBLE < 0.1 "
-        f"THEN ['minimal', 'full'][({picked} % 2)::INT + 1] ELSE 'minimal' END"
+        f"THEN ['minimal', 'full'][({picked} % 2)::INT + 1] ELSE {best} END"
     )
 
 
-@query(
-    "ticket_triage",
-    f"""WITH tickets AS (SELECT source, doc_id, text, {_choice_sql(42)} AS c1, {_choice_sql(43)} AS c2,
-          (1 + sum({VOICED_SQL}::INT) OVER (PARTITION BY source ORDER BY doc_id))::BIGINT AS attempt_level FROM documents)
-        SELECT source, doc_id, CASE WHEN length(text) < 5 THEN 'more_details_needed' ELSE 'hardware_failure' END AS issue_type,
+TRIAGE_SQL = f"""CASE WHEN length(text) < 5 THEN 'more_details_needed' ELSE 'hardware_failure' END AS issue_type,
           CASE WHEN length(text) >= 5 THEN 'support_staff_needed' END AS disposition,
           CASE WHEN length(text) >= 5 THEN 'Escalate to Team X' || CASE WHEN attempt_level > 1 THEN ' (FAQ: example.com/faq)' ELSE '' END END AS resolution,
           CASE WHEN length(text) >= 5 THEN CASE WHEN c1 = 'full' THEN 'device_info=printer_model_X,' ELSE '' END || 'level=' || attempt_level
                || ',priority=high' || CASE WHEN c2 = 'full' THEN ',team_status=available' ELSE '' END || ',user_id=123' ELSE '' END AS collected,
           CASE WHEN length(text) >= 5 THEN 'disposition=' || c1 || ',resolution=' || c2 ELSE '' END AS decisions,
-          CASE WHEN length(text) < 5 THEN 'utter_ask_more_details' ELSE 'utter_present_resolution' END AS reply FROM tickets""",
-)
-def ticket_triage(spark, sf):
-    """Documents as tickets, one thread per source: some texts are too short to act on."""
+          CASE WHEN length(text) < 5 THEN 'utter_ask_more_details' ELSE 'utter_present_resolution' END AS reply"""
+TICKETS_SQL = f"""tickets AS (SELECT source, doc_id, text, {_choice_sql(42)} AS c1, {_choice_sql(43)} AS c2,
+          (1 + sum({VOICED_SQL}::INT) OVER (PARTITION BY source ORDER BY doc_id))::BIGINT AS attempt_level FROM documents)"""
+
+
+def _triaged(spark, sf, best=None):
     tickets = load(spark, sf, "documents").select("source", "doc_id", "text")
     levels = chat.attempt_levels(tickets, "source", "doc_id", phrases=VOICED)
-    done = chat.triage(levels, keys=("source", "doc_id"))
+    done = chat.triage(levels, keys=("source", "doc_id"), best=best)
 
     def show(entries, key, value):
         return F.array_join(F.transform(entries, lambda e: F.concat(e[key], F.lit("="), e[value])), ",")
@@ -172,6 +172,12 @@ def ticket_triage(spark, sf):
     )
 
 
+@query("ticket_triage", f"WITH {TICKETS_SQL} SELECT source, doc_id, {TRIAGE_SQL} FROM tickets")
+def ticket_triage(spark, sf):
+    """Documents as tickets, one thread per source: some texts are too short to act on."""
+    return _triaged(spark, sf)
+
+
 @query(
     "slot_fill",
     f"""WITH i AS (SELECT conv_id, turn, text, {_intent_sql('text')} AS intent FROM conversations)
@@ -237,6 +243,17 @@ def bandit_choice(spark, sf):
     return events.select("event_id", chat.choose_option(F.col("best"), 42, "event_id").alias("option"))
 
 
+@query(
+    "ticket_triage_learnt",
+    f"""WITH {LOG_SQL}, best AS (SELECT option FROM vals ORDER BY value DESC, option = 'full' LIMIT 1),
+        {TICKETS_SQL.replace(_choice_sql(42), _choice_sql(42, "(SELECT option FROM best)")).replace(_choice_sql(43), _choice_sql(43, "(SELECT option FROM best)"))}
+        SELECT source, doc_id, {TRIAGE_SQL} FROM tickets""",
+)
+def ticket_triage_learnt(spark, sf):
+    """As ``ticket_triage``, with the option that the feedback so far has shown to be best."""
+    return _triaged(spark, sf, chat.best_option(_bandit(spark, sf)).scalar())
+
+
 SESSIONS_SQL = """ev AS (SELECT user_id, epoch_us(ts) AS t FROM events),
  gaps AS (SELECT *, coalesce(t - lag(t) OVER (PARTITION BY user_id ORDER BY t) > 3600000000, true)::INT AS opens FROM ev),
  numbered AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY t) AS no FROM gaps),
@@ -311,3 +328,78 @@ def stream_dedup(spark, sf):
     arriving = streams.file_stream(spark, streams.arrivals(events, "_at", "events-twice", late_copies=True), events)
     once = streams.dedup_stream(arriving, "event_id")
     return streams.drain_append(once.select("event_id", "user_id", "event_type"), "stream-dedup")
+
+
+# Turns get a time of arrival: a thread starts within two days, a turn follows 20 minutes after the one before, give or take.
+ARRIVED_SQL = f"""timed AS (
+   SELECT conv_id, turn, text, {_intent_sql('text')} AS intent,
+     1704067200000000 + 1000000 * ({HASH.format("'start:' || conv_id")} % 172800 + turn * 1200 + {HASH.format("'turn:' || conv_id || ':' || turn")} % 5400) AS at_us
+   FROM conversations),
+ gaps AS (SELECT *, (coalesce(at_us - lag(at_us) OVER w > 3600000000, true))::INT AS opens FROM timed WINDOW w AS (PARTITION BY conv_id ORDER BY at_us, turn)),
+ numbered AS (SELECT *, sum(opens) OVER (PARTITION BY conv_id ORDER BY at_us, turn) AS session FROM gaps),
+ spans AS (
+   SELECT conv_id, session::BIGINT AS session, min(at_us) AS start_us, max(at_us) AS end_us, count(*) AS messages,
+     1 + count(*) FILTER ({VOICED_SQL}) AS attempt_level,
+     arg_max(text, (at_us, turn)) FILTER (intent = 'fallback') AS own_description,
+     arg_max(CASE intent WHEN 'affirm' THEN 'yes' ELSE 'no' END, (at_us, turn)) FILTER (intent IN ('affirm', 'deny')) AS own_feedback
+   FROM numbered GROUP BY conv_id, session)"""
+
+
+def _arrived(spark, sf):
+    seconds = seeded_int("start", "conv_id") % 172800 + F.col("turn") * 1200 + seeded_int("turn", "conv_id", "turn") % 5400
+    return load(spark, sf, "conversations").withColumn("at_us", F.lit(1704067200000000) + 1000000 * seconds)
+
+
+@query(
+    "stream_thread_expiry",
+    f"""WITH {ARRIVED_SQL}
+        SELECT conv_id, session, start_us, end_us, messages, attempt_level,
+          last_value(own_description IGNORE NULLS) OVER w AS description, last_value(own_feedback IGNORE NULLS) OVER w AS feedback
+        FROM spans WINDOW w AS (PARTITION BY conv_id ORDER BY session ROWS UNBOUNDED PRECEDING)
+        QUALIFY end_us + 3600000000 < (SELECT max(at_us) // 1000 * 1000 - 600000000 FROM timed)""",
+)
+def stream_thread_expiry(spark, sf):
+    """Sessions of threads, closed by an hour of silence: the level starts anew, slots are carried over. The stream is stopped after half of the messages and goes on from its checkpoint."""
+    messages = _arrived(spark, sf)
+    arriving = streams.Arrivals(messages, "at_us", "threads-in")
+    out = new_path(spark, "thread-sessions")
+    with threads.rocksdb(spark):
+        for parts in (2, None):
+            stream = streams.file_stream(spark, arriving.deliver(parts), messages).withColumn("ts", F.timestamp_micros("at_us"))
+            told = threads.signals(stream, phrases=VOICED, describing=DESCRIBING)
+            closed = streams.drain_append(threads.thread_sessions(told), "thread-sessions", out)
+    return closed
+
+
+@query(
+    "intent_rules_table",
+    f"SELECT conv_id, turn, {_intent_sql('text')} AS found, {_intent_sql('text', 'word')} AS word FROM conversations",
+)
+def intent_rules_table(spark, sf):
+    """As ``intent_regex``, with the rules as a table and one automaton for all of them."""
+    table = rules.rules_table(spark, chat.INTENT_RULES)
+    found = rules.classify(load(spark, sf, "conversations").select("conv_id", "turn", "text"), table, out="found")
+    return rules.classify(found, table, out="word", mode="word").select("conv_id", "turn", "found", "word")
+
+
+# A rule that is put before all others while the stream runs.
+LATE_RULE = ("foreign", " la ")
+
+
+@query(
+    "stream_intent_rules",
+    f"""SELECT conv_id, turn, CASE WHEN turn > 1 AND contains(lower(text), {sql_text(LATE_RULE[1])}) THEN {sql_text(LATE_RULE[0])}
+          ELSE {_intent_sql('text')} END AS intent FROM conversations""",
+)
+def stream_intent_rules(spark, sf):
+    """Messages as they arrive, by the rules as they are then: a rule is added to the table between two micro-batches."""
+    messages = load(spark, sf, "conversations").select("conv_id", "turn", "text")
+    arriving, table, out = new_path(spark, "rule-turns"), new_path(spark, "rules"), new_path(spark, "ruled")
+    rules.rules_table(spark, chat.INTENT_RULES).write.parquet(table)
+    for early in (True, False):
+        if not early:
+            spark.createDataFrame([(-1, *LATE_RULE)], "place long, intent string, pattern string").write.mode("append").parquet(table)
+        messages.filter(F.col("turn") <= 1 if early else F.col("turn") > 1).write.mode("append").parquet(arriving)
+        stream = spark.readStream.schema(messages.schema).parquet(arriving)
+        ruled = rules.drain_classified(stream, lambda: spark.read.parquet(table), "ruled", out)
+    return ruled.select("conv_id", "turn", "intent")

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from textloom.functions.text import combine, space_word_count, unify_length, whitespace_tokens
-from textloom.operators import cleaning, ranking
+from textloom.operators import cleaning, ranking, sketches
 from textloom.operators.qa import extract_pairs
 from textloom.plans.registry import LABELLED, PAIRS, query
-from textloom.sources import files
-from textloom.sources.scratch import new_path
+from textloom.sources import files, records
+from textloom.sources.scratch import materialize, new_path
 from textloom.sources.tables import faq_pairs, labelled_documents, load
 
 
-ARRAY_FILES = 4
+#: Pairs in one file of ``json_array``.
+ARRAY_ROWS = 500_000
 
 
 def pairs(spark, sf):
@@ -50,16 +53,65 @@ def json_roundtrip(spark, sf):
 
 @query("json_array", f"WITH {PAIRS} SELECT question, answer, length(question) < 60 AS found_duplicate FROM pairs")
 def json_array(spark, sf):
-    """Files that hold one JSON array each, as many as there are parts of the pairs."""
+    """Files that hold one JSON array each, of a bounded number of objects."""
     path = new_path(spark, "faq-array")
+    turns = load(spark, sf, "conversations").count()  # no more pairs than turns
     flagged = pairs(spark, sf).select(
-        F.pmod(F.xxhash64("pair_id"), F.lit(ARRAY_FILES)).alias("part"),
+        F.pmod(F.xxhash64("pair_id"), F.lit(max(2, -(-turns // ARRAY_ROWS)))).alias("part"),
         "question", "answer", (F.length("question") < 60).alias("found_duplicate"),
     )
     files.write_json_array_files(flagged, path, "part")
     return files.read_json_array(spark, path, files.FAQ_RAW).select("question", "answer", "found_duplicate")
 
 
+#: Splits of the files that the two queries below read; far smaller than usual, so that every file has several.
+SPLIT_BYTES = "16k"
+
+
+@contextmanager
+def _small_splits(spark):
+    names = {"spark.sql.files.maxPartitionBytes": SPLIT_BYTES, "spark.sql.files.openCostInBytes": "1k"}
+    before = {k: spark.conf.get(k) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def _odd_pairs(spark, sf):
+    """Pairs whose answers hold what also divides records: brackets, braces, quotes, backslashes and line breaks."""
+    odd = F.concat(F.lit('}]{"\\'), F.col("answer"), F.lit('\n},{ \\"["\n,'), F.col("turn").cast("string"))
+    return pairs(spark, sf).select("pair_id", "question", odd.alias("answer"), (F.length("question") < 60).alias("found_duplicate"))
+
+
+ODD_PAIRS_SQL = f"""{PAIRS}, odd AS (SELECT question, '}}]{{"\\' || answer || chr(10) || '}},{{ \\"["' || chr(10) || ',' || (pair_id % 4294967296) AS answer,
+  length(question) < 60 AS found_duplicate FROM pairs)"""
+
+
+@query("json_array_splits", f"WITH {ODD_PAIRS_SQL} SELECT question, answer, found_duplicate FROM odd")
+def json_array_splits(spark, sf):
+    """Files of one JSON array each, cut anywhere and read by as many tasks as there are splits."""
+    path = new_path(spark, "faq-array")
+    flagged = _odd_pairs(spark, sf)
+    parts = max(2, -(-load(spark, sf, "conversations").count() // ARRAY_ROWS))
+    files.write_json_array_files(flagged.withColumn("part", F.pmod(F.xxhash64("pair_id"), F.lit(parts))).drop("pair_id"), path, "part")
+    with _small_splits(spark):
+        return materialize(records.read_json_array(spark, f"{path}/part=*", files.FAQ_RAW), "array-rows")
+
+
+@query("csv_splits", f"WITH {ODD_PAIRS_SQL} SELECT question, answer FROM odd")
+def csv_splits(spark, sf):
+    """CSV files with line breaks in texts, cut anywhere and read by as many tasks as there are splits."""
+    path = new_path(spark, "faq-csv")
+    files.write_csv(_odd_pairs(spark, sf).select("pair_id", "answer", "question"), path)
+    with _small_splits(spark):
+        return materialize(records.read_csv(spark, path, files.FAQ), "csv-rows")
+
+
+
 @query("json_lines", f"WITH {PAIRS} SELECT question, answer, length(question) < 60 AS found_duplicate FROM pairs")
 def json_lines(spark, sf):
     path = new_path(spark, "faq-lines")
@@ -190,7 +242,30 @@ def profile_numeric(spark, sf):
         {"space_words": space_word_count("text"), "words": F.size(whitespace_tokens("text"))},
     )
     rounded = [F.round(c, 6).alias(c) for c in ("mean", "std", "p25", "p50", "p75")]
-    return profile.select("measure", "count", *rounded, "min", "max")
+    return profile.select("measure", "count", *rounded, F.col("min").cast("bigint").alias("min"), F.col("max").cast("bigint").alias("max"))
+
+
+@query(
+    "profile_continuous",
+    """WITH cells AS (
+         SELECT 'price' AS measure, l_extendedprice::DOUBLE AS v FROM lineitem
+         UNION ALL SELECT 'net', l_extendedprice::DOUBLE * (1 - l_discount::DOUBLE) * (1 + l_tax::DOUBLE) FROM lineitem
+         UNION ALL SELECT 'value', value FROM events)
+       SELECT measure, count(v) AS count, round(min(v), 6) AS min, round(quantile_cont(v, 0.25), 6) AS p25,
+              round(quantile_cont(v, 0.5), 6) AS p50, round(quantile_cont(v, 0.75), 6) AS p75, round(max(v), 6) AS max
+       FROM cells GROUP BY measure""",
+)
+def profile_continuous(spark, sf):
+    """Quartiles of doubles that hardly repeat, found by narrowing."""
+    price = F.col("l_extendedprice").cast("double")
+    net = price * (1 - F.col("l_discount").cast("double")) * (1 + F.col("l_tax").cast("double"))
+    lines = load(spark, sf, "lineitem").select(
+        F.explode(F.array(F.struct(F.lit("price").alias("measure"), price.alias("v")), F.struct(F.lit("net").alias("measure"), net.alias("v")))).alias("c")
+    ).select("c.*")
+    cells = lines.unionByName(load(spark, sf, "events").select(F.lit("value").alias("measure"), F.col("value").alias("v")))
+    one = {name: F.when(F.col("measure") == name, F.col("v")) for name in ("price", "net", "value")}
+    profile = cleaning.numeric_profile(cells, {}, one)
+    return profile.select("measure", "count", *[F.round(c, 6).alias(c) for c in ("min", "p25", "p50", "p75", "max")])
 
 
 @query(
@@ -291,3 +366,25 @@ def qa_extract(spark, sf):
     )
     found = extract_pairs(lines, "conv_id", "turn", "line")
     return found.select("conv_id", "turn", "question", "answer")
+
+
+@query(
+    "distinct_sketches",
+    """WITH exact AS (SELECT event_type, count(DISTINCT user_id) AS n_users, count(DISTINCT ts::DATE) AS days FROM events GROUP BY ALL
+                      UNION ALL SELECT 'all', count(DISTINCT user_id), count(DISTINCT ts::DATE) FROM events)
+       SELECT event_type, n_users, days, true AS within FROM exact""",
+)
+def distinct_sketches(spark, sf):
+    """Sketches of the users by event type and day, kept as a column and united later: by type, and over all. Each estimate within
+    four standard errors of the exact number."""
+    events = load(spark, sf, "events").withColumn("day", F.col("ts").cast("date"))
+    stored = materialize(sketches.sketch(events, ["event_type", "day"], "user_id"), "user-sketches")
+    by_type = sketches.unite(stored, ["event_type"], F.count_distinct("day").alias("days"))
+    over_all = sketches.unite(stored, [], F.count_distinct("day").alias("days")).withColumn("event_type", F.lit("all"))
+    exact = events.groupBy("event_type").agg(F.count_distinct("user_id").alias("n_users"))
+    exact = exact.unionByName(events.agg(F.count_distinct("user_id").alias("n_users")).withColumn("event_type", F.lit("all")))
+    told = sketches.estimated(by_type.unionByName(over_all))
+    off = F.abs(F.col("estimate") - F.col("n_users"))
+    return told.join(exact, "event_type").select(
+        "event_type", "n_users", "days", (off <= 4 * sketches.relative_error() * F.col("n_users") + 0.5).alias("within")
+    )

@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from textloom.functions.encoders import GramEncoder, share_encoder, text_encoder
 from textloom.functions.text import word_tokens
 from textloom.functions.vectors import cosine
 from textloom.operators import retrieval
+from textloom.operators.inverted import retrieve_inverted
 from textloom.operators.lookup import keyed_lookup
 from textloom.operators.ml import mean_vectors, retrieve_lsh, word_vectors
 from textloom.operators.nearest import nearest_k
 from textloom.plans.cleaning import pairs
-from textloom.plans.registry import PAIRS, query
+from textloom.plans.registry import HASH, PAIRS, query
 from textloom.plans.text import word_sql
 from textloom.sources.scratch import materialize
 from textloom.sources.tables import load
@@ -46,33 +48,67 @@ PICK = """best AS (SELECT item_id, pair_id, score, row_number() OVER (PARTITION
  SELECT query_id, pair_id, score, answer FROM full_best JOIN pairs USING (pair_id)"""
 
 
-@query(
-    "retrieve_bm25",
-    f"""WITH {SPARSE},
+BM25_SQL = f"""WITH {SPARSE},
  raw AS (SELECT token, ln(n - df + 0.5) - ln(df + 0.5) AS idf FROM df, stat),
  idf AS (SELECT token, CASE WHEN idf < 0 THEN 0.25 * (SELECT avg(idf) FROM raw) ELSE idf END AS idf FROM raw),
  dl AS (SELECT pair_id, len({word_sql('question')}) AS dl FROM pairs),
  scored AS (SELECT item_id, pair_id, round(sum(qf * idf * tf * 2.5 / (tf + 1.5 * (1 - 0.75 + 0.75 * dl / avgdl))), 6) AS score
             FROM qt JOIN dt USING (token) JOIN idf USING (token) JOIN dl USING (pair_id), stat GROUP BY ALL),
- {PICK}""",
-)
+ {PICK}"""
+
+
+@query("retrieve_bm25", BM25_SQL)
 def retrieve_bm25(spark, sf):
     return _answer_all(spark, sf, retrieval.retrieve_bm25)
 
 
-@query(
-    "retrieve_tfidf",
-    f"""WITH {SPARSE},
+TFIDF_SQL = f"""WITH {SPARSE},
  idf AS (SELECT token, ln((1 + n) / (1 + df)) + 1 AS idf FROM df, stat),
  dw AS (SELECT pair_id, token, tf * idf / sqrt(sum((tf * idf) ** 2) OVER (PARTITION BY pair_id)) AS w FROM dt JOIN idf USING (token)),
  qw AS (SELECT item_id, token, qf * idf / sqrt(sum((qf * idf) ** 2) OVER (PARTITION BY item_id)) AS w FROM qt JOIN idf USING (token)),
  scored AS (SELECT item_id, pair_id, round(sum(qw.w * dw.w), 6) AS score FROM qw JOIN dw USING (token) GROUP BY ALL),
- {PICK}""",
-)
+ {PICK}"""
+
+
+@query("retrieve_tfidf", TFIDF_SQL)
 def retrieve_tfidf(spark, sf):
     return _answer_all(spark, sf, retrieval.retrieve_tfidf)
 
 
+@query("retrieve_bm25_pruned", BM25_SQL)
+def retrieve_bm25_pruned(spark, sf):
+    """As ``retrieve_bm25``, with blocks of documents skipped by upper bounds."""
+    return _answer_all(spark, sf, lambda docs, queries: retrieval.retrieve_bm25(docs, queries, prune=True))
+
+
+@query("retrieve_tfidf_pruned", TFIDF_SQL)
+def retrieve_tfidf_pruned(spark, sf):
+    """As ``retrieve_tfidf``, with blocks of documents skipped by upper bounds."""
+    return _answer_all(spark, sf, lambda docs, queries: retrieval.retrieve_tfidf(docs, queries, prune=True))
+
+
+@query(
+    "retrieve_pruned_share",
+    "SELECT scheme, true AS same, true AS skipped FROM (VALUES ('bm25'), ('tfidf')) v(scheme)",
+)
+def retrieve_pruned_share(spark, sf):
+    """Pruned against full search: the same best matches and scores, with at most 0.7 of the postings of the queries' words scored."""
+    bank = pairs(spark, sf).select(F.col("pair_id").alias("doc_id"), F.col("question").alias("text"))
+    bank, asked = materialize(bank, "pruned-bank"), _asked(spark, sf)
+
+    def measured(scheme: str) -> DataFrame:
+        pruned, full = retrieval.pruned_work(bank, asked, scheme)
+        wanted = full.select("query_id", F.col("doc_id").alias("wanted"), F.col("score").alias("wanted_score"))
+        both = wanted.join(pruned.best, "query_id", "full").agg(
+            F.min(F.coalesce((F.col("doc_id") == F.col("wanted")) & (F.abs(F.col("score") - F.col("wanted_score")) < 2e-6), F.lit(False))).alias("same")
+        )
+        return pruned.work.select(
+            F.lit(scheme).alias("scheme"), both.scalar().alias("same"), (F.col("scored") <= 0.7 * F.col("postings")).alias("skipped")
+        )
+
+    return measured("bm25").unionByName(measured("tfidf"))
+
+
 CENTROIDS = """cells AS (SELECT vec_id, label, generate_subscripts(embedding, 1) AS pos, unnest(embedding)::DOUBLE AS x FROM embeddings),
  cent AS (SELECT label, pos, avg(x) AS c FROM cells GROUP BY ALL),
  cnorm AS (SELECT label, sqrt(sum(c * c)) AS cn FROM cent GROUP BY label),
@@ -217,3 +253,49 @@ def retrieve_lsh_recall(spark, sf):
         F.max(F.when(F.col("kind") == "rows", F.col("n"))).alias("n"), F.min((F.col("recall") >= 0.9)).alias("recalled"),
         F.min(F.col("compared") < 0.2).alias("pruned"), F.min(F.col("by_hash") >= 0.9).alias("found_by_hash"),
     )
+
+
+@query("retrieve_inverted")
+def retrieve_inverted_query(spark, sf):
+    """The best match of every label mean, from the lists of its nearest cells."""
+    return retrieve_inverted(load(spark, sf, "embeddings"), centroids(spark, sf))
+
+
+@query(
+    "retrieve_inverted_recall",
+    "SELECT kind, n, true AS recalled, true AS pruned FROM (SELECT 'rows' AS kind, count(*) AS n FROM embeddings WHERE vec_id % 100 = 0 "
+    "UNION ALL SELECT 'means', count(DISTINCT label) FROM embeddings)",
+)
+def retrieve_inverted_recall(spark, sf):
+    """Inverted files against the exact search, for every hundredth vector without itself and for the label means: at least 0.9 of the best matches
+    found, with at most 0.15 of the bank met under any list that was read."""
+    bank = load(spark, sf, "embeddings").select("vec_id", "label", "embedding")
+    total = bank.filter("embedding IS NOT NULL").count()
+
+    def against_exact(kind: str, asked: DataFrame, exclude_self: bool) -> DataFrame:
+        asked = materialize(asked.select("vec_id", "embedding"), "inverted-asked")
+        near = retrieve_inverted(bank, asked, exclude_self=exclude_self).withColumnRenamed("match_id", "found")
+        exact = nearest_k(asked, bank, "vec_id", "embedding", exclude_self=exclude_self)
+        # A query without an answer is not recalled and counts as the whole bank met.
+        both = exact.select("query_id", "match_id").join(near, "query_id", "left")
+        return both.agg(
+            F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("n"),
+            (F.avg((F.coalesce(F.col("found") == F.col("match_id"), F.lit(False))).cast("int")) >= 0.9).alias("recalled"),
+            (F.avg(F.coalesce("met", F.lit(total)) / F.lit(float(total))) <= 0.15).alias("pruned"),
+        )
+
+    rows = against_exact("rows", bank.filter("vec_id % 100 = 0"), True)
+    return rows.unionByName(against_exact("means", centroids(spark, sf), False))
+
+
+@query(
+    "encode_grams",
+    f"""WITH grams AS (SELECT p_partkey, lower(p_name) AS t, unnest(range(1, length(p_name) - 1)) AS i FROM part)
+        SELECT p_partkey, {HASH.format("'42:' || substr(t, i, 3)")} % 64 AS cell, count(*) AS n FROM grams GROUP BY ALL""",
+)
+def encode_grams(spark, sf):
+    """Names as vectors of hashed three-letter runs, by an encoder that is shipped to the tasks; cells that are not zero."""
+    encode = text_encoder(share_encoder(spark, GramEncoder()))
+    vectors = load(spark, sf, "part").select("p_partkey", encode("p_name").alias("v"))
+    cells = vectors.select("p_partkey", F.posexplode("v").alias("cell", "n")).filter("n > 0")
+    return cells.select("p_partkey", F.col("cell").cast("bigint").alias("cell"), F.col("n").cast("bigint").alias("n"))

@@ -16,7 +16,7 @@ from textloom.operators.lookup import fits_broadcast
 from textloom.operators.splits import three_way
 from textloom.plans.balance import SPLIT
 from textloom.plans.cleaning import labelled, pairs
-from textloom.plans.registry import LABELLED, query
+from textloom.plans.registry import LABELLED, PAIRS, query
 from textloom.plans.retrieval import CENTROIDS, centroids
 from textloom.plans.text import word_sql
 from textloom.sources.scratch import materialize, new_path
@@ -249,6 +249,25 @@ def clf_multiclass_quality(spark, sf):
     return _quality(scored, rows.filter("split <> 'train'").select("doc_id", "truth"), "doc_id")
 
 
+BAND = "CASE WHEN len(string_split(answer, ' ')) < 20 THEN 'short' WHEN len(string_split(answer, ' ')) < 60 THEN 'medium' ELSE 'long' END"
+
+
+@query(
+    "clf_dual_quality",
+    f"""WITH {PAIRS}, held AS (SELECT pair_id, {BAND} AS band FROM pairs WHERE {SPLIT.replace('doc_id', 'pair_id')} <> 'train')
+        SELECT count(*) AS n, true AS answered, 1::BIGINT AS most_answers, true AS beats_majority, true AS beats_question_alone FROM held""",
+)
+def clf_dual_quality(spark, sf):
+    """Both texts tell the length of the answer better than the most frequent class, and than the question alone does."""
+    rows = _pair_classes(spark, sf).filter("split <> 'train'").select("pair_id", F.col("band").alias("truth"))
+    scored = materialize(clf_dual(spark, sf), "dual-predictions")
+    both = _quality(scored.select("pair_id", "predicted"), rows, "pair_id")
+    right = scored.join(rows, "pair_id").agg(
+        (F.count_if(F.col("predicted") == F.col("truth")) > F.count_if(F.col("predicted_alone") == F.col("truth"))).alias("b")
+    )
+    return both.withColumn("beats_question_alone", right.scalar())
+
+
 @query(
     "clf_multilabel_quality",
     f"SELECT count(*) AS n, 3::BIGINT AS least_places, true AS languages_found FROM documents WHERE {SPLIT} = 'test'",

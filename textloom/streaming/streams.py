@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from textloom.operators.chat import canned_response, intent
 from textloom.sources.scratch import new_path
 
+#: Rows of one file of an arriving part.
+ROWS_PER_FILE = 500_000
+
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """File stream over one driver table, with the schema of its batch form."""
@@ -14,25 +18,48 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parquet*")
 
 
-def arrivals(df: DataFrame, order: str, name: str, batches: int = 4, late_copies: bool = False) -> str:
-    """A folder of files, ``batches`` of them, that hold ``df`` cut along ``order``, written one after another as they would arrive.
+class Arrivals:
+    """A folder that fills with ``df``, cut into ``batches`` along ``order``, one part after another as they would arrive.
 
-    With ``late_copies`` every part is delivered a second time together with the next one.
+    The table is read once and staged by part; a part is then delivered in ``files`` files, as many as keep the rows of a file bounded, and all
+    parts in equally many, so that a stream which takes ``files`` at a time takes one part per micro-batch. With ``late_copies``
+    every part is delivered a second time together with the next one.
     """
-    path = new_path(df.sparkSession, name)
-    cuts = df.approxQuantile(order, [i / batches for i in range(1, batches)], 0.01) if batches > 1 else []
-    part = F.lit(0)
-    for cut in cuts:
-        part = part + (F.col(order) > cut).cast("int")
-    for i in range(batches + late_copies):
-        wanted = F.coalesce(part, F.lit(0)).isin(i, i - 1) if late_copies else F.coalesce(part, F.lit(0)) == i
-        df.filter(wanted).coalesce(1).write.mode("append").parquet(path)
-    return path
-
 
-def file_stream(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    """Stream over the files of a folder, one file a micro-batch, in the order they were written."""
-    return spark.readStream.schema(like.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    def __init__(self, df: DataFrame, order: str, name: str, batches: int = 4, late_copies: bool = False, rows_per_file: int = ROWS_PER_FILE):
+        self.spark, self.schema = df.sparkSession, df.schema
+        self.path, self._staged = new_path(self.spark, name), new_path(self.spark, f"{name}-staged")
+        cuts = df.approxQuantile(order, [i / batches for i in range(1, batches)], 0.01) if batches > 1 else []
+        part = F.lit(0)
+        for cut in cuts:
+            part = part + F.coalesce((F.col(order) > cut).cast("int"), F.lit(0))
+        df.withColumn("_part", part).write.partitionBy("_part").parquet(self._staged)
+        sizes = [r["count"] for r in self._read().groupBy("_part").count().collect()]  # one row a part
+        self._copies = 1 + late_copies
+        self.files = max(1, -(-max(sizes, default=0) * self._copies // rows_per_file))
+        self._delivered, self._end = 0, batches + late_copies
+
+    def _read(self) -> DataFrame:
+        return self.spark.read.schema(StructType([*self.schema.fields, StructField("_part", IntegerType())])).parquet(self._staged)
+
+    def deliver(self, parts: int | None = None) -> Arrivals:
+        """Add the next ``parts`` parts to the folder, by default all that are left."""
+        stop = self._end if parts is None else min(self._end, self._delivered + parts)
+        for i in range(self._delivered, stop):
+            wanted = self._read().filter(F.col("_part").isin([i - c for c in range(self._copies)])).drop("_part")
+            wanted.repartition(self.files).write.mode("append").parquet(self.path)
+        self._delivered = stop
+        return self
+
+
+def arrivals(df: DataFrame, order: str, name: str, batches: int = 4, late_copies: bool = False) -> Arrivals:
+    return Arrivals(df, order, name, batches, late_copies).deliver()
+
+
+def file_stream(spark: SparkSession, arrived: Arrivals | str, like: DataFrame) -> DataFrame:
+    """Stream over the files of a folder in the order they were written, one part (of a plain folder: one file) a micro-batch."""
+    path, files = (arrived.path, arrived.files) if isinstance(arrived, Arrivals) else (arrived, 1)
+    return spark.readStream.schema(like.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def classify_stream(messages: DataFrame, text: str = "text", mode: str = "search") -> DataFrame:
