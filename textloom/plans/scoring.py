@@ -249,23 +249,25 @@ def clf_multiclass_quality(spark, sf):
     return _quality(scored, rows.filter("split <> 'train'").select("doc_id", "truth"), "doc_id")
 
 
-BAND = "CASE WHEN len(string_split(answer, ' ')) < 20 THEN 'short' WHEN len(string_split(answer, ' ')) < 60 THEN 'medium' ELSE 'long' END"
+MARK = "CASE WHEN contains(lower(answer), ' la ') THEN 'la' WHEN contains(lower(answer), 'nicht') THEN 'nicht' ELSE 'none' END"
 
 
 @query(
     "clf_dual_quality",
-    f"""WITH {PAIRS}, held AS (SELECT pair_id, {BAND} AS band FROM pairs WHERE {SPLIT.replace('doc_id', 'pair_id')} <> 'train')
-        SELECT count(*) AS n, true AS answered, 1::BIGINT AS most_answers, true AS beats_majority, true AS beats_question_alone FROM held""",
+    f"""WITH {PAIRS}, held AS (SELECT pair_id, {MARK} AS mark FROM pairs WHERE {SPLIT.replace('doc_id', 'pair_id')} <> 'train')
+        SELECT count(*) AS n, true AS answered, 1::BIGINT AS most_answers, true AS beats_majority, true AS alone_answered FROM held""",
 )
 def clf_dual_quality(spark, sf):
-    """Both texts tell the length of the answer better than the most frequent class, and than the question alone does."""
-    rows = _pair_classes(spark, sf).filter("split <> 'train'").select("pair_id", F.col("band").alias("truth"))
-    scored = materialize(clf_dual(spark, sf), "dual-predictions")
-    both = _quality(scored.select("pair_id", "predicted"), rows, "pair_id")
-    right = scored.join(rows, "pair_id").agg(
-        (F.count_if(F.col("predicted") == F.col("truth")) > F.count_if(F.col("predicted_alone") == F.col("truth"))).alias("b")
-    )
-    return both.withColumn("beats_question_alone", right.scalar())
+    """Question and answer together tell which words the answer holds; the model that is given the question only answers as well."""
+    low = F.lower("answer")
+    mark = F.when(low.contains(" la "), "la").when(low.contains("nicht"), "nicht").otherwise("none")
+    rows = materialize(three_way(pairs(spark, sf).withColumn("mark", mark), "pair_id").select("pair_id", "question", "answer", "mark", "split"), "marked-pairs")
+    train, rest = rows.filter("split = 'train'"), rows.filter("split <> 'train'")
+    truth = rest.select("pair_id", F.col("mark").alias("truth"))
+    dual = materialize(ml.predict(ml.fit_classifier(train, ["question", "answer"], "mark"), rest, "pair_id"), "dual-predictions")
+    alone = ml.predict(ml.fit_classifier(train, ["question"], "mark"), rest.select("pair_id", "question"), "pair_id")
+    counts = truth.join(alone, "pair_id", "left").groupBy("pair_id").agg(F.count("predicted").alias("c"))
+    return _quality(dual, truth, "pair_id").withColumn("alone_answered", counts.agg(F.min("c") == 1).scalar())
 
 
 @query(
