@@ -106,7 +106,7 @@ def test_a_forgotten_thread_starts_anew(spark):
     for row in rows:
         table(spark, [row]).coalesce(1).write.mode("append").parquet(path)
     got = [r for r in run(spark, path, df, out, forget_us=300 * MINUTE) if r[0] == "a"]
-    assert got == [("a", 1, 0, 0, 1, 1, "it broke", None), ("a", 2, 100, 100, 1, 1, "more", None), ("a", 1, 1100, 1100, 1, 1, None, "no")]
+    assert got == [("a", 1, 0, 0, 1, 1, "it broke", None), ("a", 1, 1100, 1100, 1, 1, None, "no"), ("a", 2, 100, 100, 1, 1, "more", None)]
 
 
 def test_spans_do_not_depend_on_the_order_of_joining():
