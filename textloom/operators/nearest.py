@@ -269,7 +269,7 @@ def _by_cells(queries: DataFrame, bank: DataFrame, k: int, metric: str, block_ro
     for s, n in zip(scopes.tolist(), plan["n"].to_pylist()):
         asked[s] = asked.get(s, 0) + n
     blocks = sum(-(-n // block_rows) for n in asked.values()) / len(asked)
-    if routed > blocks * count:
+    if routed >= blocks * count:
         return None
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
