@@ -33,11 +33,13 @@ WINDOW w AS (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id NULLS LAST)
 
 @query("op1_exact_dedup", OP1_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of texts that are equal without white space, the later half of the rows looked up in the history."""
     return exact_dedup.dedup(load(spark, sf_dir, "documents"))
 
 
 @query("op2_toxicity")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all texts by a model of the labels of four folds of five."""
     documents, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
     held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
     model = toxicity.train(documents, labels, ~held_out)
@@ -50,6 +52,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_fertility")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, tokenizer measures and verdicts of all texts."""
     pieces, ranks = (bpe.share_file(spark, public_tokenizers.path(name)) for name in (PIECE_MODEL, BYTE_RANKS))
     return fertility.quality(load(spark, sf_dir, "documents").select("doc_id", "text"), pieces, ranks)
 
@@ -59,11 +62,13 @@ MIX_TARGET = mixing.Target(entropy_share=0.95, repetition_limit=4.0)
 
 @query("op4_temperature_mixing")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of all sources: a row each time a document is taken."""
     return mixing.mix(load(spark, sf_dir, "documents"), MIX_TARGET)
 
 
 @query("op5_byte_bpe")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of every text, and of what they decode to."""
     ranks = bpe.share_file(spark, public_tokenizers.path(BYTE_RANKS))
     return bpe.digests(load(spark, sf_dir, "documents"), ranks)
 
@@ -111,6 +116,7 @@ FROM u LEFT JOIN fit f ON f.page_id = u.page_id AND f.n = 1
 
 @query("op6_url_filter", OP6_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all urls; pages on hosts with a listed label make up the list."""
     pages = load(spark, sf_dir, "pages").select("page_id", "url")
     host, _, _ = url_filter.url_parts(F.col("url"))
     labels = F.array(*[F.lit(label) for label in LISTED_LABELS])
@@ -120,6 +126,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_packing")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts as rows of 2,048 ids, written and read back."""
     ranks = bpe.share_file(spark, public_tokenizers.path(BYTE_RANKS))
     encoded = bpe.encode(load(spark, sf_dir, "documents"), ranks, ["doc_id"])
     packed = packing.write_packed(packing.pack(encoded, bpe.load_vocabulary(ranks.value).size))
@@ -131,17 +138,20 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_html_text")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
     texts = html_text.extract(load(spark, sf_dir, "pages"), ["page_id", "url"])
     return texts.withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
 @query("op9_hyperminhash")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share four fifths of their four-word shingles."""
     return near_dup.near_duplicates(load(spark, sf_dir, "documents"), width=4, similarity=0.8)
 
 
 @query("op10_language_id")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all texts by a model of three folds of four."""
     documents = load(spark, sf_dir, "documents")
     held_out = F.coalesce(fold("doc_id", 4) == 2, F.lit(False))
     model = lang_id.train(documents, ~held_out)
