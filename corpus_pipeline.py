@@ -2,7 +2,10 @@
 
 ``toxicity`` rejects toxic documents, ``exact_dedup`` and ``near_dup`` leave one document of each group, ``mixing`` repeats the
 documents of small sources up to the target weights (none is left out), ``byte_bpe`` encodes what is there and decodes it again.
-All but the last return the columns of ``documents``. A later stage's result depends on trained weights, so there is no SQL form.
+All but the last return the columns of ``documents``.
+
+Every stage takes nulls in any column, empty and very long texts, ties, repeated rows, empty tables and further columns as its operator's
+docstring states: a null or empty text is not toxic, all of them are one group of exact copies, near to nothing, taken once by the mix and encoded to no ids. A later stage's result depends on trained weights, so there is no SQL form.
 """
 
 from __future__ import annotations
