@@ -9,6 +9,7 @@ import corpus_pipeline
 from tests.llm.cases import ODD_ROWS, WORD, documents, prose, similar_components
 from textloom.llm import mixing
 from textloom.llm.queries import QUERIES
+from textloom.sources.scratch import materialize
 from textloom.sources.tables import load
 
 
@@ -153,3 +154,38 @@ def test_mix_says_whether_its_target_is_met(spark, sizes, limit, met, above):
         taken = {s: sum(r.n_tokens for r in mixed if r.source == s) for s in own}
         assert max(taken[str(s)] / (n // 5 * 5) for s, n in enumerate(sizes)) <= limit + 0.21  # a document is taken whole
     assert {r.doc_id for r in mixed} == {r[0] for r in rows}
+
+
+CLASHING = ["score", "digest", "size", "uid", "place", "block", "tokens", "ids", "id", "k", "n", "kept", "weight", "blocks"]
+
+
+def test_stages_on_odd_rows_and_on_none(spark, sf):
+    """Nulls, empty and long texts, repeated rows and names that the operators use themselves; then no rows at all."""
+    rows = [*ODD_ROWS, (30, prose(4, 300), "en", "a"), (31, prose(4, 300) + " end", "en", "a"), (32, prose(4, 300), "en", "b")]
+    docs = documents(spark, rows).withColumns({c: F.lit(c) for c in CLASHING})
+    left = {}
+    for name, stage in corpus_pipeline.STAGES:
+        columns, docs = docs.columns, materialize(stage(spark, docs, sf), f"odd-{name}")
+        left[name] = sorted((r.doc_id is None, r.doc_id or 0) for r in docs.collect())
+        assert docs.columns == columns or name == "byte_bpe"
+    assert len(left["toxicity"]) == len(rows)
+    # 1, 2 and 3 are equal without white space, 6 stands there twice, 30 and 32 are copies; 31 is near to 30.
+    assert len(left["exact_dedup"]) == len(rows) - 4
+    assert len(left["near_dup"]) == len(rows) - 5
+    assert set(left["mixing"]) == set(left["near_dup"]) and left["byte_bpe"] == left["mixing"]
+    none = documents(spark, []).withColumns({c: F.lit(c) for c in CLASHING})
+    for name, stage in corpus_pipeline.STAGES:
+        none = materialize(stage(spark, none, sf), f"none-{name}")
+        assert none.count() == 0
+
+
+def test_packing_and_pages_with_clashing_columns(spark):
+    from textloom.llm import bpe, html_text, packing
+    from textloom.llm.queries import BYTE_RANKS
+
+    ranks = bpe.share_file(spark, corpus_pipeline.public_tokenizers.path(BYTE_RANKS))
+    docs = documents(spark, [(None, "no id"), (7, "twice"), (7, "twice"), (8, None)]).withColumns({c: F.lit(c) for c in ("pack_id", "ids", "positions", "n_tokens")})
+    packed = packing.pack(bpe.encode(docs, ranks, ["doc_id"]), bpe.load_vocabulary(ranks.value).size).collect()
+    assert sorted((i is None, i or 0) for r in packed for i in r.doc_ids) == [(False, 7), (False, 7), (True, 0)]
+    pages = spark.createDataFrame([(1, "u", "<p>one", "x"), (1, "u", "<p>one", "x"), (None, None, None, None)], "page_id long, url string, html string, text string")
+    assert sorted(r.text for r in html_text.extract(pages, ["page_id", "url"]).collect()) == ["", "one", "one"]
