@@ -10,10 +10,10 @@ HEAD_ROWS = 20_000
 
 
 def fits_broadcast(table: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> bool:
-    """Measure a table: true when both its row count and its text volume are within the bound."""
+    """Measure a table: true when both its row count and the volume of its texts, digests and arrays are within the bound."""
     width = F.lit(8 * len(table.columns))
     for name, kind in table.dtypes:
-        if kind == "string":
+        if kind in ("string", "binary"):
             width = width + F.coalesce(F.octet_length(name), F.lit(0))
         elif kind.startswith("array"):
             width = width + F.coalesce(F.size(name), F.lit(0)) * 8
