@@ -45,12 +45,19 @@ def test_pruned_search_is_exact(spark, monkeypatch, block_docs, term_rows):
     assert work.postings == sum(1 for _, w, _ in asked for d in range(60) if (d, w) in weight)
 
 
-def test_pruned_plans_answer_as_the_full_ones(spark, sf):
+def test_pruned_plans_answer_as_the_full_ones(spark, sf, monkeypatch):
     bank = pairs(spark, sf).select(F.col("pair_id").alias("doc_id"), F.col("question").alias("text"))
     asked = _asked(spark, sf).unionByName(spark.createDataFrame([(-1, "zzzz qqqq"), (-2, "")], "query_id long, text string"))
     for retrieve in (retrieval.retrieve_bm25, retrieval.retrieve_tfidf):
         full, skipped = ({r.query_id: (r.doc_id, r.score) for r in retrieve(bank, asked, prune=p).collect()} for p in (False, True))
         assert full == skipped and full[-1][1] == 0.0
+    # The plan is picked by the measured number of pairs.
+    chosen = []
+    monkeypatch.setattr(retrieval, "best_match_pruned", lambda *a, best=retrieval.best_match_pruned: chosen.append(1) or best(*a))
+    for bound, pruned_plans in ((10**9, 0), (10, 1)):
+        monkeypatch.setattr(retrieval, "SCORED_ROWS", bound)
+        assert {r.query_id: (r.doc_id, r.score) for r in retrieval.retrieve_tfidf(bank, asked).collect()} == full
+        assert len(chosen) == pruned_plans
 
 
 def test_pruned_search_of_nothing(spark):

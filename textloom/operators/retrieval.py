@@ -82,8 +82,10 @@ def bm25_statistics(counts: DataFrame, n_docs) -> DataFrame:
 def _best(postings: DataFrame, query_terms: DataFrame, dfs: DataFrame, n_docs: DataFrame, prune: bool | None) -> DataFrame:
     """Best documents, by the plan that the measured number of scored pairs asks for; both give the same."""
     if prune is None:
-        pairs = keyed_lookup(query_terms, dfs.select("token", "df"), "token", "df").agg(F.sum("df")).first()[0] or 0
-        prune = pairs > SCORED_ROWS
+        prune = query_terms.count() * n_docs.first()[0] > SCORED_ROWS  # no word is in more documents than there are
+        if prune:
+            pairs = keyed_lookup(query_terms, dfs.select("token", "df"), "token", "df").agg(F.sum("df")).first()[0] or 0
+            prune = pairs > SCORED_ROWS
     if not prune:
         return best_match(postings, query_terms)
     return best_match_pruned(postings, query_terms, n_docs.first()[0]).best
