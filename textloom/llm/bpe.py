@@ -8,7 +8,9 @@ at work is taken first, as the reference encoders do. Ids of pieces seen before
 
 The corpus is spread by its input splits: no shuffle, and a lost task is replayed from its split alone.
 
-Null text counts as empty and has no ids. An id that the vocabulary lacks makes decoding fail.
+Null text counts as empty and has no ids. Texts of any length are encoded whole, a long one as a block of its own. Repeated rows are encoded alike, each one
+a row of the result; an empty table gives no rows. Extra columns are left out, those to ``keep`` are handed through. An id that the vocabulary lacks
+makes decoding fail.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from textloom.llm.scan import pieces, row_blocks, text_column
 MAX_VOCABULARY_BYTES = 64 << 20
 BLOCK_BYTES = 2 << 20
 #: Pieces whose ids a task keeps between blocks; beyond it the store starts anew.
-KEPT_PIECES = 200_000
+KEPT_PIECES = 400_000
 
 _NEVER = 1 << 40
 
@@ -177,10 +179,11 @@ class Vocabulary:
             return np.zeros(0, np.int32), np.zeros(len(column), np.int64)
         coded = flat.dictionary_encode()
         words = coded.dictionary.to_pylist()
-        if len(self._slots) + len(words) > KEPT_PIECES:
+        new = [w for w in words if w not in self._slots]
+        if len(self._slots) + len(new) > KEPT_PIECES:
             self.forget()
+            new = words
         slots = self._slots
-        new = [w for w in words if w not in slots]
         if new:
             ids, counts = self.replay(new)
             n, used = len(slots), int(self._ends[len(slots)])
