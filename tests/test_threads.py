@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import random
-import time
 
 import pandas as pd
 import pytest
@@ -124,28 +123,6 @@ def test_spans_do_not_depend_on_the_order_of_joining():
         assert spans == whole
 
 
-def test_live_levels_by_the_clock(spark):
-    df = table(spark, [("a", 1, "it broke", 0), ("a", 2, "not satisfied", 1), ("b", 1, "yes", 1), ("a", 3, "not satisfied", 2), ("a", 4, "no", 3)])
-    path, out = new_path(spark, "in"), new_path(spark, "out")
-
-    def drain():
-        told = threads.signals(streams.file_stream(spark, path, df), phrases=("not satisfied",), describing=("fallback",))
-        with threads.rocksdb(spark):
-            answered = streams.drain_append(threads.live_levels(told, ttl_ms=30_000), "levels", out)
-        return sorted((r.conv_id, r.turn, r.attempt_level, r.description, r.feedback) for r in answered.collect())
-
-    df.filter("turn <= 2").coalesce(1).write.parquet(path)
-    wanted = [("a", 1, 1, "it broke", None), ("a", 2, 2, "it broke", "no"), ("b", 1, 1, None, "yes")]
-    assert drain() == wanted
-    df.filter("turn = 3").coalesce(1).write.mode("append").parquet(path)
-    wanted.insert(2, ("a", 3, 3, "it broke", "no"))  # known from the earlier run
-    assert drain() == wanted
-    time.sleep(31)  # the level's state has expired, the slots stay
-    df.filter("turn = 4").coalesce(1).write.mode("append").parquet(path)
-    wanted.insert(3, ("a", 4, 1, "it broke", "no"))
-    assert drain() == wanted
-
-
 def test_arrivals_come_in_parts_of_bounded_files(spark):
     df = spark.range(1000).withColumn("at", F.col("id"))
     arrived = streams.Arrivals(df, "at", "parts", batches=4, rows_per_file=100)
