@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from textloom.functions import labels as lab, sequences as seq, text as txt
 from textloom.functions.vectors import cosine, sigmoid
@@ -350,6 +350,19 @@ def test_any_label_and_any_number_can_be_trained(spark):
     assert {r.label for r in scored.collect()} == set(names[:4]) and scored.count() == 12
 
 
+def test_models_of_two_classes_predict_after_an_observation(spark):
+    rows = [(i, "good sun" if i % 2 else "bad rain", "up" if i % 2 else "down") for i in range(20)]
+    df = spark.createDataFrame(rows, "id bigint, text string, label string").withColumn("labels", F.array("label")).coalesce(2)
+    seen = Observation()
+    spark.range(1).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 1
+    features, models = ml.fit_multilabel(df, "text", "labels", ["down", "up"], width=64, max_iter=2)
+    scored = ml.score_multilabel(features, models, df, "id", "text")
+    assert all((r.p > 0.5) == ((r.label == "up") == bool(r.id % 2)) for r in scored.collect())
+    predicted = ml.predict(ml.fit_classifier(df, ["text"], "label", width=64, max_iter=2), df, "id")
+    assert all((r.predicted == "up") == bool(r.id % 2) for r in predicted.collect())
+
+
 def test_rare_words_keep_their_vector(spark):
     df = spark.createDataFrame([(1, ["often", "often", "once"]), (2, ["often"])], "id bigint, tokens array<string>")
     model = ml.word_vectors(df, "tokens", partitions=1)

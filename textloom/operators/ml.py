@@ -58,6 +58,7 @@ def fit_multilabel(
     """One logistic regression per label over one written feature table.
 
     Every label is a pass over the features. Columns are named by the label's place, so a label may be any text.
+    The models come back saved and loaded, see ``without_summary``.
     """
     features = fit_features(train, text_col, width)
     table = materialize(features.transform(train).select("features", labels_col), "features")
@@ -68,9 +69,20 @@ def fit_multilabel(
             featuresCol="features", labelCol="_y", maxIter=max_iter, regParam=0.01,
             probabilityCol=f"_p_{i}", rawPredictionCol=f"_r_{i}", predictionCol=f"_c_{i}",
         ).fit(marked)
+    if models:
+        models = dict(zip(models, without_summary(PipelineModel(list(models.values())), train.sparkSession).stages))
     return features, models
 
 
+def without_summary(model: PipelineModel, spark) -> PipelineModel:
+    """The same stages without the summaries of their training.
+
+    The summary of a model of two classes keeps the session, which goes to the executors with every prediction and cannot be
+    sent once anything has been observed in it.
+    """
+    return save_and_reload(model, spark)
+
+
 def _chance(column: str) -> Column:
     """Probability of class 1; 0 if the training rows had no such class."""
     return F.coalesce(F.try_element_at(vector_to_array(column), F.lit(2)), F.lit(0.0))
@@ -114,7 +126,8 @@ def classifier(
 def fit_classifier(
     train: DataFrame, text_cols: list[str], label_col: str, width: int = HASHED_TERMS, max_iter: int = 10
 ) -> PipelineModel:
-    return classifier(text_cols, label_col, width, max_iter).fit(train)
+    model = classifier(text_cols, label_col, width, max_iter).fit(train)
+    return without_summary(model, train.sparkSession) if model.stages[-1].numClasses <= 2 else model
 
 
 def predict(model: PipelineModel, df: DataFrame, id_col: str) -> DataFrame:
