@@ -10,6 +10,15 @@ from textloom.operators.ranking import global_rank
 from textloom.sources.scratch import materialize
 
 OOV = "<UNK>"
+#: Bytes of text in one partition of token rows: what a task keeps per token is many times that.
+PART_BYTES = 8 * 1024 * 1024
+
+
+def text_parts(df: DataFrame, part_bytes: int = PART_BYTES) -> int:
+    """Partitions that hold ``part_bytes`` of the text of ``df`` each, and no fewer than tasks run side by side."""
+    columns = [F.coalesce(F.octet_length(name), F.lit(0)) for name, kind in df.dtypes if kind == "string"]
+    size = df.agg(F.sum(sum(columns, F.lit(0).cast("bigint")))).first()[0] or 0
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-size // part_bytes))
 
 
 def token_rows(
@@ -26,10 +35,11 @@ def token_rows(
 
     With ``spread`` the texts are partitioned by id first. That moves each text once, and every
     later step that groups by the id finds its rows in place and needs no shuffle of the much larger
-    token table; how many partitions that makes is left to the adaptive plan. Steps that only group by token need no spreading.
+    token table. The partitions are counted by the volume of the texts (``text_parts``, one pass over ``df``): the adaptive plan
+    would size them by the compressed texts, of which the tokens are a great multiple. Steps that only group by token need no spreading.
     """
     if spread:
-        df = df.repartition(F.col(id_col))
+        df = df.repartition(text_parts(df), F.col(id_col))
     split = df.select(id_col, *keep, tokens.alias("_tokens"))
     if bigrams:
         split = split.select(id_col, *keep, with_bigrams("_tokens").alias("_tokens"))
