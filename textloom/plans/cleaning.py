@@ -64,13 +64,21 @@ def json_array(spark, sf):
     return files.read_json_array(spark, path, files.FAQ_RAW).select("question", "answer", "found_duplicate")
 
 
-#: Splits of the files that the two queries below read; far smaller than usual, so that every file has several.
-SPLIT_BYTES = "16k"
+#: Least splits of the files that the two queries below read; far smaller than usual, so that every file has several.
+SPLIT_BYTES = 16 * 1024
+#: Larger files are cut into larger splits, about this many in all: a task for each 16 KB would cost more than its work.
+SPLITS = 1000
+
+
+def split_bytes(spark, path: str) -> int:
+    """Length of a split by the volume of the files; their contents are not read."""
+    total = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
+    return max(SPLIT_BYTES, total // SPLITS)
 
 
 @contextmanager
-def _small_splits(spark):
-    names = {"spark.sql.files.maxPartitionBytes": SPLIT_BYTES, "spark.sql.files.openCostInBytes": "1k"}
+def _small_splits(spark, path: str):
+    names = {"spark.sql.files.maxPartitionBytes": str(split_bytes(spark, path)), "spark.sql.files.openCostInBytes": "1k"}
     before = {k: spark.conf.get(k) for k in names}
     for k, v in names.items():
         spark.conf.set(k, v)
@@ -98,7 +106,7 @@ def json_array_splits(spark, sf):
     flagged = _odd_pairs(spark, sf)
     parts = max(2, -(-load(spark, sf, "conversations").count() // ARRAY_ROWS))
     files.write_json_array_files(flagged.withColumn("part", F.pmod(F.xxhash64("pair_id"), F.lit(parts))).drop("pair_id"), path, "part")
-    with _small_splits(spark):
+    with _small_splits(spark, f"{path}/part=*"):
         return materialize(records.read_json_array(spark, f"{path}/part=*", files.FAQ_RAW), "array-rows")
 
 
@@ -107,7 +115,7 @@ def csv_splits(spark, sf):
     """CSV files with line breaks in texts, cut anywhere and read by as many tasks as there are splits."""
     path = new_path(spark, "faq-csv")
     files.write_csv(_odd_pairs(spark, sf).select("pair_id", "answer", "question"), path)
-    with _small_splits(spark):
+    with _small_splits(spark, path):
         return materialize(records.read_csv(spark, path, files.FAQ), "csv-rows")
 
 
