@@ -16,6 +16,7 @@ from textloom.functions.text import (
     wrap,
 )
 from textloom.operators import vectorize, vocabulary as voc
+from textloom.operators.lookup import keyed_lookup
 from textloom.operators.ml import word_vectors
 from textloom.plans.cleaning import pairs
 from textloom.plans.registry import PAIRS, query, sql_text
@@ -350,15 +351,19 @@ def embed_w2v_is_mean(spark, sf):
     """Every text vector equals the mean of its words' vectors, rare words included; zero without words."""
     docs = materialize(load(spark, sf, "documents").select("doc_id", stripped_tokens("text").alias("tokens")), "w2v-tokens")
     model = word_vectors(docs, "tokens")
-    words = materialize(model.getVectors().select("word", F.posexplode(vector_to_array("vector")).alias("pos", "w")), "word-vectors")
-    # Each cell of a word once per text, weighted by its occurrences.
+    # Every word of a text once, weighted by its occurrences; its vector comes in one piece, and so does the sum.
     counts = docs.select("doc_id", F.explode("tokens").alias("word")).groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("tf"))
-    sums = counts.join(words, "word").groupBy("doc_id", "pos").agg(F.sum(F.col("tf") * F.col("w")).alias("s"))
+    counts = materialize(counts, "w2v-counts")
+    totals = counts.groupBy("word").agg(F.sum("tf").alias("n"))
+    words = materialize(model.getVectors().select("word", vector_to_array("vector", "float32").alias("w")).join(totals, "word"), "word-vectors")
+    size = model.getVectorSize()
+    found = keyed_lookup(counts, words, "word", "n")
+    sums = found.groupBy("doc_id").agg(*[F.sum(F.col("tf") * F.col("w")[i].cast("double")).alias(f"s{i}") for i in range(size)])
     lengths = docs.select("doc_id", F.size("tokens").alias("length"))
-    cells = model.transform(docs).select("doc_id", F.posexplode(vector_to_array("embedding")).alias("pos", "x"))
-    both = cells.join(lengths, "doc_id").join(sums, ["doc_id", "pos"], "left")
-    mean = F.coalesce(F.col("s"), F.lit(0.0)) / F.greatest(F.col("length"), F.lit(1))
-    far = F.max(F.abs(F.col("x") - mean))
+    cells = model.transform(docs).select("doc_id", vector_to_array("embedding").alias("x"))
+    both = cells.join(lengths, "doc_id").join(sums, "doc_id", "left")
+    longest = F.greatest(F.col("length"), F.lit(1))
+    far = F.max(F.greatest(*[F.abs(F.col("x")[i] - F.coalesce(F.col(f"s{i}"), F.lit(0.0)) / longest) for i in range(size)]))
     return both.groupBy("doc_id").agg(far.alias("far")).agg(
         F.count(F.lit(1)).alias("n"), (F.max("far") < 1e-6).alias("all_close")
     )
