@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import math
 import random
 
@@ -9,8 +11,11 @@ import numpy as np
 import pytest
 from pyspark.sql import Window, functions as F
 
-from textloom.operators import balance, lookup, nearest, ranking, retrieval
+import __spark_entry__ as entry
+from textloom.operators import balance, lookup, nearest, ranking, retrieval, vectorize, vocabulary
 from textloom.operators.ordered import blocked_window
+from textloom.plans import cleaning
+from textloom.sources.scratch import new_path
 
 
 def rows_of(df):
@@ -240,3 +245,49 @@ def test_same_result_under_any_partitioning(spark, sf, name):
         assert sorted(map(str, entry.queries()[name](spark, sf).collect())) == want
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_token_rows_are_dealt_by_the_volume_of_their_texts(spark):
+    df = spark.createDataFrame([(i, "word " * 40) for i in range(100)], "id bigint, text string")  # 20,000 bytes
+    assert vocabulary.text_parts(df, part_bytes=100) == 200
+    assert vocabulary.text_parts(df) == spark.sparkContext.defaultParallelism
+
+
+def test_keyed_lookup_of_short_and_long_texts(spark, monkeypatch):
+    words = ["a", "b" * 31, "c" * 32, "d" * 33, "e" * 500, None, "gone"]
+    rows = spark.createDataFrame(list(enumerate(words)), "i bigint, token string")
+    table = spark.createDataFrame([(w, i, i + 1) for i, w in enumerate(words[:5])], "token string, token_id bigint, n bigint")
+    monkeypatch.setattr(lookup, "fits_broadcast", lambda *a, **k: False)
+    found = {r.i: r.token_id for r in lookup.keyed_lookup(rows, table, "token", "n", "left", head=2).collect()}
+    assert found == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: None, 6: None}
+    monkeypatch.setattr(lookup, "MAX_BYTES", 150)  # the heaviest keys that are broadcast keep to the bound
+    heavy = []
+    monkeypatch.setattr(lookup, "materialize", lambda df, name: heavy.append(df) or df)
+    assert lookup.keyed_lookup(rows, table, "token", "n").count() == 5 and heavy[0].count() < 5
+
+
+def test_tfidf_looks_a_word_up_once(spark, monkeypatch):
+    counts = spark.createDataFrame([(1, "a", 2), (1, "x", 1), (1, "y", 3), (2, "b", 1)], "id bigint, token string, tf bigint")
+    vocab = spark.createDataFrame([("a", 2, 1, 1), ("b", 1, 1, 2)], "token string, n bigint, df bigint, token_id bigint")
+    looked = []
+    monkeypatch.setattr(vectorize, "keyed_lookup", lambda *a: looked.append(a[2]) or lookup.keyed_lookup(*a))
+    n_docs = spark.range(1).selectExpr("2 AS n")
+    weights = {(r.id, r.token_id): r.weight for r in vectorize.tfidf_vectors(counts, vocab, n_docs, "id").collect()}
+    idf = math.log(2)
+    assert looked == ["token"]
+    assert weights == pytest.approx({(1, 1): 2 * idf, (1, 0): 4 * idf, (2, 2): idf})
+
+
+def test_word_vectors_are_compared_whole(spark, sf):
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        entry.queries()["embed_w2v_is_mean"](spark, sf).explain()
+    assert "posexplode" not in text.getvalue()
+
+
+def test_splits_grow_with_their_files(spark, monkeypatch):
+    path = new_path(spark, "splits")
+    spark.range(5000).selectExpr("repeat('x', 99) AS value").coalesce(2).write.text(path)
+    assert cleaning.split_bytes(spark, path) == cleaning.SPLIT_BYTES
+    monkeypatch.setattr(cleaning, "SPLITS", 10)
+    assert cleaning.split_bytes(spark, path) == 50_000

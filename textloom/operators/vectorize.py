@@ -44,15 +44,16 @@ def tfidf_vectors(
     ``counts`` is ``text_token_counts``, written once for the fit and for this; ``vocab`` carries ``df`` from the fit, ``n_docs`` is a
     one-row, one-column table with the number of texts.
     """
-    idf = vocab.select(
-        "token_id", "n", F.log1p(n_docs.scalar() / (F.lit(1.0) + F.col("df"))).alias("idf")
+    idf = F.log1p(n_docs.scalar() / (F.lit(1.0) + F.col("df")))
+    table = materialize(vocab.select("token", "token_id", "n", idf.alias("idf")), "idf")
+    unknown = table.agg(F.avg("idf")).scalar()
+    joined = keyed_lookup(counts, table, "token", "n", "left").select(
+        id_col, F.coalesce("token_id", F.lit(UNKNOWN_ID).cast("bigint")).alias("token_id"), "tf", "idf"
     )
-    unknown = idf.agg(
-        F.lit(UNKNOWN_ID).cast("bigint").alias("token_id"), F.max("n").alias("n"), F.avg("idf").alias("idf")
-    )
-    table = materialize(idf.unionByName(unknown), "idf").withColumnRenamed("n", "_total")
-    weighted = keyed_lookup(vectors_of_counts(counts, vocab, id_col), table, "token_id", "_total")
-    return weighted.select(id_col, "token_id", (F.col("n") * F.col("idf")).alias("weight"))
+    # All rows of a token id have the same idf; only the unknown id has several rows in a text, and none of its own.
+    cells = joined.repartition(F.col(id_col)).groupBy(id_col, "token_id").agg(F.sum("tf").alias("n"), F.max("idf").alias("idf"))
+    weight = F.col("n") * F.when(F.col("token_id") == UNKNOWN_ID, unknown).otherwise(F.col("idf"))
+    return cells.select(id_col, "token_id", weight.alias("weight"))
 
 
 def smooth_idf(term_counts: DataFrame, n_docs: DataFrame) -> DataFrame:
