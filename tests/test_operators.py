@@ -363,6 +363,21 @@ def test_models_of_two_classes_predict_after_an_observation(spark):
     assert all((r.predicted == "up") == bool(r.id % 2) for r in predicted.collect())
 
 
+def test_texts_are_split_once_in_a_fit(spark, monkeypatch):
+    rows = [(i, ["good sun", "bad rain now", "some wind"][i % 3], f"c{i % 3}") for i in range(30)]
+    df = spark.createDataFrame(rows, "id bigint, text string, label string").coalesce(2)
+    plain = ml.classifier(["text"], "label", width=64, max_iter=3).fit(df)
+    split, transform = [], ml.SQLTransformer.transform
+    monkeypatch.setattr(ml.SQLTransformer, "transform", lambda self, rows, *a: split.append(self) or transform(self, rows, *a))
+    written, materialize = [], ml.materialize
+    monkeypatch.setattr(ml, "materialize", lambda rows, name: written.append(name) or materialize(rows, name))
+    once = ml.fit_classifier(df, ["text"], "label", width=64, max_iter=3)
+    assert len(split) == 1 and written == ["term-counts", "features"]
+    a, b = plain.stages[-1].coefficientMatrix.toArray(), once.stages[-1].coefficientMatrix.toArray()
+    assert abs(a - b).max() < 1e-9
+    assert {r.predicted == f"c{r.id % 3}" for r in ml.predict(once, df, "id").collect()} == {True}
+
+
 def test_rare_words_keep_their_vector(spark):
     df = spark.createDataFrame([(1, ["often", "often", "once"]), (2, ["often"])], "id bigint, tokens array<string>")
     model = ml.word_vectors(df, "tokens", partitions=1)

@@ -12,6 +12,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (
     IDF,
     HashingTF,
+    IDFModel,
     IndexToString,
     SQLTransformer,
     StringIndexer,
@@ -48,8 +49,24 @@ def text_stages(text_col: str, features: str, width: int = HASHED_TERMS, tf_idf:
     return stages
 
 
-def fit_features(df: DataFrame, text_col: str, width: int) -> PipelineModel:
-    return Pipeline(stages=text_stages(text_col, "features", width)).fit(df)
+def fit_text_stages(stages: list, df: DataFrame, keep: list[str]) -> tuple[list, DataFrame]:
+    """The stages of ``text_stages``, of any number of texts, fitted; and a written table of ``keep`` and their features.
+
+    Texts are split once, for written counts, from which the weights are learnt and the features made.
+    """
+    counted, out = df, []
+    for stage in stages:
+        if isinstance(stage, IDF):
+            out.append(stage.getOutputCol())
+        else:
+            counted = stage.transform(counted)
+    counts = [stage.getInputCol() for stage in stages if isinstance(stage, IDF)]
+    rows = materialize(counted.select(*keep, *counts), "term-counts")
+    fitted = [stage.fit(rows) if isinstance(stage, IDF) else stage for stage in stages]
+    for stage in fitted:
+        if isinstance(stage, IDFModel):
+            rows = stage.transform(rows)
+    return fitted, materialize(rows.select(*keep, *out), "features")
 
 
 def fit_multilabel(
@@ -60,8 +77,8 @@ def fit_multilabel(
     Every label is a pass over the features. Columns are named by the label's place, so a label may be any text.
     The models come back saved and loaded, see ``without_summary``.
     """
-    features = fit_features(train, text_col, width)
-    table = materialize(features.transform(train).select("features", labels_col), "features")
+    stages, table = fit_text_stages(text_stages(text_col, "features", width), train, [labels_col])
+    features = PipelineModel(stages)
     models = {}
     for i, label in enumerate(labels):
         marked = table.withColumn("_y", F.array_contains(labels_col, label).cast("double"))
@@ -126,7 +143,11 @@ def classifier(
 def fit_classifier(
     train: DataFrame, text_cols: list[str], label_col: str, width: int = HASHED_TERMS, max_iter: int = 10
 ) -> PipelineModel:
-    model = classifier(text_cols, label_col, width, max_iter).fit(train)
+    """``classifier`` fitted stage by stage, so that the texts are split once."""
+    indexer, *texts, assembler, regression = classifier(text_cols, label_col, width, max_iter).getStages()
+    indexer = indexer.fit(train)
+    texts, rows = fit_text_stages(texts, indexer.transform(train), ["_label"])
+    model = PipelineModel([indexer, *texts, assembler, regression.fit(assembler.transform(rows))])
     return without_summary(model, train.sparkSession) if model.stages[-1].numClasses <= 2 else model
 
 
