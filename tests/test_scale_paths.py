@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import contextlib
+import heapq
 import io
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import Window, functions as F
 
 import __spark_entry__ as entry
-from textloom.operators import balance, lookup, nearest, ranking, retrieval, vectorize, vocabulary
+from textloom.operators import balance, lookup, ml, nearest, ranking, retrieval, skipgram, vectorize, vocabulary
 from textloom.operators.ordered import blocked_window
 from textloom.plans import cleaning
 from textloom.sources.scratch import new_path
@@ -285,6 +287,64 @@ def test_word_vectors_are_compared_whole(spark, sf):
     assert "posexplode" not in text.getvalue()
 
 
+def _huffman(counts):
+    """Words per code length, and the cost, by merging word by word."""
+    heap = [(n, i, {0: 1}) for i, n in enumerate(counts)]
+    heapq.heapify(heap)
+    while len(heap) > 1:
+        (n, i, a), (m, _, b) = heapq.heappop(heap), heapq.heappop(heap)
+        heapq.heappush(heap, (n + m, i, {d + 1: a.get(d, 0) + b.get(d, 0) for d in {*a, *b}}))
+        yield n + m
+
+
+@pytest.mark.parametrize("counts", [[5], [1, 1], [1] * 13, [1, 1, 2, 3, 5, 8, 13, 21], [9, 9, 9, 4, 4, 1, 1, 1, 1, 1], [7, 3, 3, 2, 2, 2, 1] * 5])
+def test_code_of_many_words_from_a_histogram(counts):
+    lengths = skipgram.code_lengths(Counter(counts))
+    ordered = [length for length, many in enumerate(lengths) for _ in range(many)]
+    assert len(ordered) == len(counts)
+    assert sum(n * length for n, length in zip(sorted(counts, reverse=True), ordered)) == sum(_huffman(counts))
+    length, nodes, bits, n_nodes = skipgram.paths(np.arange(len(counts)), skipgram.code_starts(lengths))
+    assert length.tolist() == ordered and n_nodes == len(counts) - 1
+    codes = ["".join(str(int(b)) for b in row[:k]) for row, k in zip(bits, length)]
+    assert not any(a != b and b.startswith(a) for a in codes for b in codes) and len(set(codes)) == len(counts)
+    assert all((row[k:] == n_nodes).all() for row, k in zip(nodes, length))
+
+
+def test_words_past_the_bound_never_meet_on_the_driver(spark, monkeypatch):
+    rng = random.Random(1)
+    topics = [[f"{t}{i}" for i in range(12)] for t in "ab"]
+    texts = [[rng.choice(topics[i % 2]) for _ in range(30)] for i in range(1200)]
+    texts += [["a1"] * 2500, ["alone"], [], None, ["a1", "b1"]]
+    rows = [(i // 2 if i else None, t) for i, t in enumerate(texts)]  # ids repeat, one is null
+    df = spark.createDataFrame(rows, "id bigint, tokens array<string>")
+    monkeypatch.setattr(ml, "DRIVER_WORDS", 0)
+    monkeypatch.setattr(ml, "Word2Vec", None)  # MLlib's, which holds all words
+    monkeypatch.setattr(lookup, "fits_broadcast", lambda *a, **k: False)
+    monkeypatch.setattr(skipgram, "PART_BYTES", 20_000)
+    model = ml.word_vectors(df, "tokens")
+    vectors = {r.word: np.array(r.vector.toArray()) for r in model.getVectors().collect()}
+    assert set(vectors) == {"alone", *topics[0], *topics[1]} and model.getVectorSize() == 16
+    unit = {w: v / np.linalg.norm(v) for w, v in vectors.items()}
+    a, b = (np.array([unit[w] for w in topic if w not in ("a1", "b1")]) for topic in topics)
+    assert (a @ a.T).mean() > (a @ b.T).mean() + 0.5 and (b @ b.T).mean() > (a @ b.T).mean() + 0.5
+    out = model.transform(df.withColumn("rest", F.lit(1)))
+    assert out.columns == ["id", "tokens", "rest", "embedding"]
+    found = [(r.id, r.tokens, r.embedding.toArray()) for r in out.collect()]
+    assert sorted(map(repr, rows)) == sorted(repr((i, t)) for i, t, _ in found)
+    for _, tokens, mean in found:
+        assert np.allclose(mean, np.mean([vectors[t] for t in tokens], axis=0) if tokens else np.zeros(16), atol=1e-6)
+    frequent = ml.word_vectors(df, "tokens", min_count=2000).getVectors()
+    assert [r.word for r in frequent.collect()] == ["a1"]
+
+
+def test_means_of_words_past_the_bound(spark, sf, monkeypatch):
+    monkeypatch.setattr(ml, "DRIVER_WORDS", 0)
+    monkeypatch.setattr(ml, "Word2Vec", None)
+    n = spark.read.parquet(f"{sf}/documents.parquet").count()
+    assert [tuple(r) for r in entry.queries()["embed_w2v_is_mean"](spark, sf).collect()] == [(n, True)]
+    assert entry.queries()["embed_w2v"](spark, sf).dtypes == [("doc_id", "bigint"), ("lang", "string"), ("embedding", "vector")]
+
+
 def test_splits_grow_with_their_files(spark, monkeypatch):
     path = new_path(spark, "splits")
     spark.range(5000).selectExpr("repeat('x', 99) AS value").coalesce(2).write.text(path)

@@ -25,10 +25,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from textloom.functions.text import STRIP_PUNCTUATION
 from textloom.functions.vectors import dot, norm
 from textloom.operators.nearest import nearest_k
+from textloom.operators.skipgram import sharded_word_vectors, word_counts
 from textloom.sources.scratch import materialize, new_path
 
 #: Width of the hashed term counts; no term is left out, terms that share a cell add up.
 HASHED_TERMS = 1 << 16
+#: Words that MLlib's Word2Vec may hold on the driver, with their codes and two vectors each.
+DRIVER_WORDS = 100_000
 
 
 def _quoted(text: str) -> str:
@@ -169,8 +172,12 @@ def word_vectors(df: DataFrame, tokens_col: str, size: int = 16, min_count: int
     """Word2Vec; its transform averages the vectors of a text.
 
     Words under ``min_count`` have no vector; by default all have one. ``partitions`` is how many parts are trained side by side; more
-    are faster and less exact.
+    are faster and less exact. MLlib keeps the whole vocabulary on the driver: beyond ``DRIVER_WORDS`` words it stays in tables, and
+    the number of parts follows the volume of the texts.
     """
+    counts = word_counts(df, tokens_col, min_count)
+    if counts.count() > DRIVER_WORDS:
+        return sharded_word_vectors(df, tokens_col, counts, size, partitions, seed)
     return Word2Vec(
         vectorSize=size, minCount=min_count, seed=seed, inputCol=tokens_col, outputCol="embedding", maxIter=1,
         numPartitions=partitions,
