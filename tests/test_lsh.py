@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from textloom.operators import ml, planes
 from textloom.operators.ml import retrieve_lsh
 from textloom.operators.nearest import nearest_k
 from textloom.plans import retrieval
 from textloom.plans.retrieval import centroids
+from textloom.sources.scratch import materialize
 from textloom.sources.tables import load
 
 DIRS = [f"/root/testdata/{sf}" for sf in ("sf0.001", "sf0.01", "sf0.1")]
@@ -61,3 +64,44 @@ def test_the_recall_query_sees_a_search_with_too_few_keys(spark, sf, monkeypatch
     monkeypatch.setattr(retrieval, "retrieve_lsh", few)
     row, = retrieval.retrieve_lsh_recall(spark, sf).collect()
     assert not row.recalled
+
+
+def test_pairs_of_queries_and_vectors_are_never_written(spark, sf, monkeypatch):
+    bank = load(spark, sf, "embeddings")
+    written = []
+    monkeypatch.setattr(ml, "materialize", lambda df, name: written.append(materialize(df, name)) or written[-1])
+    assert retrieve_lsh(bank, bank.filter("vec_id % 10 = 0"), exclude_self=True).count() == 50
+    assert written and max(table.count() for table in written) <= bank.count()
+
+
+@pytest.mark.parametrize("exclude_self", [False, True])
+def test_blocks_and_ids_that_repeat(spark, monkeypatch, exclude_self):
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(300, 6)).round(2)
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    rows += [(i + 300, vectors[i].tolist()) for i in range(0, 300, 20)]  # equal vectors
+    rows += [(i, rng.normal(size=6).tolist()) for i in range(0, 300, 30)] + rows[:10]  # ids that repeat, and whole rows
+    rows += [(900, [0.0] * 6), (901, [1.0, None, 1.0, 0.0, 0.0, 0.0]), (902, None)]
+    bank = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = bank.filter("vec_id % 3 = 0 OR vec_id >= 900")
+
+    def answers():
+        found = retrieve_lsh(bank, asked, planes=4, tables=16, probes=80, exclude_self=exclude_self)
+        return sorted(map(tuple, found.collect()))
+
+    whole = answers()
+    monkeypatch.setattr(planes, "BANK_ROWS", 40)
+    monkeypatch.setattr(planes, "QUERY_ROWS", 25)
+    assert answers() == whole
+    # Brute force over the queries that are one row of an id of its own.
+    got = {row[0]: row for row in whole}
+    usable = [(i, np.array(v) / np.linalg.norm(v)) for i, v in rows if v and None not in v and any(v)]
+    once = [i for i, n in zip(*np.unique([i for i, _ in rows], return_counts=True)) if n == 1 and i in got and i < 900]
+    hits = 0
+    for i in once:
+        q = dict(usable)[i]
+        scores = [(round(float(q @ v), 6), -m) for m, v in usable if not (exclude_self and m == i)]
+        hits += max(scores)[0] == pytest.approx(got[i][2], abs=2e-6)
+        assert any(-m == got[i][1] and s == pytest.approx(got[i][2], abs=2e-6) for s, m in scores)
+    assert hits >= 0.9 * len(once) and len(once) > 50
+    assert {901, 900, 902}.isdisjoint(got) and not any(row[4] for row in whole if row[0] in once)

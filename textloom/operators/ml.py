@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import combinations
-
 import numpy as np
-import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (
@@ -23,8 +19,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from textloom.functions.text import STRIP_PUNCTUATION
-from textloom.functions.vectors import dot, norm
 from textloom.operators.nearest import nearest_k
+from textloom.operators.planes import Planes, search_by_planes
 from textloom.operators.skipgram import sharded_word_vectors, word_counts
 from textloom.sources.scratch import materialize, new_path
 
@@ -211,100 +207,14 @@ def retrieve_lsh(
     queries = queries.filter("embedding IS NOT NULL").select(F.col("vec_id").cast("long"), "embedding")
     middle = bank.select(F.posexplode("embedding").alias("pos", "x")).groupBy("pos").agg(F.avg(F.col("x").cast("double")).alias("m"))
     center = np.array([r.m for r in middle.orderBy("pos").collect()])  # one number per dimension
-    normals = np.random.default_rng(seed).normal(size=(len(center), tables * planes))
-    offsets = center @ normals
-    bits = 1 << np.arange(planes)
-    flips = [f for n in range(min(3, planes) + 1) for f in combinations(range(planes), n)]
-    flipped = np.array([[float(i in f) for f in flips] for i in range(planes)])
-    masks = (bits @ flipped).astype(np.int64)
-    first_key = np.arange(tables, dtype=np.int64) << planes
-    # Log odds that a plane parts a query from such a vector, by the query's distance: the normal distribution by its logistic fit.
-    slope = 1.702 * alike / np.sqrt(1 - alike * alike)
-
-    def vectors_of(batch: pa.RecordBatch) -> np.ndarray:
-        column = batch.column(1)
-        return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), len(center))
-
-    def own_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                sides = (vectors_of(part) @ normals > offsets).reshape(-1, tables, planes)
-                ids = np.repeat(part.column(0).to_numpy(), tables)
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array((sides @ bits + first_key).ravel())], names=["id", "key"])
-
-    words = -(-tables * planes // 64)
-
-    def signs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                sides = vectors_of(part) @ normals > offsets
-                sides = np.pad(sides, ((0, 0), (0, 64 * words - sides.shape[1])))
-                packed = np.packbits(sides, axis=1).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), *[pa.array(packed[:, i]) for i in range(words)]], names=["id", *[f"w{i}" for i in range(words)]]
-                )
-
-    def likely_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = min(probes, tables * len(flips))
-        for batch in batches:
-            ids, rows = batch.column(0).to_numpy(), vectors_of(batch)
-            for query_id, row in zip(ids, rows):
-                reach = np.sqrt(((row - center) ** 2).sum()) or 1.0
-                distance = ((row @ normals - offsets) / reach).reshape(tables, planes)
-                odds = slope * np.abs(distance)
-                chance = -np.log1p(np.exp(-odds)).sum(axis=1)[:, None] - odds @ flipped
-                table, flip = np.divmod(np.argpartition(-chance.ravel(), kept - 1)[:kept], len(flips))
-                keys = (((distance > 0) @ bits)[table] ^ masks[flip]) + first_key[table]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(kept, query_id)), pa.array(keys)], names=["id", "key"])
-
-    def keyed(df: DataFrame, keys, name: str) -> DataFrame:
-        return materialize(df.mapInArrow(keys, "id long, key long").withColumnRenamed("id", name), f"lsh-{name}")
-
+    signs = Planes(center, planes, tables, probes, alike, seed)
     # Two ids stand for all equal vectors: the second is for the query that is the first.
     lowest = materialize(bank.groupBy("embedding").agg(F.min("vec_id").alias("match_id"), F.count(F.lit(1)).alias("copies")), "lsh-lowest")
     others = bank.join(lowest.select(F.col("match_id").alias("vec_id")), "vec_id", "left_anti")
     second = others.groupBy("embedding").agg(F.min("vec_id").alias("second"))
     vectors = materialize(lowest.join(second, "embedding", "left"), "lsh-vectors")
-    held = keyed(vectors.select(F.col("match_id").alias("vec_id"), "embedding"), own_keys, "match_id")
-    met = keyed(queries, likely_keys, "query_id").join(held, "key").select("query_id", "match_id").distinct()
-
-    def signed(df: DataFrame, name: str) -> DataFrame:
-        layout = ", ".join(f"w{i} long" for i in range(words))
-        rows = materialize(df.mapInArrow(signs, f"id long, {layout}"), f"lsh-signs-{name}")
-        return rows.select(F.col("id").alias(name), *[F.col(f"w{i}").alias(f"{name}_{i}") for i in range(words)])
-
-    apart = sum(F.bit_count(F.col(f"query_id_{i}").bitwiseXOR(F.col(f"match_id_{i}"))) for i in range(words))
-    met = met.join(signed(queries, "query_id"), "query_id").join(
-        signed(vectors.select(F.col("match_id").alias("vec_id"), "embedding"), "match_id"), "match_id"
-    )
-    met = met.select("query_id", "match_id", apart.cast("int").alias("apart"))
-    if exclude_self:  # a query stays with itself only if there are others equal to it
-        alone = vectors.filter("second IS NULL").select(F.col("match_id").alias("query_id"), "match_id")
-        met = met.join(alone, ["query_id", "match_id"], "left_anti")
-    met = materialize(met, "lsh-met")
-    reach = met.groupBy("query_id").agg((F.min("apart") + F.lit(slack * np.sqrt(tables * planes) / 2)).alias("reach"))
-    pairs = met.join(reach, "query_id").filter("apart <= reach").select("query_id", "match_id")
-
-    def unit(vector: str) -> Column:
-        length = F.nullif(norm(vector), F.lit(0.0))
-        return F.transform(vector, lambda x: x.cast("double") / length)
-
-    sides = pairs.join(queries.select(F.col("vec_id").alias("query_id"), unit("embedding").alias("_q")), "query_id").join(
-        vectors.select("match_id", "second", "copies", unit("embedding").alias("_v")), "match_id"
-    )
-    is_self = F.lit(exclude_self) & (F.col("query_id") == F.col("match_id"))
-    near = sides.select(
-        "query_id", F.when(is_self, F.col("second")).otherwise(F.col("match_id")).alias("match_id"),
-        F.round(dot("_q", "_v"), 6).alias("score"), (F.col("copies") - is_self.cast("int")).alias("copies"),
-    ).filter("score IS NOT NULL AND match_id IS NOT NULL")
-    best = near.groupBy("query_id").agg(
-        F.max(F.struct("score", (-F.col("match_id")).alias("neg"))).alias("b"), F.sum("copies").alias("compared")
-    )
-    found = materialize(
-        best.select("query_id", (-F.col("b.neg")).alias("match_id"), F.col("b.score").alias("score"), "compared"), "lsh"
-    )
+    asked = queries.select(F.col("vec_id").alias("query_id"), "embedding")
+    found = materialize(search_by_planes(asked, vectors, signs, exclude_self, slack), "lsh")
     missed = queries.join(found.select(F.col("query_id").alias("vec_id")), "vec_id", "left_anti")
     exact = nearest_k(missed, bank, "vec_id", "embedding", exclude_self=exclude_self).select(
         "query_id", "match_id", F.round("score", 6).alias("score"), F.lit(bank.count()).cast("bigint").alias("compared")
