@@ -351,3 +351,70 @@ def test_splits_grow_with_their_files(spark, monkeypatch):
     assert cleaning.split_bytes(spark, path) == cleaning.SPLIT_BYTES
     monkeypatch.setattr(cleaning, "SPLITS", 10)
     assert cleaning.split_bytes(spark, path) == 50_000
+
+
+def test_training_sorts_no_codes_and_handles_ends_of_texts():
+    rng = np.random.default_rng(3)
+    starts = skipgram.code_starts(skipgram.code_lengths(Counter({1: 40, 2: 20, 5: 9, 90: 2})))
+    ranks = rng.permutation(71)
+    words = rng.choice(71, 900, p=(1 / (1 + ranks)) / (1 / (1 + ranks)).sum())
+    sentence = np.repeat(np.arange(260), rng.multinomial(900, [1 / 260] * 260))  # many of one to four words, some of none
+    first = skipgram.first_vectors(np.arange(71) * 99991, 6)
+    seen = []
+    add = skipgram._add
+
+    def rising(table, rows, steps, pairs, rate):
+        assert (np.diff(rows) >= 0).all() and (rows < len(table) - 1).all()
+        seen.append((len(table), int(pairs.sum())))
+        add(table, rows, steps, pairs, rate)
+
+    def by_pair(batch):
+        """Pair by pair, with all steps of a batch taken at its end."""
+        length, nodes, bits, n_nodes = skipgram.paths(ranks, starts)
+        outer, inner, moved = first.astype(float), np.zeros((n_nodes, 6)), set()
+        draw = np.random.default_rng(7)
+        order, reach = draw.permutation(900), draw.integers(1, skipgram.WINDOW + 1, 900)
+        for start in range(0, 900, batch):
+            out, inn, many = np.zeros_like(outer), np.zeros_like(inner), [np.zeros(71), np.zeros(n_nodes)]
+            for i in order[start : start + batch]:
+                for j in range(max(0, i - reach[i]), min(900, i + reach[i] + 1)):
+                    if j == i or sentence[i] != sentence[j]:
+                        continue
+                    c, w = words[j], words[i]
+                    path, bit = nodes[w, : length[w]], bits[w, : length[w]]
+                    step = 1 - bit - 1 / (1 + np.exp(-inner[path] @ outer[c]))
+                    out[c] += step @ inner[path]
+                    inn[path] += step[:, None] * outer[c]
+                    many[0][c] += 1
+                    many[1][path] += 1
+                    moved.add(c)
+            rate = skipgram.RATE * max(1 - start / 901, 1e-4)
+            for table, steps, n in ((outer, out, many[0]), (inner, inn, many[1])):
+                table += rate * steps * np.minimum(1, skipgram.MAX_PAIRS / np.maximum(n, 1))[:, None]
+        return outer, moved
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(skipgram, "_add", rising)
+        patch.setattr(skipgram, "BATCH", 100)
+        patch.setattr(skipgram, "SLICE", 7)
+        vectors, moved = skipgram.train(words, sentence, first, ranks, starts, 7)
+    wanted, wanted_moved = by_pair(100)
+    assert np.allclose(vectors, wanted, atol=1e-6) and not np.allclose(vectors, first, atol=1e-6)
+    assert set(np.flatnonzero(moved)) == wanted_moved and len(seen) == 18
+    none, moved = skipgram.train(words[:0], sentence[:0], first, ranks, starts, 7)
+    assert (none == first).all() and not moved.any()
+
+
+def test_words_are_counted_once_for_the_check_of_means(spark, sf, monkeypatch):
+    written = []
+    for module in (ml, skipgram, lookup, entry.queries()["embed_w2v_is_mean"].__globals__):
+        names = module if isinstance(module, dict) else vars(module)
+        if "materialize" in names:
+            own = names["materialize"]
+            monkeypatch.setitem(names, "materialize", lambda df, name, own=own: written.append((name, df.columns)) or own(df, name))
+    monkeypatch.setattr(ml, "DRIVER_WORDS", 0)
+    row, = entry.queries()["embed_w2v_is_mean"](spark, sf).collect()
+    assert row.all_close
+    assert [name for name, _ in written].count("word-counts") == 1
+    # No table of the words of every text.
+    assert not any({"doc_id", "word"} <= set(columns) for _, columns in written)

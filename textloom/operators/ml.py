@@ -164,14 +164,17 @@ def save_and_reload(model: PipelineModel, spark) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def word_vectors(df: DataFrame, tokens_col: str, size: int = 16, min_count: int = 1, partitions: int = 8, seed: int = 42):
+def word_vectors(
+    df: DataFrame, tokens_col: str, size: int = 16, min_count: int = 1, partitions: int = 8, seed: int = 42, counts: DataFrame | None = None
+):
     """Word2Vec; its transform averages the vectors of a text.
 
     Words under ``min_count`` have no vector; by default all have one. ``partitions`` is how many parts are trained side by side; more
     are faster and less exact. MLlib keeps the whole vocabulary on the driver: beyond ``DRIVER_WORDS`` words it stays in tables, and
-    the number of parts follows the volume of the texts.
+    the number of parts follows the volume of the texts. ``counts`` are the ``word_counts`` of ``df`` from ``min_count`` on, if they are there already.
     """
-    counts = word_counts(df, tokens_col, min_count)
+    if counts is None:
+        counts = word_counts(df, tokens_col, min_count)
     if counts.count() > DRIVER_WORDS:
         return sharded_word_vectors(df, tokens_col, counts, size, partitions, seed)
     return Word2Vec(

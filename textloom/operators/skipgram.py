@@ -34,7 +34,7 @@ WINDOW = 5
 RATE = 0.025
 #: No step is made for a score beyond this, as in MLlib.
 MAX_SCORE = 6.0
-#: Centres whose steps are taken together, centres of like code length in one product, and most pairs that add up to the step of one row.
+#: Centres whose steps are taken together, centres of one reach and like code length in one product, and most pairs that add up to the step of one row.
 BATCH = 512
 SLICE = 64
 MAX_PAIRS = 64
@@ -122,16 +122,17 @@ def first_vectors(hashes: np.ndarray, size: int) -> np.ndarray:
 
 
 def _add(table: np.ndarray, rows: np.ndarray, steps: np.ndarray, pairs: np.ndarray, rate: float) -> None:
-    """Add the steps to their rows; a row that many pairs move at once goes as far as ``MAX_PAIRS`` of them, by their mean. The last row
-    stands for none and stays zero."""
+    """Add the steps to their rows, which rise; a row that many pairs move at once goes as far as ``MAX_PAIRS`` of them, by their mean."""
     if not len(rows):
         return
-    order = np.argsort(rows)
-    rows = rows[order]
     first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
-    scale = rate * np.minimum(1, MAX_PAIRS / np.maximum(np.add.reduceat(pairs[order], first), 1))
-    table[rows[first]] += np.add.reduceat(steps[order], first) * scale.astype(np.float32)[:, None]
-    table[-1] = 0
+    scale = rate * np.minimum(1, MAX_PAIRS / np.maximum(np.add.reduceat(pairs, first), 1))
+    rows = rows[first]
+    # Two cells are added as one complex number, which is faster.
+    steps = np.add.reduceat(steps.view(np.complex64) if steps.shape[1] % 2 == 0 else steps, first).view(np.float32)
+    steps *= scale.astype(np.float32)[:, None]
+    steps += table.take(rows, 0)
+    table[rows] = steps
 
 
 def train(words: np.ndarray, sentence: np.ndarray, vectors: np.ndarray, ranks: np.ndarray, starts: tuple[np.ndarray, np.ndarray], seed: int):
@@ -139,38 +140,58 @@ def train(words: np.ndarray, sentence: np.ndarray, vectors: np.ndarray, ranks: n
     length, nodes, bits, n_nodes = paths(ranks, starts)
     wanted = 1 - bits
     n, (n_words, size) = len(words), vectors.shape
+    # The last rows stand for no word and no node: they are zeros, and no step is added to them.
     outer = np.vstack([vectors, np.zeros((1, size), np.float32)])
     inner = np.zeros((n_nodes + 1, size), np.float32)
     moved = np.zeros(n_words + 1, bool)
+    # Before and after every sentence the text has as many places without a word as a window reaches.
+    begin = np.flatnonzero(np.r_[True, sentence[1:] != sentence[:-1]][:n])
+    many = np.diff(np.r_[begin, n])
+    place = np.arange(n) + WINDOW * (1 + np.repeat(np.arange(len(many)), many))
+    text = np.full(n + WINDOW * (len(many) + 1), n_words)
+    text[place] = words
+    rank = ranks[words]
     rng = np.random.default_rng(seed)
     order, reach = rng.permutation(n), rng.integers(1, WINDOW + 1, n)
-    around = np.r_[-WINDOW:0, 1 : WINDOW + 1]
+    before = np.arange(n) - np.repeat(begin, many)
+    pairs_of = np.minimum(before, reach) + np.minimum(np.repeat(many, many) - 1 - before, reach)
+    windows = [np.r_[-r:0, 1 : r + 1] for r in range(1, WINDOW + 1)]
     for start in range(0, n, BATCH):
+        # By rank, the codes rise in length, and the nodes of every depth rise too.
         at = order[start : start + BATCH]
-        at = at[np.argsort(length[words[at]], kind="stable")]
+        at = at[np.argsort(rank[at], kind="stable")]
         rate = RATE * max(1 - start / (n + 1), 1e-4)
-        near = at[:, None] + around
-        within = (near >= 0) & (near < n) & (np.abs(around) <= reach[at][:, None])
-        near = np.clip(near, 0, n - 1)
-        within &= sentence[near] == sentence[at][:, None]
-        context = np.where(within, words[near], n_words)
+        centre, middle, far = words[at], place[at], reach[at]
+        code = length[centre]
+        node, want = nodes.take(centre, 0)[:, : code[-1]], wanted.take(centre, 0)[:, : code[-1]]
+        inner_steps = np.empty((code[-1], len(at), size), np.float32)
+        contexts, outer_steps = [], []
+        for around in windows:
+            alike = np.flatnonzero(far == around[-1])
+            for low in range(0, len(alike), SLICE):
+                some = alike[low : low + SLICE]
+                longest = code[some[-1]]
+                context = text.take(middle[some][:, None] + around)
+                # Places without a word or a node meet a row of zeros, so they move nothing else.
+                h, v = outer.take(context, 0), inner.take(node.take(some, 0)[:, :longest], 0)
+                score = h @ v.transpose(0, 2, 1)
+                step = np.exp(-score)
+                step += 1
+                np.reciprocal(step, out=step)
+                np.subtract(want.take(some, 0)[:, None, :longest], step, out=step)
+                if max(score.max(initial=0), -score.min(initial=0)) >= MAX_SCORE:
+                    step[np.abs(score) >= MAX_SCORE] = 0
+                contexts.append(context.ravel())
+                outer_steps.append((step @ v).reshape(-1, size))
+                inner_steps[:longest, some] = (step.transpose(0, 2, 1) @ h).transpose(1, 0, 2)
+        context = np.concatenate(contexts)
+        by_word = np.argsort(context)
+        by_word = by_word[: len(context) - np.count_nonzero(context == n_words)]
+        context = context[by_word]
         moved[context] = True
-        outer_steps, inner_rows, inner_steps, inner_pairs = [], [], [], []
-        for low in range(0, len(at), SLICE):
-            centre = words[at[low : low + SLICE]]
-            longest = length[centre[-1]]
-            # Places without a word or a node meet a row of zeros, so they move nothing else.
-            node = nodes[centre, :longest]
-            h, v = outer[context[low : low + SLICE]], inner[node]
-            score = h @ v.transpose(0, 2, 1)
-            step = wanted[centre, :longest][:, None, :] - 1 / (1 + np.exp(-score))
-            step[np.abs(score) >= MAX_SCORE] = 0
-            outer_steps.append(step @ v)
-            inner_rows.append(node.ravel())
-            inner_steps.append((step.transpose(0, 2, 1) @ h).reshape(-1, size))
-            inner_pairs.append(np.repeat(within[low : low + SLICE].sum(1), longest))
-        _add(outer, context.ravel(), np.concatenate(outer_steps).reshape(-1, size), np.ones(context.size, np.int64), rate)
-        _add(inner, np.concatenate(inner_rows), np.concatenate(inner_steps), np.concatenate(inner_pairs), rate)
+        _add(outer, context, np.concatenate(outer_steps).take(by_word, 0), np.ones(len(context), np.int64), rate)
+        on_path = np.flatnonzero(np.arange(code[-1])[:, None] < code)
+        _add(inner, node.T.ravel()[on_path], inner_steps.reshape(-1, size).take(on_path, 0), pairs_of[at].take(on_path % len(at)), rate)
     return outer[:-1], moved[:-1]
 
 

@@ -18,6 +18,7 @@ from textloom.functions.text import (
 from textloom.operators import vectorize, vocabulary as voc
 from textloom.operators.lookup import keyed_lookup
 from textloom.operators.ml import word_vectors
+from textloom.operators.skipgram import word_counts
 from textloom.plans.cleaning import pairs
 from textloom.plans.registry import PAIRS, query, sql_text
 from textloom.sources.files import load_vocabulary, save_vocabulary
@@ -350,15 +351,14 @@ def embed_w2v(spark, sf):
 def embed_w2v_is_mean(spark, sf):
     """Every text vector equals the mean of its words' vectors, rare words included; zero without words."""
     docs = materialize(load(spark, sf, "documents").select("doc_id", stripped_tokens("text").alias("tokens")), "w2v-tokens")
-    model = word_vectors(docs, "tokens")
-    # Every word of a text once, weighted by its occurrences; its vector comes in one piece, and so does the sum.
-    counts = docs.select("doc_id", F.explode("tokens").alias("word")).groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("tf"))
-    counts = materialize(counts, "w2v-counts")
-    totals = counts.groupBy("word").agg(F.sum("tf").alias("n"))
-    words = materialize(model.getVectors().select("word", vector_to_array("vector", "float32").alias("w")).join(totals, "word"), "word-vectors")
+    counts = word_counts(docs, "tokens")
+    model = word_vectors(docs, "tokens", counts=counts)
+    vectors = model.getVectors().select("word", vector_to_array("vector", "float32").alias("w"))
+    words = materialize(vectors.join(counts.withColumnRenamed("token", "word"), "word"), "word-vectors")
     size = model.getVectorSize()
-    found = keyed_lookup(counts, words, "word", "n")
-    sums = found.groupBy("doc_id").agg(*[F.sum(F.col("tf") * F.col("w")[i].cast("double")).alias(f"s{i}") for i in range(size)])
+    # A word's vector comes in one piece, and so does the sum; the words of a text lie together, so they are added up where they are.
+    found = keyed_lookup(docs.select("doc_id", F.explode("tokens").alias("word")), words, "word", "n")
+    sums = found.groupBy("doc_id").agg(*[F.sum(F.col("w")[i].cast("double")).alias(f"s{i}") for i in range(size)])
     lengths = docs.select("doc_id", F.size("tokens").alias("length"))
     cells = model.transform(docs).select("doc_id", vector_to_array("embedding").alias("x"))
     both = cells.join(lengths, "doc_id").join(sums, "doc_id", "left")
